@@ -40,3 +40,8 @@ def any_flag(*flags: Column, dtype: str = "smallint") -> Column:
         one = F.coalesce(f, F.lit(0)) == 1
         cond = one if cond is None else (cond | one)
     return F.when(cond, 1).otherwise(0).cast(dtype)
+
+
+def any_of(*cols: Column) -> Column:
+    """``greatest`` that also accepts a single column."""
+    return cols[0] if len(cols) == 1 else F.greatest(*cols)

@@ -20,8 +20,8 @@ from wardline.functions import dictionaries as dic
 from wardline.functions.dictionaries import CodeRule
 from wardline.functions.match import (code_rule, list_code_flag, matches_any, normalise_code,
                                       phrase_flag, contains_any)
-from wardline.functions.windows import flag
-from wardline.operators.joins import keyed_join
+from wardline.functions.windows import any_of, flag
+from wardline.operators.joins import BROADCAST_MAX_ROWS, has_at_most, keyed_join
 
 c = F.col
 
@@ -40,9 +40,9 @@ def describe_codes(dx: DataFrame, dictionary: DataFrame, *, key: str = "hadm_id"
     dictionary is a bounded vocabulary; ``keyed_join`` still checks its
     size before broadcasting it.
     """
-    d = dictionary.select(c("icd_code").alias("_code"), c("icd_version").alias("_ver"),
-                          "long_title")
-    j = keyed_join(dx, d, (dx.icd_code == d._code) & (dx.icd_version == d._ver), "left")
+    same_code = (c("icd_code") == c("_code")) & (c("icd_version") == c("_ver"))
+    j = keyed_join(dx, dictionary, [c("icd_code").alias("_code"), c("icd_version").alias("_ver"),
+                                    "long_title"], same_code, "left")
     return j.select(key, normalise_code(c("icd_code")).alias("icd_code_clean"), "icd_version",
                     F.lower(F.coalesce(c("long_title"), F.lit(""))).alias("long_title"))
 
@@ -73,9 +73,12 @@ def code_flag_hits(dx: DataFrame, dictionary: DataFrame, rules: Sequence[CodeRul
           for r in rules if r.title_terms])
     tcols = [f"_t_{r.name}" for r in rules if r.title_terms]
     if tcols:
-        titled = titled.where(F.greatest(*[c(t) for t in tcols]) == 1)
-    j = keyed_join(dx, titled, (dx.icd_code == titled._code) & (dx.icd_version == titled._ver),
-                   "left")
+        titled = titled.where(any_of(*[c(t) for t in tcols]) == 1)
+    # The titled subset is no larger than the dictionary, whose bound is checked.
+    if has_at_most(dictionary, BROADCAST_MAX_ROWS):
+        titled = F.broadcast(titled)
+    same_code = (c("icd_code") == c("_code")) & (c("icd_version") == c("_ver"))
+    j = dx.join(titled, same_code, "left")
     clean = normalise_code(c("icd_code"))
     per_rule = []
     for r in rules:
@@ -84,7 +87,7 @@ def code_flag_hits(dx: DataFrame, dictionary: DataFrame, rules: Sequence[CodeRul
             hit = hit | (F.coalesce(c(f"_t_{r.name}"), F.lit(0)) == 1)
         per_rule.append(flag(hit).alias(r.name))
     rows = j.select(key, *per_rule)
-    rows = rows.where(F.greatest(*[c(r.name) for r in rules]) == 1)
+    rows = rows.where(any_of(*[c(r.name) for r in rules]) == 1)
     return rows.groupBy(key).agg(*[F.max(r.name).alias(r.name) for r in rules])
 
 
@@ -125,7 +128,7 @@ def rollup_flags(df: DataFrame, key: str, conds: Mapping[str, Column],
     """
     rows = df.select(key, *[flag(cond).alias(n) for n, cond in conds.items()])
     if hits_only:
-        rows = rows.where(F.greatest(*[c(n) for n in conds]) == 1)
+        rows = rows.where(any_of(*[c(n) for n in conds]) == 1)
     return rows.groupBy(key).agg(*[F.max(n).alias(n) for n in conds])
 
 

@@ -51,8 +51,7 @@ def statin_rows(base: DataFrame, rx: DataFrame, *, key: str = "hadm_id", stay: s
     kept = rx.where(c("starttime").isNotNull()
                     & (F.coalesce(c("drug_type"), F.lit("")) != excluded_type))
     typed = classify_drugs(kept, "drug", priority).where(c("statin_type").isNotNull())
-    keys = base.select(key, stay, index_time)
-    return keyed_join(typed, keys, key, "inner")
+    return keyed_join(typed, base, [key, stay, index_time], key, "inner")
 
 
 def drug_events(rows: DataFrame, *, stay: str = "stay_id") -> DataFrame:

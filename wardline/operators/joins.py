@@ -2,16 +2,23 @@
 
 Event tables (charting, drugs, diagnoses) are the large, possibly skewed
 inputs; a stay may own a third of all rows.  They are joined to *key tables*
-(one row per stay or admission, a few narrow columns).  ``keyed_join``
-broadcasts a key table only after proving it small with a bounded count, so
-the event side is never shuffled for the join and a hot stay costs nothing
-extra.  Beyond the bound it falls back to a shuffle join, where AQE's skew
-handling splits hot partitions; the operators aggregate right after the join,
-so partial aggregation collapses a hot key before the next exchange.
+(one row per stay or admission, a few narrow columns projected from a
+stage).  ``keyed_join`` broadcasts a key table only after proving its stage
+small with a bounded count, so the event side is never shuffled for the join
+and a hot stay costs nothing extra.  Beyond the bound it falls back to a
+shuffle join, where AQE's skew handling splits hot partitions; the operators
+aggregate right after the join, so partial aggregation collapses a hot key
+before the next exchange.
+
+Row bounds are remembered per DataFrame object: a materialised stage knows
+its exact count, and a stage checked once is not counted again by the next
+operator that joins to it.
 """
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,53 +28,80 @@ from pyspark.sql import functions as F
 # ~80 MB as a hash relation: safe for executors, cheap to ship.
 BROADCAST_MAX_ROWS = 2_000_000
 
+# DataFrame -> (rows, exact).  Inexact entries are lower bounds from a
+# bounded count (``limit(n + 1)``).
+_ROWS: "weakref.WeakKeyDictionary[DataFrame, tuple[int, bool]]" = weakref.WeakKeyDictionary()
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (stops counting at max + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
 
+def note_rows(df: DataFrame, rows: int) -> DataFrame:
+    """Record the exact row count of ``df`` (known from a count or by construction)."""
+    _ROWS[df] = (rows, True)
+    return df
 
-def keyed_join(events: DataFrame, keys: DataFrame, on: str | list[str] | Column,
-               how: str = "inner", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join a large (event) side to a key table, broadcasting the latter when bounded.
 
-    ``how`` must keep the key table on the build side: inner, left,
-    left_semi or left_anti.
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    Counts at most ``max_rows + 1`` rows, once per DataFrame object.
     """
-    if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
-        raise ValueError(f"keyed_join cannot build the key side of a {how} join")
-    if max_rows and has_at_most(keys, max_rows):
-        keys = F.broadcast(keys)
-    return events.join(keys, on, how)
+    known = _ROWS.get(df)
+    if known is not None:
+        rows, exact = known
+        if exact or rows > max_rows:
+            return rows <= max_rows
+    rows = df.limit(max_rows + 1).count()
+    _ROWS[df] = (rows, rows <= max_rows)
+    return rows <= max_rows
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Materialise a stage that several later stages read (the base cohort).
+def key_table(stage: DataFrame, *cols: str, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Narrow projection of ``stage`` for joins; broadcast-hinted when the stage is bounded."""
+    keys = stage.select(*cols)
+    return F.broadcast(keys) if max_rows and has_at_most(stage, max_rows) else keys
+
+
+def keyed_join(events: DataFrame, stage: DataFrame, cols: list[str] | tuple[str, ...] | None,
+               on: str | list[str] | Column, how: str = "inner",
+               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Join a large (event) side to columns ``cols`` of ``stage``.
 
-    With ``spark.checkpoint.dir`` configured (a shared folder on a cluster),
-    the stage is written there by a reliable checkpoint: lineage is cut and
-    a lost executor costs no recomputation.  Without it the stage is
-    persisted to memory and disk; lost blocks are then recomputed from
-    lineage.  Either way the first read below fills it.
+    The stage side is broadcast when its row count is proven to be at most
+    ``max_rows``; ``how`` must keep it on the build side (inner, left,
+    left_semi or left_anti).  ``cols=None`` joins the whole stage.
     """
-    if df.sparkSession.sparkContext.getCheckpointDir():
-        return df.checkpoint(eager=True)
-    out = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out.count()
-    return out
+    if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
+        raise ValueError(f"keyed_join cannot build the key side of a {how} join")
+    keys = key_table(stage, *(cols or stage.columns), max_rows=max_rows)
+    return events.join(keys, on, how)
 
 
-def restrict(events: DataFrame, keys: DataFrame, on: str,
+def restrict(events: DataFrame, stage: DataFrame, on: str,
              max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Keep only events whose key is in ``keys``, when that is free.
+    """Keep only events whose key occurs in ``stage``, when that is free.
 
     Used before aggregating a child table whose result is later left-joined
-    to the same keys: with a bounded key table the semi-join is a map-side
+    to the same stage: with a bounded stage the semi-join is a map-side
     broadcast filter and shrinks the aggregation input; otherwise the events
     are returned unchanged (aggregating all keys first shuffles less than a
     shuffle semi-join, and the caller's left join restricts the result).
     """
-    k = keys.select(on)
-    if has_at_most(k, max_rows):
-        return events.join(F.broadcast(k), on, "left_semi")
+    if has_at_most(stage, max_rows):
+        return events.join(F.broadcast(stage.select(on)), on, "left_semi")
     return events
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Materialise a stage that several later stages read (the base cohort).
+
+    With a checkpoint folder configured (``spark.checkpoint.dir``: shared
+    storage on a cluster) the stage is written there by a reliable
+    checkpoint: lineage is cut and a lost executor costs no recomputation.
+    Without one it is persisted to memory and disk; lost blocks are then
+    recomputed from lineage.  The exact row count is recorded for the
+    broadcast decisions of the stages that read it.
+    """
+    if df.sparkSession.sparkContext.getCheckpointDir():
+        out = df.checkpoint(eager=True)
+    else:
+        out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    return note_rows(out, out.count())

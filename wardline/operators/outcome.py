@@ -43,8 +43,7 @@ def window_min_rollup(base: DataFrame, events: DataFrame, *, key: str = "stay_id
     lo, hi = valid
     ev = events.where(c(value).isNotNull() & c(value).between(lo, hi)).select(key, time, value)
     bounds = [start] + ([end] if end else [])
-    keys = base.select(key, *bounds)
-    joined = keyed_join(ev, keys, key, "inner")
+    joined = keyed_join(ev, base, [key, *bounds], key, "inner")
     joined = joined.where(in_window(c(time), c(start), c(end) if end else None, length))
     return joined.groupBy(key).agg(
         F.min(value).alias(names[0]),
@@ -122,8 +121,7 @@ def _feature_events(base: DataFrame, events: DataFrame, *, key: str, time: str,
                  & ~c("value").ilike(excluded_value)     # NULL text drops the row
                  & c("valuenum").isNotNull())
           .select(key, time, "itemid", "valuenum"))
-    keys = base.select(key, start, *([end] if end else []))
-    joined = keyed_join(ev, keys, key, "inner")
+    joined = keyed_join(ev, base, [key, start, *([end] if end else [])], key, "inner")
     return joined.where(in_window(c(time), c(start), c(end) if end else None, length))
 
 

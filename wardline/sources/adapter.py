@@ -11,12 +11,14 @@ All tables grow with the driver tables (no sampling, no caps).
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.sources import schemas
+from wardline.operators.joins import note_rows
 from wardline.sources.tables import read_table
 
 c = F.col
@@ -145,7 +147,8 @@ ICD_DICTIONARY = (("4019", 9, "Unspecified essential hypertension"),
 
 
 def d_icd_diagnoses(spark, sf_dir):
-    return spark.createDataFrame(list(ICD_DICTIONARY), schema=schemas.D_ICD_DIAGNOSES)
+    df = spark.createDataFrame(list(ICD_DICTIONARY), schema=schemas.D_ICD_DIAGNOSES)
+    return note_rows(df, len(ICD_DICTIONARY))
 
 
 DRUGS = ("Atorvastatin 40mg", "LIPITOR", "Zocor", "Simvastatin", "Lovastatin", "Livalo",
@@ -292,5 +295,16 @@ class Sources(dict):
         return df
 
 
+_CACHE: "weakref.WeakKeyDictionary[SparkSession, dict[str, Sources]]" = weakref.WeakKeyDictionary()
+
+
 def sources(spark: SparkSession, sf_dir: str) -> Sources:
-    return Sources(spark, sf_dir)
+    """The source map of ``sf_dir``, shared by all queries of one session.
+
+    DataFrames are immutable lazy plans, so reusing them only saves the
+    driver-side work of building and analysing them again.
+    """
+    per_session = _CACHE.setdefault(spark, {})
+    if sf_dir not in per_session:
+        per_session[sf_dir] = Sources(spark, sf_dir)
+    return per_session[sf_dir]
