@@ -1,0 +1,231 @@
+"""Timestamp model: operator semantics on hand-written rows."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from tests.conftest import ts
+from wardline.functions import dictionaries as dic
+from wardline.operators import eligibility as elig
+from wardline.operators import exposure as expo
+from wardline.operators import outcome
+from wardline.plans import timestamped as tsp
+
+DAY = dt.timedelta(hours=24)
+US = dt.timedelta(microseconds=1)
+
+
+def rows_by(df, key):
+    return {r[key]: r for r in df.collect()}
+
+
+def test_first_stay_is_ranked_before_sepsis_and_age(make):
+    start = ts(1)
+    src = {
+        "icustays": make("icustays", [
+            (1, 101, 11, ts(1), ts(2), 1.0),      # first stay, not septic
+            (1, 102, 12, ts(3), ts(4), 1.0),      # second stay septic: patient is out
+            (2, 201, 22, ts(5), ts(6), 1.0),      # tie on intime: lower stay id wins
+            (2, 202, 21, ts(5), ts(6), 1.0),
+            (3, 301, 31, None, None, None),       # NULL intime sorts last
+            (3, 302, 32, ts(7), None, 0.5),
+            (4, 401, 41, ts(8), ts(9), 1.0),      # 17 at admission
+            (5, 501, 51, ts(8), ts(9), 1.0),      # exactly 18
+        ]),
+        "sepsis3": make("sepsis3", [
+            (12, start, start, 3), (22, start, start, 3), (21, start, start, 4),
+            (21, ts(2), ts(3), 6), (31, start, start, 3), (32, start, start, 3),
+            (41, start, start, 3), (51, start, start, 3)]),
+        "patients": make("patients", [(i, "F", a, 2020, None)
+                                      for i, a in ((1, 50), (2, 50), (3, 50), (4, 17), (5, 18))]),
+        "admissions": make("admissions", [(h, ts(1), None, "x", 0)
+                                          for h in (101, 102, 201, 202, 301, 302, 401, 501)]),
+    }
+    base = tsp.base_cohort(src, materialized=False)
+    got = rows_by(base, "stay_id")
+    assert set(got) == {21, 32, 51}
+    assert got[21]["sofa_score"] == 6 and got[21]["suspected_infection_time"] == ts(1)
+    assert got[21]["sepsis_time"] == ts(1)
+    assert got[51]["age"] == 18
+    assert base.columns == list(tsp.BASE_COLUMNS)
+
+
+def _base(spark, rows):
+    return spark.createDataFrame(
+        rows, "stay_id long, hadm_id long, icu_intime timestamp_ntz, icu_outtime timestamp_ntz")
+
+
+def test_clipped_half_open_window_and_valid_range(spark, make):
+    s = ts(1)
+    base = _base(spark, [
+        (1, 1, s, None),                       # NULL outtime: window = 24 h
+        (2, 2, s, s + dt.timedelta(hours=6)),  # clipped at outtime (exclusive)
+        (3, 3, s, s),                          # outtime = start: empty window
+        (4, 4, s, s + 2 * DAY),
+        (5, 5, s, s + 2 * DAY),
+        (6, 6, s, s + 2 * DAY),                # no rows at all
+    ])
+    gcs = make("gcs", [
+        (1, s, 14), (1, s + DAY - US, 13), (1, s + DAY, 3), (1, s - US, 3),
+        (2, s + dt.timedelta(hours=5), 15), (2, s + dt.timedelta(hours=6), 10),
+        (3, s, 12),
+        (4, s, 2), (4, s, 16), (4, s, None), (4, s + US, 15),
+        (5, s + US, 3),
+    ])
+    got = rows_by(outcome.window_min(base, gcs), "stay_id")
+    assert set(got) == {1, 2, 3, 4, 5, 6}
+    assert (got[1]["gcs_min_firstday"], got[1]["first_low_gcs_time"],
+            got[1]["sae_by_gcs_firstday"]) == (13, s, 1)
+    assert (got[2]["gcs_min_firstday"], got[2]["sae_by_gcs_firstday"]) == (15, 0)
+    assert got[2]["first_low_gcs_time"] is None
+    assert got[3]["gcs_min_firstday"] is None and got[3]["sae_by_gcs_firstday"] == 0
+    assert got[4]["gcs_min_firstday"] == 15 and got[4]["sae_by_gcs_firstday"] == 0
+    assert got[5]["gcs_min_firstday"] == 3 and got[5]["sae_by_gcs_firstday"] == 1
+    assert got[6]["gcs_min_firstday"] is None and got[6]["sae_by_gcs_firstday"] == 0
+
+
+F1, F2, F3, F4 = 228337, 228336, 228335, 228302
+
+
+def test_cam_rule_needs_features_at_one_instant(spark, make):
+    s = ts(1)
+    t1, t2 = s + dt.timedelta(hours=1), s + dt.timedelta(hours=2)
+    base = _base(spark, [(i, i, s, None) for i in range(1, 10)])
+    ce = make("chartevents", [
+        (1, t1, F1, 1.0, "Yes"), (1, t1, F2, 1.0, "Yes"), (1, t1, F3, 1.0, "Yes"),
+        (2, t1, 228300, 1.0, "x"), (2, t1, 228301, 1.0, "x"), (2, t1, F4, 1.0, "x"),
+        (3, t1, F1, 1.0, "x"), (3, t1, F2, 1.0, "x"),
+        (4, t1, F1, 1.0, "x"), (4, t1, F2, 1.0, "x"), (4, t2, F3, 1.0, "x"),
+        (5, t1, F1, 1.0, "x"), (5, t1, F2, 1.0, "x"), (5, t1, F3, 1.0, "uNaBlE tO aSsEsS - sedated"),
+        (6, t1, F1, 1.0, "x"), (6, t1, F2, 1.0, "x"), (6, t1, F3, 1.0, None),
+        (7, t1, F1, 0.0, "No"), (7, t1, F2, 0.0, "No"), (7, t1, F3, 0.0, "No"),
+        (8, t1, F1, 1.0, "x"), (8, t1, F2, 1.0, "x"), (8, t1, F3, None, "x"),
+        (9, s + DAY, F1, 1.0, "x"), (9, s + DAY, F2, 1.0, "x"), (9, s + DAY, F3, 1.0, "x"),
+        (9, t1, 220045, 1.0, "x"),
+    ])
+    feats = outcome.feature_rows(base, ce)
+    status = rows_by(outcome.rule_status(base, feats), "stay_id")
+    assert {k for k, r in status.items() if r["delirium_positive_firstday"] == 1} == {1, 2, 7}
+    assert status[1]["first_delirium_time"] == t1
+    assert status[3]["first_delirium_time"] is None
+    assert len(status) == 9
+    fast = rows_by(outcome.cam_positive_rollup(base, ce), "stay_id")
+    assert set(fast) == {1, 2, 7}
+    row = feats.where("stay_id = 2 and itemid = 228302").first()
+    assert (row.feat1, row.feat2, row.feat3, row.feat4) == (0, 0, 0, 1)
+
+
+def test_code_rules_versions_ranges_and_titles(spark, make):
+    dx = make("diagnoses_icd", [
+        (1, 10, "I65"), (2, 10, "I69"), (3, 10, "I70"), (4, 10, "i63.9"), (5, 9, "3453"),
+        (6, 9, "3452"), (7, 9, "430"), (8, 9, "438"), (9, 9, "439"), (10, 9, "80121"),
+        (11, 9, "E8001"), (12, 9, "F10.20"), (13, 10, "F10.20"), (14, 9, "4019"),
+        (15, 9, "30500"), (16, 10, "XYZ"), (17, 9, "2910")])
+    dictionary = make("d_icd_diagnoses", [
+        ("4019", 9, "Epidural hematoma"), ("XYZ", 10, "Alcohol-related liver disease"),
+        ("I70", 9, "Meningitis")])           # wrong version: no title for code I70 v10
+    described = rows_by(elig.describe_codes(dx, dictionary), "hadm_id")
+    assert described[4]["icd_code_clean"] == "I639"
+    assert described[1]["long_title"] == ""
+    assert described[14]["long_title"] == "epidural hematoma"
+    flags = rows_by(elig.code_flags(elig.describe_codes(dx, dictionary), tsp.RULES), "hadm_id")
+    brain = {k for k, r in flags.items() if r["acute_brain_injury"] == 1}
+    alcohol = {k for k, r in flags.items() if r["alcohol_abuse"] == 1}
+    assert brain == {1, 2, 4, 5, 7, 8, 10, 14}
+    assert alcohol == {13, 15, 16, 17}
+    hits = rows_by(elig.code_flag_hits(dx, dictionary, tsp.RULES), "hadm_id")
+    assert {k for k, r in hits.items() if r["acute_brain_injury"] == 1} == brain
+    assert {k for k, r in hits.items() if r["alcohol_abuse"] == 1} == alcohol
+
+
+def test_eligibility_defaults_and_join_by_admission(spark, make):
+    base = _base(spark, [(1, 10, ts(1), None), (2, 20, ts(1), None), (3, 30, ts(1), None)])
+    dx = make("diagnoses_icd", [(10, 10, "G41"), (99, 10, "G41"), (30, 10, "Z51")])
+    flags = elig.code_flag_hits(dx, make("d_icd_diagnoses", []), tsp.RULES)
+    got = rows_by(elig.eligibility(base, flags, names=["acute_brain_injury", "alcohol_abuse"]),
+                  "stay_id")
+    assert got[1]["sae_eligible"] == 0 and got[1]["acute_brain_injury"] == 1
+    assert got[2]["sae_eligible"] == 1 and got[2]["acute_brain_injury"] == 0
+    assert got[3]["sae_eligible"] == 1
+
+
+def test_drug_classification_priority_and_exposure(spark, make):
+    s = ts(5)
+    rx = make("prescriptions", [
+        (1, "LIPITOR 10", "MAIN", s - DAY, None),
+        (1, "pravastatin and simvastatin", None, s - DAY, None),   # NULL type kept; priority
+        (2, "Crestor", "BASE", s - DAY, None),                      # BASE dropped
+        (3, "Zocor", "MAIN", s, None),                              # start = index: not before
+        (4, "Nystatin", "MAIN", s - DAY, None),                     # no statin
+        (5, None, "MAIN", s - DAY, None),
+        (6, "rosuvastatin", "MAIN", None, None),                    # no start time
+        (7, "Lescol XL", "ADDITIVE", s - US, s + DAY),
+        (99, "Lipitor", "MAIN", s - DAY, None)])                    # admission not in base
+    typed = rows_by(expo.classify_drugs(rx).select("hadm_id", "drug", "statin_type",
+                                                   "statin_class")
+                    .where("hadm_id in (4, 5, 7)"), "hadm_id")
+    assert typed[4]["statin_type"] is None and typed[5]["statin_class"] is None
+    assert (typed[7]["statin_type"], typed[7]["statin_class"]) == ("fluvastatin", "lipophilic")
+    base = spark.createDataFrame([(i, i, s, None) for i in range(1, 8)],
+                                 "hadm_id long, stay_id long, icu_intime timestamp_ntz, "
+                                 "icu_outtime timestamp_ntz")
+    rows = expo.statin_rows(base, rx)
+    events = expo.drug_events(rows).collect()
+    assert {(r.stay_id, r.statin_type) for r in events} == {
+        (1, "atorvastatin"), (1, "simvastatin"), (3, "simvastatin"), (7, "fluvastatin")}
+    flags = rows_by(expo.exposure_flags(base, rows), "stay_id")
+    assert len(flags) == 7
+    assert flags[1]["statin_before_icu"] == 1 and flags[1]["lipophilic_statin_before_icu"] == 1
+    assert flags[1]["atorvastatin_before_icu"] == 1 and flags[1]["simvastatin_before_icu"] == 1
+    assert flags[1]["pravastatin_before_icu"] == 0
+    assert flags[2]["statin_before_icu"] == 0
+    assert flags[3]["statin_before_icu"] == 0
+    assert flags[7]["fluvastatin_before_icu"] == 1
+
+
+def test_death_inside_closed_interval(spark):
+    from wardline.functions.windows import in_interval_flag
+    s, e = ts(1), ts(3)
+    df = spark.createDataFrame([(1, s, e, s), (2, s, e, e), (3, s, e, e + US), (4, s, e, None),
+                                (5, s, None, s)],
+                               "stay_id long, icu_intime timestamp_ntz, icu_outtime timestamp_ntz,"
+                               " deathtime timestamp_ntz")
+    got = rows_by(df.select("stay_id", in_interval_flag(F.col("deathtime"), F.col("icu_intime"),
+                                                        F.col("icu_outtime")).alias("d")),
+                  "stay_id")
+    assert [got[i]["d"] for i in range(1, 6)] == [1, 1, 0, 0, 0]
+
+
+def test_final_cohort_defaults_and_eligibility(make):
+    s = ts(2)
+    src = {
+        "icustays": make("icustays", [(1, 10, 100, s, s + DAY, 1.0), (2, 20, 200, s, None, 1.0)]),
+        "sepsis3": make("sepsis3", [(100, s, s, 5), (200, s, s, 5)]),
+        "patients": make("patients", [(1, "M", 60, 2020, None), (2, "F", 60, 2020, None)]),
+        "admissions": make("admissions", [(10, s, s + US, "x", 1), (20, s, None, "y", 0)]),
+        "diagnoses_icd": make("diagnoses_icd", [(20, 9, "2910")]),     # stay 200 ineligible
+        "d_icd_diagnoses": make("d_icd_diagnoses", []),
+        "gcs": make("gcs", []), "chartevents": make("chartevents", []),
+        "prescriptions": make("prescriptions", []),
+    }
+    out = tsp.cohort(src, base=tsp.base_cohort(src, materialized=False))
+    assert out.columns == list(tsp.FINAL_COLUMNS) and len(out.columns) == 32
+    (row,) = out.collect()
+    assert row.stay_id == 100 and row.sae_eligible == 1 and row.acute_brain_injury == 0
+    assert row.gcs_min_firstday is None and row.first_delirium_time is None
+    assert row.sae_by_gcs_firstday == 0 and row.sae_within_24h == 0
+    assert row.statin_before_icu == 0 and row.icu_death == 1
+    types = dict(out.dtypes)
+    assert types["sae_within_24h"] == "smallint" and types["gcs_min_firstday"] == "int"
+    assert types["icu_intime"] == "timestamp_ntz"
+
+
+def test_dictionaries_are_consistent():
+    gens = [g for g, _, _ in dic.STATIN_TERMS_PRIORITY]
+    assert sorted(gens) == sorted(dic.STATIN_FLAG_ORDER)
+    classes = [c for _, c, _ in dic.STATIN_TERMS_PRIORITY]
+    # every lipophilic generic precedes every hydrophilic one (class follows type)
+    assert classes == sorted(classes, key=lambda c: c != "lipophilic")
+    assert {t.generic for t in dic.admission_statin_terms()} == set(gens)
