@@ -21,7 +21,7 @@ from wardline.functions.dictionaries import CodeRule
 from wardline.functions.match import (code_rule, list_code_flag, matches_any, normalise_code,
                                       phrase_flag, contains_any)
 from wardline.functions.windows import any_of, flag
-from wardline.operators.joins import BROADCAST_MAX_ROWS, has_at_most, keyed_join
+from wardline.operators.joins import keyed_join
 
 c = F.col
 
@@ -40,9 +40,8 @@ def describe_codes(dx: DataFrame, dictionary: DataFrame, *, key: str = "hadm_id"
     dictionary is a bounded vocabulary; ``keyed_join`` still checks its
     size before broadcasting it.
     """
-    same_code = (c("icd_code") == c("_code")) & (c("icd_version") == c("_ver"))
-    j = keyed_join(dx, dictionary, [c("icd_code").alias("_code"), c("icd_version").alias("_ver"),
-                                    "long_title"], same_code, "left")
+    j = keyed_join(dx, dictionary, ["icd_code", "icd_version", "long_title"],
+                   ["icd_code", "icd_version"], "left", idempotent=False)
     return j.select(key, normalise_code(c("icd_code")).alias("icd_code_clean"), "icd_version",
                     F.lower(F.coalesce(c("long_title"), F.lit(""))).alias("long_title"))
 
@@ -68,17 +67,15 @@ def code_flag_hits(dx: DataFrame, dictionary: DataFrame, rules: Sequence[CodeRul
     """
     title = F.lower(F.coalesce(c("long_title"), F.lit("")))
     titled = dictionary.select(
-        c("icd_code").alias("_code"), c("icd_version").alias("_ver"),
+        "icd_code", "icd_version",
         *[flag(matches_any(title, r.title_terms)).alias(f"_t_{r.name}")
           for r in rules if r.title_terms])
     tcols = [f"_t_{r.name}" for r in rules if r.title_terms]
     if tcols:
         titled = titled.where(any_of(*[c(t) for t in tcols]) == 1)
     # The titled subset is no larger than the dictionary, whose bound is checked.
-    if has_at_most(dictionary, BROADCAST_MAX_ROWS):
-        titled = F.broadcast(titled)
-    same_code = (c("icd_code") == c("_code")) & (c("icd_version") == c("_ver"))
-    j = dx.join(titled, same_code, "left")
+    j = keyed_join(dx, titled, None, ["icd_code", "icd_version"], "left",
+                   bound_from=dictionary)
     clean = normalise_code(c("icd_code"))
     per_rule = []
     for r in rules:

@@ -5,10 +5,13 @@ inputs; a stay may own a third of all rows.  They are joined to *key tables*
 (one row per stay or admission, a few narrow columns projected from a
 stage).  ``keyed_join`` broadcasts a key table only after proving its stage
 small with a bounded count, so the event side is never shuffled for the join
-and a hot stay costs nothing extra.  Beyond the bound it falls back to a
-shuffle join, where AQE's skew handling splits hot partitions; the operators
-aggregate right after the join, so partial aggregation collapses a hot key
-before the next exchange.
+and a hot stay costs nothing extra; the operators aggregate right after the
+join, so partial aggregation collapses a hot key before the next exchange.
+
+Beyond the bound, hot keys are found by an exact count and salted
+(:func:`split_hot_join`), so no task receives more than about
+``HOT_KEY_ROWS`` rows of one key whatever the session configuration (AQE's
+skew split, when enabled, is a second guard).
 
 Row bounds are remembered per DataFrame object: a materialised stage knows
 its exact count, and a stage checked once is not counted again by the next
@@ -20,7 +23,7 @@ from __future__ import annotations
 import weakref
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Largest key table broadcast to every task.  A key table row is a long id
@@ -54,29 +57,94 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     return rows <= max_rows
 
 
-def key_table(stage: DataFrame, *cols: str, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Narrow projection of ``stage`` for joins; broadcast-hinted when the stage is bounded."""
-    keys = stage.select(*cols)
-    return F.broadcast(keys) if max_rows and has_at_most(stage, max_rows) else keys
+def key_table(stage: DataFrame, *cols, max_rows: int | None = None,
+              bound_from: DataFrame | None = None) -> tuple[DataFrame, bool]:
+    """Projection of ``stage`` for joins, broadcast-hinted when proven bounded.
+
+    ``bound_from`` is a DataFrame known to have at least as many rows
+    (a filtered projection is bounded by its source).
+    """
+    keys = stage.select(*cols) if cols else stage
+    max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
+    small = bool(max_rows) and has_at_most(bound_from if bound_from is not None else stage,
+                                           max_rows)
+    return (F.broadcast(keys) if small else keys), small
 
 
-def keyed_join(events: DataFrame, stage: DataFrame, cols: list[str] | tuple[str, ...] | None,
-               on: str | list[str] | Column, how: str = "inner",
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join a large (event) side to columns ``cols`` of ``stage``.
+def keyed_join(events: DataFrame, stage: DataFrame, cols, on: str | list[str],
+               how: str = "inner", max_rows: int | None = None,
+               bound_from: DataFrame | None = None, idempotent: bool = True,
+               hot_rows: int | None = None) -> DataFrame:
+    """Join a large (event) side to columns ``cols`` of ``stage`` on key names ``on``.
 
     The stage side is broadcast when its row count is proven to be at most
-    ``max_rows``; ``how`` must keep it on the build side (inner, left,
-    left_semi or left_anti).  ``cols=None`` joins the whole stage.
+    ``max_rows``: the events then stay where they are and a hot key costs
+    nothing extra.  Otherwise :func:`split_hot_join` shuffles both sides
+    with hot keys salted.  ``how`` must keep the stage on the build side
+    (inner, left, left_semi or left_anti).  ``idempotent`` states that the
+    caller's result ignores duplicate event rows (min, max, any, distinct),
+    which lets the fallback collapse copies before it shuffles.
     """
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         raise ValueError(f"keyed_join cannot build the key side of a {how} join")
-    keys = key_table(stage, *(cols or stage.columns), max_rows=max_rows)
-    return events.join(keys, on, how)
+    keys, small = key_table(stage, *(cols or ()), max_rows=max_rows, bound_from=bound_from)
+    if small:
+        return events.join(keys, on, how)
+    return split_hot_join(events, keys, on, how, idempotent=idempotent,
+                          hot_rows=hot_rows)
+
+
+# A key with more event rows than this is split across tasks (about one
+# task's worth of rows); at most HOT_KEYS_MAX such keys can exist below
+# 5e12 rows, and their salt table is broadcast.
+HOT_KEY_ROWS = 5_000_000
+HOT_KEYS_MAX = 1_000_000
+
+
+def split_hot_join(events: DataFrame, keys: DataFrame, on: str | list[str], how: str = "inner",
+                   *, idempotent: bool = False, hot_rows: int | None = None) -> DataFrame:
+    """Shuffle join that spreads hot keys of the event side over several tasks.
+
+    1. Count event rows per key (partial aggregation; only the key columns
+       and the filters' columns are read) and keep keys above ``hot_rows``
+       with ``ceil(rows / hot_rows)`` salts each: a bounded, broadcast table.
+    2. Each event row of a hot key gets a deterministic salt, a hash of its
+       content (stable under task retries, unlike a random salt); cold keys
+       get salt 0.  Each key row is repeated once per salt of its key, so
+       only hot keys are replicated, in proportion to their size.
+    3. Join on (key, salt).  With ``idempotent`` the events are made
+       distinct first, so even a key made of identical copies collapses to
+       one row per map task before any shuffle.
+
+    Every event row meets exactly the key rows it would meet unsalted, so
+    inner, left, semi and anti joins keep their meaning.
+    """
+    on = [on] if isinstance(on, str) else list(on)
+    hot_rows = hot_rows or HOT_KEY_ROWS
+    counts = events.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.where(F.col("_n") > hot_rows).select(
+        *on, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_salts"))
+    if idempotent:
+        events = events.distinct()
+    if has_at_most(hot, 0) or not has_at_most(hot, HOT_KEYS_MAX):
+        # No hot key: a plain shuffle join is balanced.  (More than
+        # HOT_KEYS_MAX hot keys needs > 5e12 rows; AQE's skew split then
+        # remains the guard.)
+        return events.join(keys, on, how)
+    hot = F.broadcast(materialize(hot))       # small; read twice below, counted once
+    salted = (events.join(hot, on, "left")
+              .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(
+                  F.pmod(F.xxhash64(*[F.col(c) for c in events.columns]), F.col("_salts"))))
+              .drop("_salts"))
+    spread = (keys.join(hot, on, "left")
+              .withColumn("_salt", F.explode(F.sequence(
+                  F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))
+              .drop("_salts"))
+    return salted.join(spread, [*on, "_salt"], how).drop("_salt")
 
 
 def restrict(events: DataFrame, stage: DataFrame, on: str,
-             max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+             max_rows: int | None = None) -> DataFrame:
     """Keep only events whose key occurs in ``stage``, when that is free.
 
     Used before aggregating a child table whose result is later left-joined
@@ -85,7 +153,8 @@ def restrict(events: DataFrame, stage: DataFrame, on: str,
     are returned unchanged (aggregating all keys first shuffles less than a
     shuffle semi-join, and the caller's left join restricts the result).
     """
-    if has_at_most(stage, max_rows):
+    max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
+    if max_rows and has_at_most(stage, max_rows):
         return events.join(F.broadcast(stage.select(on)), on, "left_semi")
     return events
 

@@ -70,7 +70,7 @@ def base_cohort(src, materialized: bool = True) -> DataFrame:
     is broadcast once its size is checked).
     """
     p = first_by_counter(src["patient"], "unitvisitnumber")
-    j = keyed_join(p, src["hospital"], None, "hospitalid", "left")
+    j = keyed_join(p, src["hospital"], None, "hospitalid", "left", idempotent=False)
     b = j.select(
         *[c(n) for n in ("uniquepid", "patienthealthsystemstayid", KEY, "unitvisitnumber",
                          "hospitalid", "region", "unittype", "apacheadmissiondx",
