@@ -110,3 +110,15 @@ def test_split_hot_join_spreads_one_hot_key(spark):
     assert out.where("tag = 'hot'").count() == 1000
     copies = spark.range(0, 500).select(F.lit(1).cast("long").alias("k"), F.lit(7).alias("v"))
     assert split_hot_join(copies, keys, "k", "inner", idempotent=True, hot_rows=10).count() == 1
+
+
+def test_job_writes_stages_and_partitioned_finals(spark):
+    from wardline.plans import jobs
+    out = tempfile.mkdtemp(prefix="wardline-job-")
+    written = jobs.build(spark, SF0001, out, with_stages=True)
+    assert len(written) == 14 + 2 + 1
+    final = spark.read.parquet(written["timestamped_final_cohort"])
+    assert final.count() == entry.entry(spark).count() > 0
+    assert any(d.startswith("sae_within_24h=") for d in os.listdir(written["offset_final_cohort"]))
+    s = {r.cohort: r for r in spark.read.parquet(written["cohort_summary"]).collect()}
+    assert s["timestamped"].n_rows == final.count()

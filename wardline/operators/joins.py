@@ -162,15 +162,21 @@ def restrict(events: DataFrame, stage: DataFrame, on: str,
 def materialize(df: DataFrame) -> DataFrame:
     """Materialise a stage that several later stages read (the base cohort).
 
-    With a checkpoint folder configured (``spark.checkpoint.dir``: shared
-    storage on a cluster) the stage is written there by a reliable
-    checkpoint: lineage is cut and a lost executor costs no recomputation.
-    Without one it is persisted to memory and disk; lost blocks are then
-    recomputed from lineage.  The exact row count is recorded for the
-    broadcast decisions of the stages that read it.
+    The stage is computed once into the cache (memory, spilling to disk),
+    which also yields its exact row count for the broadcast decisions of the
+    stages that read it.  With a checkpoint folder configured
+    (``spark.checkpoint.dir``: shared storage on a cluster) the cached rows
+    are then written there by a reliable checkpoint and the cache is
+    dropped: lineage is cut and a lost executor costs no recomputation.
+    (Checkpointing without the cache would compute the stage twice.)
+    Without a checkpoint folder the persisted stage is returned; lost
+    blocks are recomputed from lineage.
     """
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = cached.count()
     if df.sparkSession.sparkContext.getCheckpointDir():
-        out = df.checkpoint(eager=True)
+        out = cached.checkpoint(eager=True)
+        cached.unpersist()
     else:
-        out = df.persist(StorageLevel.MEMORY_AND_DISK)
-    return note_rows(out, out.count())
+        out = cached
+    return note_rows(out, rows)
