@@ -1 +1,8 @@
+"""Streaming: intentionally empty.
 
+The cohort definitions have no streams.  Their "first 24 hours" are
+per-patient range predicates over complete tables (see
+:mod:`wardline.functions.windows`), not event-time windows, and every
+stage needs the whole stay (minimum over a window, first positive time),
+so the batch plans in :mod:`wardline.plans` are the implementation.
+"""
