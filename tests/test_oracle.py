@@ -37,3 +37,17 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert len(rows) > 0 and len(df.columns) == 32
     assert df.schema == entry.entry(spark).schema
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT",
+                 "string": "VARCHAR", "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP",
+                 "date": "DATE", "decimal(38,18)": "DECIMAL(38,18)"}
+
+
+def test_column_types_match_oracle(spark):
+    from tests.conftest import SF0001
+    con = duck(SF0001)
+    for key in sorted(QUERIES):
+        spark_types = {c: SPARK_TO_DUCK.get(t, t) for c, t in QUERIES[key](spark, SF0001).dtypes}
+        duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {ORACLE[key]}").fetchall()}
+        assert spark_types == duck_types, key

@@ -159,6 +159,15 @@ def restrict(events: DataFrame, stage: DataFrame, on: str,
     return events
 
 
+def checkpoint_dir(spark) -> str | None:
+    """The session's reliable checkpoint folder, if one is configured."""
+    try:
+        found = spark.sparkContext.getCheckpointDir()
+    except Exception:                      # sessions without a SparkContext handle
+        found = None
+    return found or spark.conf.get("spark.checkpoint.dir", None)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Materialise a stage that several later stages read (the base cohort).
 
@@ -174,7 +183,7 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     rows = cached.count()
-    if df.sparkSession.sparkContext.getCheckpointDir():
+    if checkpoint_dir(df.sparkSession):
         out = cached.checkpoint(eager=True)
         cached.unpersist()
     else:
