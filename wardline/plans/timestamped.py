@@ -65,14 +65,23 @@ def onset(src) -> DataFrame:
                         {"sofa_score": "sofa_score"})
 
 
+def _patients(src) -> DataFrame:
+    return src["patients"].select("subject_id", "anchor_age", "anchor_year", "gender",
+                                  c("dod").alias("death_time"))
+
+
+def _admissions(src) -> DataFrame:
+    return src["admissions"].select("hadm_id", "admittime", "deathtime", "race",
+                                    "hospital_expire_flag")
+
+
+def _age(df: DataFrame) -> DataFrame:
+    return df.withColumn("age", anchored_age(c("anchor_age"), c("anchor_year"), c("admittime")))
+
+
 def stay_ages(src, stays: DataFrame) -> DataFrame:
     """U4: stays with patient and admission attributes and the anchored age."""
-    pat = src["patients"].select("subject_id", "anchor_age", "anchor_year", "gender",
-                                 c("dod").alias("death_time"))
-    adm = src["admissions"].select("hadm_id", "admittime", "deathtime", "race",
-                                   "hospital_expire_flag")
-    j = stays.join(adm, "hadm_id").join(pat, "subject_id")
-    return j.withColumn("age", anchored_age(c("anchor_age"), c("anchor_year"), c("admittime")))
+    return _age(stays.join(_admissions(src), "hadm_id").join(_patients(src), "subject_id"))
 
 
 def base_cohort(src, materialized: bool = True) -> DataFrame:
@@ -80,9 +89,13 @@ def base_cohort(src, materialized: bool = True) -> DataFrame:
 
     The rank runs over all stays before the onset join and the age filter,
     so a patient whose first stay is not septic is out even if a later one is.
+    Join order follows the partitioning: the rank leaves the stays hashed by
+    patient, so the patient join needs no second shuffle of them; the onset
+    roll-up arrives hashed by stay from its own aggregation.
     """
-    b = stay_ages(src, first_stays(src).join(onset(src), "stay_id"))
-    b = b.where(c("age") >= 18).select(*BASE_COLUMNS)
+    b = (first_stays(src).join(_patients(src), "subject_id")
+         .join(onset(src), "stay_id").join(_admissions(src), "hadm_id"))
+    b = _age(b).where(c("age") >= 18).select(*BASE_COLUMNS)
     return materialize(b) if materialized else b
 
 
