@@ -1,19 +1,23 @@
-"""Property tests: the DataFrame rewrites equal the study's query shapes.
+"""Property tests: operators equal brute-force models of the study's queries.
 
-The study joins two child tables under one parent and aggregates the
-fan-out; the operators pre-aggregate each child and join 1:1.  The study's
-flags are ``max`` over the joined rows, modelled here by brute force in
-plain Python, row by row, on random fixtures.
+Each model is plain Python, row by row, written from the study's SQL shape
+(e.g. the eligibility model enumerates the fan-out of two child tables under
+one stay, which the operator avoids by pre-aggregating each child).  Random
+fixtures draw from boundary values: window edges, validity limits, numeric
+texts, NULLs.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import re
+from decimal import Decimal
 
 from hypothesis import given, settings, strategies as st
 
 from wardline.functions import dictionaries as dic
 from wardline.operators import eligibility as elig
+from wardline.operators import outcome
 from wardline.plans import offset as off
 from wardline.plans import timestamped as tsp
 
@@ -108,3 +112,117 @@ def test_stage_invariants_on_driver_data(spark):
     obase = off.base_cohort(src)
     assert off.exposure_stage(src, obase).count() == obase.count()
     assert off.eligibility_stage(src, obase).count() == obase.count()
+
+
+# ---------------------------------------------------------------- outcome operators
+
+T0 = dt.datetime(2020, 1, 1)
+H = dt.timedelta(hours=1)
+US = dt.timedelta(microseconds=1)
+OFFSETS_H = [-1, 0, 1, 6, 23, 24, 30]                       # hours from intime
+TIME_DELTAS = [h * H for h in OFFSETS_H] + [24 * H - US, -US]
+
+
+def brute_window_min(stays, events):
+    out = {}
+    for stay, outtime in stays:
+        end = T0 + 24 * H if outtime is None else min(outtime, T0 + 24 * H)
+        vals = [(t, g) for s, t, g in events
+                if s == stay and g is not None and 3 <= g <= 15 and T0 <= t < end]
+        m = min((g for _, g in vals), default=None)
+        low = min((t for t, g in vals if g < 15), default=None)
+        out[stay] = (m, low, int(m is not None and m < 15))
+    return out
+
+
+@settings(max_examples=12, deadline=None)
+@given(stays=st.lists(st.tuples(st.integers(1, 5), st.sampled_from([None] + TIME_DELTAS)),
+                      min_size=1, max_size=5, unique_by=lambda t: t[0]),
+       events=st.lists(st.tuples(st.integers(1, 6), st.sampled_from(TIME_DELTAS),
+                                 st.sampled_from([None, 1, 2, 3, 9, 14, 15, 16])), max_size=14))
+def test_window_min_equals_brute_force(spark, make, stays, events):
+    stays = [(s, None if d is None else T0 + d) for s, d in stays]
+    events = [(s, T0 + d, g) for s, d, g in events]
+    base = spark.createDataFrame([(s, T0, o) for s, o in stays],
+                                 "stay_id long, icu_intime timestamp_ntz, icu_outtime timestamp_ntz")
+    got = {r[0]: (r[1], r[2], r[3]) for r in
+           outcome.window_min(base, make("gcs", events)).collect()}
+    assert got == brute_window_min(stays, events)
+
+
+NUMBER = re.compile(r"-?[0-9]+\.?[0-9]*")
+PAIRS = [("Glasgow coma score", "GCS Total"), ("Score (Glasgow Coma Scale)", "Value"),
+         ("Glasgow coma score", "Eyes"), ("Pain Score", "Value")]
+TEXTS = [None, "1", "2", "2.5", "3", "14", "14.999", "15", "15.", "15.5", "16", "-", ".", "abc",
+         "-3", " 14"]
+
+
+def brute_offset_min(rows):
+    per = {}
+    for stay, off_, cat, (lab, nam), val in rows:
+        if cat not in ("Scores", "Other Vital Signs and Infusions") or not 0 <= off_ <= 1440:
+            continue
+        score = None
+        if (lab, nam) in PAIRS[:2] and val is not None and NUMBER.fullmatch(val):
+            score = Decimal(val)
+        cur = per.setdefault((stay, off_), [])
+        if score is not None:
+            cur.append(score)
+    out = {}
+    for (stay, off_), scores in per.items():
+        m = min(scores, default=None)
+        if m is not None and 2 < m < 16:
+            out.setdefault(stay, []).append((off_, m))
+    res = {}
+    for stay, vals in out.items():
+        mn = min(v for _, v in vals)
+        res[stay] = (mn, min(o for o, _ in vals),
+                     min((o for o, v in vals if v < 15), default=None), int(mn < 15))
+    return res
+
+
+@settings(max_examples=12, deadline=None)
+@given(rows=st.lists(st.tuples(st.integers(1, 4), st.sampled_from([-1, 0, 360, 1440, 1441]),
+                               st.sampled_from(["Scores", "Other Vital Signs and Infusions",
+                                                "Vital Signs"]),
+                               st.sampled_from(PAIRS), st.sampled_from(TEXTS)), max_size=16))
+def test_offset_min_equals_brute_force(spark, make, rows):
+    nc = make("nursecharting", [(s, o, c, lab, nam, v) for s, o, c, (lab, nam), v in rows])
+    got = {r[0]: (r[1], r[2], r[3], r[4]) for r in outcome.offset_min(nc).collect()}
+    assert got == brute_offset_min(rows)
+
+
+ITEMS = [228337, 228300, 228336, 229325, 228335, 228303, 228302, 228334, 220045]
+FEATURE = {228337: 1, 228300: 1, 228336: 2, 229325: 2, 228335: 3, 228303: 3, 228302: 4,
+           228334: 4}
+
+
+def brute_cam(stays, events):
+    out = {}
+    for stay in stays:
+        present = {}
+        for s, d, item, num, val in events:
+            if (s != stay or item not in FEATURE or num is None or val is None
+                    or "unable to assess" in val.lower() or not T0 <= T0 + d < T0 + 24 * H):
+                continue
+            present.setdefault(T0 + d, set()).add(FEATURE[item])
+        pos = [t for t, f in present.items() if {1, 2, 3} <= f or {1, 2, 4} <= f]
+        out[stay] = (min(pos, default=None), int(bool(pos)))
+    return out
+
+
+@settings(max_examples=12, deadline=None)
+@given(events=st.lists(st.tuples(st.integers(1, 3), st.sampled_from([0 * H, 2 * H, 24 * H]),
+                                 st.sampled_from(ITEMS), st.sampled_from([None, 0.0, 1.0]),
+                                 st.sampled_from([None, "Yes", "Unable to Assess"])),
+                       max_size=24))
+def test_cam_rule_equals_brute_force(spark, make, events):
+    stays = [1, 2, 3]
+    base = spark.createDataFrame([(s, T0, None) for s in stays],
+                                 "stay_id long, icu_intime timestamp_ntz, icu_outtime timestamp_ntz")
+    ce = make("chartevents", [(s, T0 + d, i, n, v) for s, d, i, n, v in events])
+    status = outcome.rule_status(base, outcome.feature_rows(base, ce))
+    got = {r[0]: (r[1], r[2]) for r in status.collect()}
+    assert got == brute_cam(stays, events)
+    fast = {r[0]: r[1] for r in outcome.cam_positive_rollup(base, ce).collect()}
+    assert fast == {s: t for s, (t, f) in got.items() if f}
