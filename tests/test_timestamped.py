@@ -229,3 +229,16 @@ def test_dictionaries_are_consistent():
     # every lipophilic generic precedes every hydrophilic one (class follows type)
     assert classes == sorted(classes, key=lambda c: c != "lipophilic")
     assert {t.generic for t in dic.admission_statin_terms()} == set(gens)
+
+
+def test_every_term_classifies_in_any_case(spark):
+    rows = []
+    for generic, cls, terms in dic.STATIN_TERMS_PRIORITY:
+        for t in terms:
+            for text in (t, t.upper(), t.capitalize(), f"x {t.upper()} 10 mg"):
+                rows.append((text, generic, cls))
+    df = spark.createDataFrame(rows, "drug string, want_type string, want_class string")
+    bad = (expo.classify_drugs(df)
+           .where("statin_type <> want_type OR statin_class <> want_class OR statin_type IS NULL")
+           .collect())
+    assert bad == [] and len(rows) == 4 * 27
