@@ -62,6 +62,18 @@ class SchemaMismatch(ValueError):
     pass
 
 
+def conform(df: DataFrame, expected: T.StructType, name: str = "table") -> DataFrame:
+    """Select the declared columns of ``df`` cast to their declared types.
+
+    For stored tables whose physical types differ (e.g. ``timestamp`` for
+    ``timestamp_ntz``, ``int`` ids); a missing column still fails.
+    """
+    missing = [f.name for f in expected.fields if f.name not in df.columns]
+    if missing:
+        raise SchemaMismatch(f"{name}: missing columns {', '.join(missing)}")
+    return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in expected.fields])
+
+
 def check_schema(df: DataFrame, expected: T.StructType, name: str = "table") -> DataFrame:
     """Fail fast if ``df`` lacks a declared column or carries it with another type.
 

@@ -27,3 +27,39 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None,
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
+
+
+class TableSources(dict):
+    """Lazy ``name -> DataFrame`` map over stored clinical tables.
+
+    ``read(name)`` gives the raw table; each one is checked against (or,
+    with ``conform``, cast to) its declared schema on first use.
+    """
+
+    def __init__(self, read, conform: bool = False):
+        super().__init__()
+        self._read, self._conform = read, conform
+
+    def __missing__(self, name: str) -> DataFrame:
+        from wardline.sources import schemas
+        declared = schemas.SOURCES[name]
+        df = self._read(name)
+        if self._conform:
+            df = schemas.conform(df, declared, name)
+        df = schemas.check_schema(df, declared, name)
+        self[name] = df
+        return df
+
+
+def parquet_sources(spark: SparkSession, root: str, conform: bool = False) -> TableSources:
+    """Clinical tables stored as ``{root}/{name}`` parquet datasets (files or folders)."""
+    def read(name: str) -> DataFrame:
+        path = os.path.join(root, name)
+        return spark.read.parquet(path if os.path.exists(path) or "://" in root
+                                  else path + ".parquet")
+    return TableSources(read, conform)
+
+
+def catalog_sources(spark: SparkSession, database: str, conform: bool = False) -> TableSources:
+    """Clinical tables registered in the session catalog as ``{database}.{name}``."""
+    return TableSources(lambda name: spark.table(f"{database}.{name}"), conform)
