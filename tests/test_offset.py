@@ -138,7 +138,9 @@ def test_term_match_join_many_terms_per_row(spark, make):
         (1, "amlodipine / atorvastatin (Lipitor)"), (2, "simvastatin or rosuvastatin"),
         (3, "Nystatin"), (4, None), (5, "PRAVACHOL")])
     from wardline.functions.match import terms_frame
-    m = expo.match_terms(drugs, terms_frame(spark, dic.admission_statin_terms()))
+    m = expo.match_terms(drugs, dic.admission_statin_terms())
+    as_frame = expo.match_terms(drugs, terms_frame(spark, dic.admission_statin_terms()))
+    assert sorted(m.collect()) == sorted(as_frame.collect())
     got = sorted((r.patientunitstayid, r.generic_name, r.statin_type) for r in m.collect())
     assert got == [(1, "atorvastatin", "lipophilic"), (2, "rosuvastatin", "hydrophilic"),
                    (2, "simvastatin", "lipophilic"), (5, "pravastatin", "hydrophilic")]

@@ -1,8 +1,9 @@
 """Drug exposure: term classification, drug events, before-index flags.
 
-Term dictionaries are constants of a known, small size, so they are
-broadcast directly; the drug tables themselves are only filtered,
-classified and joined to the narrow base key table.
+Term dictionaries are data of a known, small size: they become literal
+expressions (a ``CASE`` chain, a literal array), so matching needs no join;
+the drug tables themselves are only filtered, classified and joined to the
+narrow base key table.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions import dictionaries as dic
+from wardline.functions.dictionaries import Term
 from wardline.functions.match import class_of, classify_terms
 from wardline.functions.windows import flag
 from wardline.operators.joins import has_at_most, keyed_join
@@ -93,21 +95,30 @@ def exposure_flags(base: DataFrame, rows: DataFrame, *, stay: str = "stay_id",
 
 # ---------------------------------------------------------------- U27: term match join
 
-def match_terms(df: DataFrame, terms: DataFrame, *, key: str = "patientunitstayid",
-                text: str = "drugname", term: str = "match_term",
+def match_terms(df: DataFrame, terms, *, key: str = "patientunitstayid", text: str = "drugname",
                 keep: Sequence[str] = ("generic_name", "statin_type")) -> DataFrame:
     """Distinct (key, generic, class) for every term contained in ``lower(text)``.
 
-    A row may match several terms.  The term dictionary is broadcast after a
-    size check, so the theta join is a per-row scan of a small list (no
-    shuffle of the drug table); the ``distinct`` pre-aggregates map-side.
+    The study's theta join (``text LIKE '%' || term || '%'``) lets a row match
+    several terms.  The term dictionary is data of bounded size (a sequence
+    of :class:`Term`, or a DataFrame of at most ``TERMS_MAX_ROWS`` rows), so
+    it becomes one literal array: each row keeps the terms its text
+    contains (a higher-order ``filter``) and ``explode`` emits one row per
+    hit.  No join, no shuffle of the drug table; the ``distinct``
+    pre-aggregates map-side.
     """
-    if not has_at_most(terms, TERMS_MAX_ROWS):
-        raise ValueError(f"term dictionary larger than {TERMS_MAX_ROWS} rows")
+    if isinstance(terms, DataFrame):
+        if not has_at_most(terms, TERMS_MAX_ROWS):
+            raise ValueError(f"term dictionary larger than {TERMS_MAX_ROWS} rows")
+        terms = [Term(r["generic_name"], r["statin_type"], r["match_term"])
+                 for r in terms.collect()]
+    table = F.array(*[F.struct(F.lit(t.generic).alias("generic_name"),
+                               F.lit(t.drug_class).alias("statin_type"),
+                               F.lit(t.term).alias("match_term")) for t in terms])
     low = F.lower(F.coalesce(c(text), F.lit("")))
-    j = df.select(key, low.alias("_text")).join(
-        F.broadcast(terms), F.col("_text").contains(terms[term]), "inner")
-    return j.select(key, *keep).distinct()
+    hits = F.filter(table, lambda t: low.contains(t["match_term"]))
+    rows = df.select(key, F.explode(hits).alias("_t"))
+    return rows.select(key, *[c(f"_t.{k}").alias(k) for k in keep]).distinct()
 
 
 # ---------------------------------------------------------------- U28: undated flags

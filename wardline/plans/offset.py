@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from wardline.functions import dictionaries as dic
 from wardline.functions.decode import decode_age, decode_by_substring
-from wardline.functions.match import contains_any, terms_frame
+from wardline.functions.match import contains_any
 from wardline.functions.windows import any_flag
 from wardline.operators import eligibility as elig
 from wardline.operators import exposure as expo
@@ -112,8 +112,7 @@ def delirium_stage(src) -> DataFrame:
 def term_matches(src, base: DataFrame | None = None) -> DataFrame:
     """U27 over admission drugs (optionally only base stays)."""
     drugs = src["admissiondrug"] if base is None else restrict(src["admissiondrug"], base, KEY)
-    terms = terms_frame(drugs.sparkSession, dic.admission_statin_terms())
-    return expo.match_terms(drugs, terms)
+    return expo.match_terms(drugs, dic.admission_statin_terms())
 
 
 def exposure_stage(src, base: DataFrame) -> DataFrame:
