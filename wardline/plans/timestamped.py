@@ -28,7 +28,7 @@ from wardline.functions.windows import any_flag, flag, in_interval_flag
 from wardline.operators import eligibility as elig
 from wardline.operators import exposure as expo
 from wardline.operators import outcome
-from wardline.operators.joins import materialize, restrict
+from wardline.operators.joins import keyed_join, materialize, restrict
 from wardline.operators.select import first_per_entity, onset_rollup
 
 c = F.col
@@ -164,13 +164,17 @@ def composite_stage(src, base: DataFrame) -> DataFrame:
 def cohort(src, base: DataFrame | None = None) -> DataFrame:
     """U31: the final timestamp cohort, 32 columns, eligible stays only.
 
-    Eligibility is an anti-join against admissions with any condition hit
-    (eligible = no hit), so the kept rows carry flags 0, 0 and 1.  Each
-    outcome and exposure roll-up holds one row per stay with data and is
-    joined once; absent rows become 0 flags and NULL times.
+    Eligibility is an anti-join against stays whose admission has any
+    condition hit (eligible = no hit), so the kept rows carry flags 0, 0 and
+    1; the hits are mapped to stay ids first, so every join of the final
+    cohort is on the stay key.  Each outcome and exposure roll-up holds one
+    row per stay with data and is joined once; absent rows become 0 flags
+    and NULL times.
     """
     b = base if base is not None else base_cohort(src)
-    kept = b.join(eligibility_hits(src, b), "hadm_id", "left_anti")
+    hit_stays = keyed_join(eligibility_hits(src, b), b, ["hadm_id", "stay_id"], "hadm_id",
+                           "inner").select("stay_id")
+    kept = b.join(hit_stays, "stay_id", "left_anti")
     g = outcome.window_min_rollup(b, src["gcs"])
     d = outcome.cam_positive_rollup(b, src["chartevents"])
     e = expo.exposure_rollup(statin_rows(src, b))
