@@ -147,3 +147,33 @@ def test_stored_tables_give_the_same_cohorts(spark):
         assert a.count() == b.count() > 0 and a.exceptAll(b).count() == 0
     with pytest.raises(Exception):
         parquet_sources(spark, root)["icustays"]          # unconformed types are rejected
+
+
+def test_hot_key_is_spread_over_partitions(spark):
+    """A key holding a third of all rows lands in many shuffle partitions."""
+    from pyspark.sql import functions as F
+    from wardline.operators.joins import split_hot_join
+    n = 30000
+    events = spark.range(0, n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).cast("long").alias("k"),
+        F.col("id").alias("v"))
+    keys = spark.range(0, n).select(F.col("id").alias("k"), F.lit("x").alias("tag"))
+    conf = {"spark.sql.adaptive.enabled": "false",              # keep the raw partitioning
+            "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        def hot_rows_per_partition(df):
+            return [r["count"] for r in
+                    df.where("k = 0").groupBy(F.spark_partition_id()).count().collect()]
+        plain = hot_rows_per_partition(events.join(keys, "k"))
+        salted_df = split_hot_join(events, keys, "k", "inner", hot_rows=500)
+        salted = hot_rows_per_partition(salted_df)
+        total = salted_df.count()
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert plain == [n // 3]                                    # unsalted: one task holds it
+    assert total == n and sum(salted) == n // 3
+    assert len(salted) >= 8 and max(salted) <= n // 9           # salted: spread out
