@@ -177,3 +177,15 @@ def test_hot_key_is_spread_over_partitions(spark):
     assert plain == [n // 3]                                    # unsalted: one task holds it
     assert total == n and sum(salted) == n // 3
     assert len(salted) >= 8 and max(salted) <= n // 9           # salted: spread out
+
+
+def test_broadcast_needs_a_byte_bound_too(spark, monkeypatch):
+    from wardline.operators import joins
+    wide = spark.createDataFrame([(i, "t" * 1000) for i in range(50)], "k long, title string")
+    narrow = spark.createDataFrame([(i,) for i in range(50)], "k long")
+    events = spark.range(0, 100).withColumnRenamed("id", "k")
+    monkeypatch.setattr(joins, "BROADCAST_MAX_BYTES", 10_000)
+    _, wide_small = joins.key_table(wide, "k", "title")
+    _, narrow_small = joins.key_table(narrow, "k")
+    assert narrow_small and not wide_small
+    assert keyed_join(events, wide, None, "k", "inner").count() == 50

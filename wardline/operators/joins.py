@@ -25,11 +25,16 @@ import weakref
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Largest key table broadcast to every task.  A key table row is a long id
 # plus at most two timestamps (< 40 bytes in UnsafeRow form), so this is
 # ~80 MB as a hash relation: safe for executors, cheap to ship.
 BROADCAST_MAX_ROWS = 2_000_000
+# Byte budget for a broadcast side with variable-width columns (strings):
+# fixed-width columns count 8 bytes, strings their actual length, summed by
+# one aggregate over the (already row-bounded) side.
+BROADCAST_MAX_BYTES = 128 * 1024 * 1024
 
 # DataFrame -> (rows, exact).  Inexact entries are lower bounds from a
 # bounded count (``limit(n + 1)``).
@@ -57,17 +62,37 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     return rows <= max_rows
 
 
+def within_bytes(df: DataFrame, max_bytes: int, rows: int) -> bool:
+    """True when ``df`` (known to have at most ``rows`` rows) fits ``max_bytes``.
+
+    Fixed-width columns cost 8 bytes per row; string and binary columns are
+    measured (sum of lengths), so a dictionary of long titles is caught.
+    """
+    var = [f.name for f in df.schema.fields
+           if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    fixed = 8 * (len(df.schema.fields) - len(var)) * rows
+    if not var:
+        return fixed <= max_bytes
+    total = df.select(sum(F.coalesce(F.length(F.col(v)).cast("long"), F.lit(0))
+                          for v in var).alias("b")).agg(F.sum("b")).first()[0]
+    return fixed + (total or 0) <= max_bytes
+
+
 def key_table(stage: DataFrame, *cols, max_rows: int | None = None,
               bound_from: DataFrame | None = None) -> tuple[DataFrame, bool]:
     """Projection of ``stage`` for joins, broadcast-hinted when proven bounded.
 
-    ``bound_from`` is a DataFrame known to have at least as many rows
-    (a filtered projection is bounded by its source).
+    Proven means: at most ``max_rows`` rows (counted on ``bound_from``, a
+    DataFrame known to have at least as many rows, else on the stage) and at
+    most ``BROADCAST_MAX_BYTES`` of payload in the projected columns.
     """
     keys = stage.select(*cols) if cols else stage
     max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    small = bool(max_rows) and has_at_most(bound_from if bound_from is not None else stage,
-                                           max_rows)
+    bounded = bound_from if bound_from is not None else stage
+    small = bool(max_rows) and has_at_most(bounded, max_rows)
+    if small:
+        rows = _ROWS[bounded][0]                     # exact once the bound holds
+        small = within_bytes(keys, BROADCAST_MAX_BYTES, rows)
     return (F.broadcast(keys) if small else keys), small
 
 
@@ -153,10 +178,8 @@ def restrict(events: DataFrame, stage: DataFrame, on: str,
     are returned unchanged (aggregating all keys first shuffles less than a
     shuffle semi-join, and the caller's left join restricts the result).
     """
-    max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    if max_rows and has_at_most(stage, max_rows):
-        return events.join(F.broadcast(stage.select(on)), on, "left_semi")
-    return events
+    keys, small = key_table(stage, on, max_rows=max_rows)
+    return events.join(keys, on, "left_semi") if small else events
 
 
 def checkpoint_dir(spark) -> str | None:
