@@ -158,7 +158,10 @@ FROM lineitem WHERE l_linenumber <= 2""",
 }
 
 # --------------------------------------------------------------------------- oracle fragments
-# name -> (dependencies, SQL).  Written directly from the study's semantics.
+# Fixed values.  The code lists, term alternations, item ids and labels below
+# must equal the study's definitions (the same values as
+# wardline/functions/dictionaries.py, written out again for the independent
+# oracle), in the order the study lists them.
 
 FIRST_DAY_END = "least(s.icu_outtime, s.icu_intime + INTERVAL 24 HOUR)"
 
@@ -216,6 +219,7 @@ GCS_VALUE_SQL = """CASE WHEN ((nursingchartcelltypevallabel = 'Glasgow coma scor
                   AND regexp_full_match(nursingchartvalue, '-?[0-9]+\\.?[0-9]*')
              THEN TRY_CAST(nursingchartvalue AS DECIMAL(38, 18)) END"""
 
+# name -> (dependencies, SQL).  Written directly from the study's semantics.
 FRAGMENTS: dict[str, tuple[tuple[str, ...], str]] = {
     "first_stays": (("icustays",), """
 SELECT subject_id, hadm_id, stay_id, intime AS icu_intime, outtime AS icu_outtime,
