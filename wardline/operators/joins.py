@@ -137,9 +137,9 @@ def split_hot_join(events: DataFrame, keys: DataFrame, on: str | list[str], how:
        content (stable under task retries, unlike a random salt); cold keys
        get salt 0.  Each key row is repeated once per salt of its key, so
        only hot keys are replicated, in proportion to their size.
-    3. Join on (key, salt).  With ``idempotent`` the events are made
-       distinct first, so even a key made of identical copies collapses to
-       one row per map task before any shuffle.
+    3. Join on (key, salt).  With ``idempotent`` (and only when some key is
+       hot) the events are made distinct first, so even a key made of
+       identical copies collapses to one row per map task before any shuffle.
 
     Every event row meets exactly the key rows it would meet unsalted, so
     inner, left, semi and anti joins keep their meaning.
@@ -149,13 +149,13 @@ def split_hot_join(events: DataFrame, keys: DataFrame, on: str | list[str], how:
     counts = events.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.where(F.col("_n") > hot_rows).select(
         *on, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_salts"))
-    if idempotent:
-        events = events.distinct()
     if has_at_most(hot, 0) or not has_at_most(hot, HOT_KEYS_MAX):
-        # No hot key: a plain shuffle join is balanced.  (More than
-        # HOT_KEYS_MAX hot keys needs > 5e12 rows; AQE's skew split then
-        # remains the guard.)
+        # No hot key: a plain shuffle join is balanced (copies of one row
+        # would have made their key hot).  More than HOT_KEYS_MAX hot keys
+        # needs > 5e12 rows; AQE's skew split then remains the guard.
         return events.join(keys, on, how)
+    if idempotent:
+        events = events.distinct()
     hot = F.broadcast(materialize(hot))       # small; read twice below, counted once
     salted = (events.join(hot, on, "left")
               .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(
