@@ -189,3 +189,16 @@ def test_broadcast_needs_a_byte_bound_too(spark, monkeypatch):
     _, narrow_small = joins.key_table(narrow, "k")
     assert narrow_small and not wide_small
     assert keyed_join(events, wide, None, "k", "inner").count() == 50
+
+
+def test_materialize_without_checkpoint_folder_persists(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    from wardline.operators import joins
+    monkeypatch.setattr(joins, "checkpoint_dir", lambda s: None)
+    df = spark.range(0, 100).select((F.col("id") % 7).alias("k"))
+    out = joins.materialize(df)
+    assert out.is_cached and has_at_most(out, 100) and not has_at_most(out, 99)
+    out.unpersist()
+    monkeypatch.undo()
+    ck = joins.materialize(df)
+    assert not ck.is_cached and "LogicalRDD" in ck._jdf.queryExecution().analyzed().toString()

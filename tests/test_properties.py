@@ -226,3 +226,28 @@ def test_cam_rule_equals_brute_force(spark, make, events):
     assert got == brute_cam(stays, events)
     fast = {r[0]: r[1] for r in outcome.cam_positive_rollup(base, ce).collect()}
     assert fast == {s: t for s, (t, f) in got.items() if f}
+
+
+# ---------------------------------------------------------------- salted join = plain join
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from wardline.operators.joins import split_hot_join  # noqa: E402
+
+
+@settings(max_examples=15, deadline=None)
+@given(ev=st.lists(st.tuples(st.sampled_from([None, 1, 2, 3, 4]), st.integers(0, 3)),
+                   max_size=40),
+       ks=st.lists(st.tuples(st.integers(1, 6), st.sampled_from(["a", "b"])), max_size=8),
+       how=st.sampled_from(["inner", "left", "left_semi", "left_anti"]),
+       hot_rows=st.integers(1, 6), idempotent=st.booleans())
+def test_split_hot_join_equals_plain_join(spark, ev, ks, how, hot_rows, idempotent):
+    events = spark.createDataFrame(ev, "k long, v int")
+    keys = spark.createDataFrame(ks, "k long, tag string")
+    plain = events.join(keys, "k", how)
+    salted = split_hot_join(events, keys, "k", how, idempotent=idempotent, hot_rows=hot_rows)
+    if idempotent:                        # callers that ignore duplicates
+        plain = plain.distinct()
+        salted = salted.distinct()
+    assert sorted(map(tuple, plain.collect()), key=repr) == \
+        sorted(map(tuple, salted.collect()), key=repr)
