@@ -22,9 +22,8 @@ from wardline.sources.adapter import sources
 from wardline.sources.tables import write_table
 
 
-def stage_tables(src) -> dict[str, DataFrame]:
-    """Every per-base stage of both models, keyed by table name."""
-    b, ob = tsp.base_cohort(src), off.base_cohort(src)
+def stage_tables(src, b: DataFrame, ob: DataFrame) -> dict[str, DataFrame]:
+    """Every per-base stage of both models (bases given), keyed by table name."""
     return {
         "timestamped_base": b,
         "timestamped_eligibility": tsp.eligibility_stage(src, b),
@@ -45,13 +44,14 @@ def stage_tables(src) -> dict[str, DataFrame]:
 
 def build(spark: SparkSession, sf_dir: str, out_dir: str, with_stages: bool = False) -> dict:
     src = sources(spark, sf_dir)
+    b, ob = tsp.base_cohort(src), off.base_cohort(src)      # each materialised once
     written = {}
     if with_stages:
-        for name, df in stage_tables(src).items():
+        for name, df in stage_tables(src, b, ob).items():
             write_table(df, os.path.join(out_dir, name))
             written[name] = os.path.join(out_dir, name)
-    finals = {"timestamped_final_cohort": tsp.cohort(src),
-              "offset_final_cohort": off.cohort(src)}
+    finals = {"timestamped_final_cohort": tsp.cohort(src, base=b),
+              "offset_final_cohort": off.cohort(src, base=ob)}
     for name, df in finals.items():
         path = os.path.join(out_dir, name)
         write_table(df, path, partition_by="sae_within_24h")
