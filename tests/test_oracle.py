@@ -51,3 +51,19 @@ def test_column_types_match_oracle(spark):
         spark_types = {c: SPARK_TO_DUCK.get(t, t) for c, t in QUERIES[key](spark, SF0001).dtypes}
         duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {ORACLE[key]}").fetchall()}
         assert spark_types == duck_types, key
+
+
+@pytest.mark.parametrize("key", ["cohort_timestamped", "cohort_offset", "first_day_min_score",
+                                 "first_visit_base"])
+def test_results_do_not_depend_on_ansi_or_time_zone(spark, con, key):
+    from wardline.sources import adapter
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")   # has DST jumps
+    adapter._CACHE.pop(spark, None)                  # analyse fresh plans under these confs
+    try:
+        res = compare(QUERIES[key](spark, SF001), con, ORACLE[key])
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        adapter._CACHE.pop(spark, None)
+    assert res["ok"], res
