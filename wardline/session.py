@@ -41,12 +41,19 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Return the session's checkpoint folder, creating a local one only if unset."""
+def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | None:
+    """Return the session's checkpoint folder; set one only where none is named.
+
+    A machine-local temporary folder is used only for ``local`` masters.  On
+    a cluster the folder must be shared storage named by the cluster
+    (``spark.checkpoint.dir``); without one nothing is set and stages are
+    persisted instead of checkpointed.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    path = fallback or tempfile.mkdtemp(prefix="wardline-ckpt-")
-    sc.setCheckpointDir(path)
+    if fallback is None and not sc.master.startswith("local"):
+        return None
+    sc.setCheckpointDir(fallback or tempfile.mkdtemp(prefix="wardline-ckpt-"))
     return sc.getCheckpointDir()
