@@ -62,20 +62,30 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     return rows <= max_rows
 
 
-def within_bytes(df: DataFrame, max_bytes: int, rows: int) -> bool:
-    """True when ``df`` (known to have at most ``rows`` rows) fits ``max_bytes``.
+_BYTES: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
+
+
+def _has_var_width(df: DataFrame) -> bool:
+    return any(isinstance(f.dataType, (T.StringType, T.BinaryType)) for f in df.schema.fields)
+
+
+def payload_bytes(df: DataFrame, rows: int) -> int:
+    """Bytes of ``df`` as a broadcast payload (``rows`` = its row count).
 
     Fixed-width columns cost 8 bytes per row; string and binary columns are
-    measured (sum of lengths), so a dictionary of long titles is caught.
+    measured (sum of lengths, one aggregate), so a dictionary of long titles
+    is caught.  Remembered per DataFrame object.
     """
     var = [f.name for f in df.schema.fields
            if isinstance(f.dataType, (T.StringType, T.BinaryType))]
     fixed = 8 * (len(df.schema.fields) - len(var)) * rows
     if not var:
-        return fixed <= max_bytes
-    total = df.select(sum(F.coalesce(F.length(F.col(v)).cast("long"), F.lit(0))
-                          for v in var).alias("b")).agg(F.sum("b")).first()[0]
-    return fixed + (total or 0) <= max_bytes
+        return fixed
+    if df not in _BYTES:
+        total = df.select(sum(F.coalesce(F.length(F.col(v)).cast("long"), F.lit(0))
+                              for v in var).alias("b")).agg(F.sum("b")).first()[0]
+        _BYTES[df] = int(total or 0)
+    return fixed + _BYTES[df]
 
 
 def key_table(stage: DataFrame, *cols, max_rows: int | None = None,
@@ -84,7 +94,9 @@ def key_table(stage: DataFrame, *cols, max_rows: int | None = None,
 
     Proven means: at most ``max_rows`` rows (counted on ``bound_from``, a
     DataFrame known to have at least as many rows, else on the stage) and at
-    most ``BROADCAST_MAX_BYTES`` of payload in the projected columns.
+    most ``BROADCAST_MAX_BYTES`` of payload.  With ``bound_from`` the payload
+    is bounded by that source's bytes plus the projection's extra fixed-width
+    columns (the source is stable, so it is measured once).
     """
     keys = stage.select(*cols) if cols else stage
     max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
@@ -92,7 +104,17 @@ def key_table(stage: DataFrame, *cols, max_rows: int | None = None,
     small = bool(max_rows) and has_at_most(bounded, max_rows)
     if small:
         rows = _ROWS[bounded][0]                     # exact once the bound holds
-        small = within_bytes(keys, BROADCAST_MAX_BYTES, rows)
+        if bound_from is not None:
+            extra = [c for c in keys.columns if c not in bound_from.columns]
+            size = payload_bytes(bound_from, rows) + 8 * len(extra) * rows
+        elif all(isinstance(c, str) and c in stage.columns for c in cols):
+            # A projection of named columns carries at most the stage's bytes;
+            # measuring the (stable) stage keeps the measurement memoised.
+            narrow = payload_bytes(keys, rows) if not _has_var_width(keys) else None
+            size = narrow if narrow is not None else payload_bytes(stage, rows)
+        else:
+            size = payload_bytes(keys, rows)
+        small = size <= BROADCAST_MAX_BYTES
     return (F.broadcast(keys) if small else keys), small
 
 
