@@ -202,3 +202,15 @@ def test_materialize_without_checkpoint_folder_persists(spark, monkeypatch):
     monkeypatch.undo()
     ck = joins.materialize(df)
     assert not ck.is_cached and "LogicalRDD" in ck._jdf.queryExecution().analyzed().toString()
+
+
+def test_catalog_sources_read_registered_tables(spark):
+    from wardline.plans import offset as off
+    from wardline.sources.tables import catalog_sources
+    src = sources(spark, SF0001)
+    for name in ("patient", "hospital", "diagnosis", "pasthistory", "nursecharting",
+                 "admissiondrug"):
+        src[name].createOrReplaceGlobalTempView(name)
+    stored = catalog_sources(spark, "global_temp")
+    a, b = off.cohort(src), off.cohort(stored)
+    assert a.count() == b.count() > 0 and a.exceptAll(b).count() == 0
