@@ -214,3 +214,18 @@ def test_catalog_sources_read_registered_tables(spark):
     stored = catalog_sources(spark, "global_temp")
     a, b = off.cohort(src), off.cohort(stored)
     assert a.count() == b.count() > 0 and a.exceptAll(b).count() == 0
+
+
+def test_csv_sources_round_trip(spark):
+    from wardline.plans import offset as off, timestamped as tsp
+    from wardline.sources.schemas import SOURCES
+    from wardline.sources.tables import csv_sources
+    root = tempfile.mkdtemp(prefix="wardline-csv-")
+    src = sources(spark, SF0001)
+    for name in SOURCES:
+        src[name].write.option("header", True).csv(os.path.join(root, name))
+    stored = csv_sources(spark, root)
+    assert stored["nursecharting"].schema == SOURCES["nursecharting"]
+    for build in (tsp.cohort, off.cohort):
+        a, b = build(src), build(stored)
+        assert a.count() == b.count() > 0 and a.exceptAll(b).count() == 0

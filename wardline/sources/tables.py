@@ -63,3 +63,19 @@ def parquet_sources(spark: SparkSession, root: str, conform: bool = False) -> Ta
 def catalog_sources(spark: SparkSession, database: str, conform: bool = False) -> TableSources:
     """Clinical tables registered in the session catalog as ``{database}.{name}``."""
     return TableSources(lambda name: spark.table(f"{database}.{name}"), conform)
+
+
+def csv_sources(spark: SparkSession, root: str, suffix: str = ".csv.gz") -> TableSources:
+    """Clinical tables as CSV files with a header row: ``{root}/{name}{suffix}`` or a folder.
+
+    Values are read as text and cast to the declared types (``conform``), so
+    no schema is inferred.  Compressed CSV files are not splittable (one task
+    per file): at scale, write them to parquet once and use
+    :func:`parquet_sources`.
+    """
+    def read(name: str) -> DataFrame:
+        path = os.path.join(root, name)
+        if not os.path.exists(path) and "://" not in root:
+            path += suffix
+        return spark.read.option("header", True).csv(path)
+    return TableSources(read, conform=True)
