@@ -6,6 +6,9 @@ partitioned by the composite outcome, so an outcome filter prunes files
 the way the study's outcome index serves lookups.
 
     python -m wardline.plans.jobs --sf-dir /root/testdata/sf0.1 --out /shared/cohorts [--stages]
+    python -m wardline.plans.jobs --parquet /shared/clinical --out /shared/cohorts
+    python -m wardline.plans.jobs --csv /shared/clinical_csv --out /shared/cohorts
+    python -m wardline.plans.jobs --catalog clinical --out /shared/cohorts
 """
 
 from __future__ import annotations
@@ -42,8 +45,14 @@ def stage_tables(src, b: DataFrame, ob: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def build(spark: SparkSession, sf_dir: str, out_dir: str, with_stages: bool = False) -> dict:
-    src = sources(spark, sf_dir)
+def build(spark: SparkSession, sf_dir: str | None, out_dir: str, with_stages: bool = False,
+          src=None) -> dict:
+    """Write both final cohorts (and, with ``with_stages``, every stage table).
+
+    ``src`` is any source map (stored tables); without it the driver tables
+    of ``sf_dir`` are adapted.
+    """
+    src = src if src is not None else sources(spark, sf_dir)
     b, ob = tsp.base_cohort(src), off.base_cohort(src)      # each materialised once
     written = {}
     if with_stages:
@@ -68,7 +77,11 @@ def build(spark: SparkSession, sf_dir: str, out_dir: str, with_stages: bool = Fa
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    ap.add_argument("--sf-dir", required=True)
+    given = ap.add_mutually_exclusive_group(required=True)
+    given.add_argument("--sf-dir", help="driver tables, adapted to clinical shapes")
+    given.add_argument("--parquet", help="folder of clinical tables as parquet")
+    given.add_argument("--csv", help="folder of clinical tables as CSV with header")
+    given.add_argument("--catalog", help="catalog database holding the clinical tables")
     ap.add_argument("--out", required=True)
     ap.add_argument("--stages", action="store_true", help="also write every stage table")
     args = ap.parse_args(argv)
@@ -76,7 +89,11 @@ def main(argv: list[str] | None = None) -> None:
     if spark is None:
         from wardline.session import build_session
         spark = build_session()
-    for name, path in build(spark, args.sf_dir, args.out, args.stages).items():
+    from wardline.sources import tables
+    src = (tables.parquet_sources(spark, args.parquet, conform=True) if args.parquet else
+           tables.csv_sources(spark, args.csv) if args.csv else
+           tables.catalog_sources(spark, args.catalog, conform=True) if args.catalog else None)
+    for name, path in build(spark, args.sf_dir, args.out, args.stages, src=src).items():
         print(f"{name}\t{path}")
 
 
