@@ -80,8 +80,15 @@ def _age(df: DataFrame) -> DataFrame:
 
 
 def stay_ages(src, stays: DataFrame) -> DataFrame:
-    """U4: stays with patient and admission attributes and the anchored age."""
-    return _age(stays.join(_admissions(src), "hadm_id").join(_patients(src), "subject_id"))
+    """U4: stays with patient and admission attributes and the anchored age.
+
+    Over all stays a patient may own very many of them, so patients and
+    admissions are joined as key tables (broadcast when bounded, hot keys
+    salted otherwise); stays are output rows, so copies are kept.
+    """
+    j = keyed_join(stays, _admissions(src), None, "hadm_id", "inner", idempotent=False)
+    j = keyed_join(j, _patients(src), None, "subject_id", "inner", idempotent=False)
+    return _age(j)
 
 
 def base_cohort(src, materialized: bool = True) -> DataFrame:
