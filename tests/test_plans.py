@@ -84,7 +84,7 @@ def test_adapter_sources_are_shared_per_session(spark):
 
 
 FALLBACK_KEYS = ["cohort_timestamped", "cohort_offset", "first_day_min_score", "drug_events",
-                 "cam_feature_rows", "describe_codes", "first_visit_base"]
+                 "cam_feature_rows", "describe_codes", "first_visit_base", "anchored_age"]
 
 
 @pytest.mark.parametrize("key", FALLBACK_KEYS)
