@@ -125,8 +125,8 @@ def keyed_join(events: DataFrame, stage: DataFrame, cols, on: str | list[str],
     """Join a large (event) side to columns ``cols`` of ``stage`` on key names ``on``.
 
     The stage side is broadcast when its row count is proven to be at most
-    ``max_rows``: the events then stay where they are and a hot key costs
-    nothing extra.  Otherwise :func:`split_hot_join` shuffles both sides
+    ``max_rows`` and its payload at most ``BROADCAST_MAX_BYTES``: the events
+    then stay where they are and a hot key costs nothing extra.  Otherwise :func:`split_hot_join` shuffles both sides
     with hot keys salted.  ``how`` must keep the stage on the build side
     (inner, left, left_semi or left_anti).  ``idempotent`` states that the
     caller's result ignores duplicate event rows (min, max, any, distinct),
@@ -169,16 +169,19 @@ def split_hot_join(events: DataFrame, keys: DataFrame, on: str | list[str], how:
     on = [on] if isinstance(on, str) else list(on)
     hot_rows = hot_rows or HOT_KEY_ROWS
     counts = events.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.where(F.col("_n") > hot_rows).select(
-        *on, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_salts"))
-    if has_at_most(hot, 0) or not has_at_most(hot, HOT_KEYS_MAX):
+    # One pass over the events' key columns; the (small) result is stored, so
+    # its exact size decides below and the salted plan reads it, not recounts.
+    hot = materialize(counts.where(F.col("_n") > hot_rows).select(
+        *on, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_salts")))
+    n_hot = _ROWS[hot][0]
+    if n_hot == 0 or n_hot > HOT_KEYS_MAX:
         # No hot key: a plain shuffle join is balanced (copies of one row
         # would have made their key hot).  More than HOT_KEYS_MAX hot keys
         # needs > 5e12 rows; AQE's skew split then remains the guard.
         return events.join(keys, on, how)
     if idempotent:
         events = events.distinct()
-    hot = F.broadcast(materialize(hot))       # small; read twice below, counted once
+    hot = F.broadcast(hot)
     salted = (events.join(hot, on, "left")
               .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(
                   F.pmod(F.xxhash64(*[F.col(c) for c in events.columns]), F.col("_salts"))))
