@@ -229,3 +229,18 @@ def test_csv_sources_round_trip(spark):
     for build in (tsp.cohort, off.cohort):
         a, b = build(src), build(stored)
         assert a.count() == b.count() > 0 and a.exceptAll(b).count() == 0
+
+
+def test_limits_can_be_set_per_session(spark):
+    events = spark.range(0, 10).withColumnRenamed("id", "k")
+    keys = spark.range(0, 10).withColumnRenamed("id", "k")
+    assert "BroadcastHashJoin" in plan(keyed_join(events, keys, None, "k"))
+    spark.conf.set("spark.wardline.broadcastMaxRows", "5")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")     # isolate our decision
+    try:
+        j = keyed_join(events, spark.range(0, 10).withColumnRenamed("id", "k"), None, "k")
+        assert "BroadcastHashJoin" not in j._jdf.queryExecution().sparkPlan().toString()
+        assert j.count() == 10
+    finally:
+        spark.conf.unset("spark.wardline.broadcastMaxRows")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

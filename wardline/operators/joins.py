@@ -36,6 +36,20 @@ BROADCAST_MAX_ROWS = 2_000_000
 # one aggregate over the (already row-bounded) side.
 BROADCAST_MAX_BYTES = 128 * 1024 * 1024
 
+
+
+def setting(spark, key: str, default: int) -> int:
+    """A size limit from the session conf ``spark.wardline.<key>``, else ``default``.
+
+    Keys: ``broadcastMaxRows``, ``broadcastMaxBytes``, ``hotKeyRows``.
+    """
+    try:
+        value = spark.conf.get(f"spark.wardline.{key}", None)
+    except Exception:
+        value = None
+    return int(value) if value not in (None, "") else default
+
+
 # DataFrame -> (rows, exact).  Inexact entries are lower bounds from a
 # bounded count (``limit(n + 1)``).
 _ROWS: "weakref.WeakKeyDictionary[DataFrame, tuple[int, bool]]" = weakref.WeakKeyDictionary()
@@ -99,7 +113,9 @@ def key_table(stage: DataFrame, *cols, max_rows: int | None = None,
     columns (the source is stable, so it is measured once).
     """
     keys = stage.select(*cols) if cols else stage
-    max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
+    spark = stage.sparkSession
+    if max_rows is None:
+        max_rows = setting(spark, "broadcastMaxRows", BROADCAST_MAX_ROWS)
     bounded = bound_from if bound_from is not None else stage
     small = bool(max_rows) and has_at_most(bounded, max_rows)
     if small:
@@ -114,7 +130,7 @@ def key_table(stage: DataFrame, *cols, max_rows: int | None = None,
             size = narrow if narrow is not None else payload_bytes(stage, rows)
         else:
             size = payload_bytes(keys, rows)
-        small = size <= BROADCAST_MAX_BYTES
+        small = size <= setting(spark, "broadcastMaxBytes", BROADCAST_MAX_BYTES)
     return (F.broadcast(keys) if small else keys), small
 
 
@@ -167,7 +183,7 @@ def split_hot_join(events: DataFrame, keys: DataFrame, on: str | list[str], how:
     inner, left, semi and anti joins keep their meaning.
     """
     on = [on] if isinstance(on, str) else list(on)
-    hot_rows = hot_rows or HOT_KEY_ROWS
+    hot_rows = hot_rows or setting(events.sparkSession, "hotKeyRows", HOT_KEY_ROWS)
     counts = events.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
     # One pass over the events' key columns; the (small) result is stored, so
     # its exact size decides below and the salted plan reads it, not recounts.
