@@ -244,3 +244,30 @@ def test_limits_can_be_set_per_session(spark):
     finally:
         spark.conf.unset("spark.wardline.broadcastMaxRows")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+PLAN_SHAPES = {   # key -> (bounded: max exchanges, keys), (unbounded: max exchanges, keys)
+    "cohort_timestamped": ((7, {"hadm_id", "stay_id"}),
+                           (18, {"hadm_id", "stay_id", "icd_code", "l_orderkey", "o_orderkey"})),
+    "cohort_offset": ((6, {"patientunitstayid"}), (7, {"patientunitstayid"})),
+}
+
+
+@pytest.mark.parametrize("key", sorted(PLAN_SHAPES))
+def test_plan_shape_does_not_regress(spark, monkeypatch, key):
+    """Exchange count and shuffle keys of the final cohorts, bounded and unbounded."""
+    from wardline.operators import joins
+    from wardline.plans.explain import summary
+    (b_max, b_keys), (u_max, u_keys) = PLAN_SHAPES[key]
+    s = summary(plan(entry.queries()[key](spark, SF0001)))
+    assert s["exchanges"] <= b_max and set(s["shuffle_keys"]) <= b_keys, s
+    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        s = summary(plan(entry.queries()[key](spark, SF0001)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert s["exchanges"] <= u_max and set(s["shuffle_keys"]) <= u_keys, s
+    assert s["broadcast_hash_joins"] == 0
