@@ -111,7 +111,7 @@ def class_of(generic: Column, classes: dict[str, str]) -> Column:
 
 def terms_frame(spark, terms: Sequence[Term]):
     """A term dictionary as a small DataFrame ``(generic_name, statin_type, match_term)``."""
-    from wardline.operators.joins import note_rows
+    from wardline.sizes import note_rows
     rows = [(t.generic, t.drug_class, t.term) for t in terms]
     df = spark.createDataFrame(rows, "generic_name string, statin_type string, match_term string")
     return note_rows(df, len(rows))

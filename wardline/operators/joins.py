@@ -13,19 +13,19 @@ Beyond the bound, hot keys are found by an exact count and salted
 ``HOT_KEY_ROWS`` rows of one key whatever the session configuration (AQE's
 skew split, when enabled, is a second guard).
 
-Row bounds are remembered per DataFrame object: a materialised stage knows
-its exact count, and a stage checked once is not counted again by the next
-operator that joins to it.
+Row bounds and payload sizes are remembered per DataFrame object
+(:mod:`wardline.sizes`): a materialised stage knows its exact count, and a
+stage checked once is not counted again by the next operator that joins to it.
 """
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from wardline.sizes import (exact_rows, has_at_most, has_var_width,  # noqa: F401
+                            note_rows, payload_bytes, setting)
 
 # Largest key table broadcast to every task.  A key table row is a long id
 # plus at most two timestamps (< 40 bytes in UnsafeRow form), so this is
@@ -38,69 +38,6 @@ BROADCAST_MAX_BYTES = 128 * 1024 * 1024
 
 
 
-def setting(spark, key: str, default: int) -> int:
-    """A size limit from the session conf ``spark.wardline.<key>``, else ``default``.
-
-    Keys: ``broadcastMaxRows``, ``broadcastMaxBytes``, ``hotKeyRows``.
-    """
-    try:
-        value = spark.conf.get(f"spark.wardline.{key}", None)
-    except Exception:
-        value = None
-    return int(value) if value not in (None, "") else default
-
-
-# DataFrame -> (rows, exact).  Inexact entries are lower bounds from a
-# bounded count (``limit(n + 1)``).
-_ROWS: "weakref.WeakKeyDictionary[DataFrame, tuple[int, bool]]" = weakref.WeakKeyDictionary()
-
-
-def note_rows(df: DataFrame, rows: int) -> DataFrame:
-    """Record the exact row count of ``df`` (known from a count or by construction)."""
-    _ROWS[df] = (rows, True)
-    return df
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Counts at most ``max_rows + 1`` rows, once per DataFrame object.
-    """
-    known = _ROWS.get(df)
-    if known is not None:
-        rows, exact = known
-        if exact or rows > max_rows:
-            return rows <= max_rows
-    rows = df.limit(max_rows + 1).count()
-    _ROWS[df] = (rows, rows <= max_rows)
-    return rows <= max_rows
-
-
-_BYTES: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
-
-
-def _has_var_width(df: DataFrame) -> bool:
-    return any(isinstance(f.dataType, (T.StringType, T.BinaryType)) for f in df.schema.fields)
-
-
-def payload_bytes(df: DataFrame, rows: int) -> int:
-    """Bytes of ``df`` as a broadcast payload (``rows`` = its row count).
-
-    Fixed-width columns cost 8 bytes per row; string and binary columns are
-    measured (sum of lengths, one aggregate), so a dictionary of long titles
-    is caught.  Remembered per DataFrame object.
-    """
-    var = [f.name for f in df.schema.fields
-           if isinstance(f.dataType, (T.StringType, T.BinaryType))]
-    fixed = 8 * (len(df.schema.fields) - len(var)) * rows
-    if not var:
-        return fixed
-    if df not in _BYTES:
-        total = df.select(sum(F.coalesce(F.length(F.col(v)).cast("long"), F.lit(0))
-                              for v in var).alias("b")).agg(F.sum("b")).first()[0]
-        _BYTES[df] = int(total or 0)
-    return fixed + _BYTES[df]
-
 
 def key_table(stage: DataFrame, *cols, max_rows: int | None = None,
               bound_from: DataFrame | None = None) -> tuple[DataFrame, bool]:
@@ -119,14 +56,14 @@ def key_table(stage: DataFrame, *cols, max_rows: int | None = None,
     bounded = bound_from if bound_from is not None else stage
     small = bool(max_rows) and has_at_most(bounded, max_rows)
     if small:
-        rows = _ROWS[bounded][0]                     # exact once the bound holds
+        rows = exact_rows(bounded)                   # exact once the bound holds
         if bound_from is not None:
             extra = [c for c in keys.columns if c not in bound_from.columns]
             size = payload_bytes(bound_from, rows) + 8 * len(extra) * rows
         elif all(isinstance(c, str) and c in stage.columns for c in cols):
             # A projection of named columns carries at most the stage's bytes;
             # measuring the (stable) stage keeps the measurement memoised.
-            narrow = payload_bytes(keys, rows) if not _has_var_width(keys) else None
+            narrow = payload_bytes(keys, rows) if not has_var_width(keys) else None
             size = narrow if narrow is not None else payload_bytes(stage, rows)
         else:
             size = payload_bytes(keys, rows)
@@ -189,7 +126,7 @@ def split_hot_join(events: DataFrame, keys: DataFrame, on: str | list[str], how:
     # its exact size decides below and the salted plan reads it, not recounts.
     hot = materialize(counts.where(F.col("_n") > hot_rows).select(
         *on, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_salts")))
-    n_hot = _ROWS[hot][0]
+    n_hot = exact_rows(hot)
     if n_hot == 0 or n_hot > HOT_KEYS_MAX:
         # No hot key: a plain shuffle join is balanced (copies of one row
         # would have made their key hot).  More than HOT_KEYS_MAX hot keys

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.sources import schemas
-from wardline.operators.joins import note_rows
+from wardline.sizes import note_rows
 from wardline.sources.tables import read_table
 
 c = F.col
