@@ -1,0 +1,81 @@
+"""Column expression builders of wardline.functions, evaluated on literal rows."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from wardline.functions import dictionaries as dic
+from wardline.functions.match import (alternation, classify_terms, code_rule, contains_any,
+                                      list_code_flag, normalise_code, phrase_flag)
+from wardline.functions.windows import any_flag, flag, in_offset_window, in_window
+
+T0 = dt.datetime(2020, 1, 1)
+H = dt.timedelta(hours=1)
+
+
+def col_values(spark, rows, schema, expr):
+    return [r[0] for r in spark.createDataFrame(rows, schema).select(expr).collect()]
+
+
+def test_in_window_clips_and_ignores_null_end(spark):
+    rows = [(T0, T0, None), (T0 + 23 * H, T0, None), (T0 + 24 * H, T0, None),
+            (T0 + 2 * H, T0, T0 + 2 * H), (T0 + H, T0, T0 + 2 * H), (T0 - H, T0, None),
+            (None, T0, None)]
+    got = col_values(spark, rows, "t timestamp_ntz, s timestamp_ntz, e timestamp_ntz",
+                     in_window(F.col("t"), F.col("s"), F.col("e"), "24 HOURS"))
+    assert got == [True, True, False, False, True, False, None]
+
+
+def test_offset_window_is_closed(spark):
+    got = col_values(spark, [(-1,), (0,), (1440,), (1441,)], "o int",
+                     in_offset_window(F.col("o"), 0, 1440))
+    assert got == [False, True, True, False]
+
+
+def test_flags_treat_null_as_zero(spark):
+    rows = [(1, None), (None, None), (0, 1), (0, 0)]
+    got = col_values(spark, rows, "a int, b int", any_flag(F.col("a"), F.col("b")))
+    assert got == [1, 0, 1, 0]
+    got = col_values(spark, [(None,), (True,), (False,)], "c boolean", flag(F.col("c")))
+    assert got == [0, 1, 0]
+
+
+def test_code_rule_needs_the_right_version(spark):
+    rows = [("G41", 10), ("G41", 9), ("4309", 9), ("4309", 10), ("3453", 9), ("345", 9),
+            ("I6", 10), (None, 10)]
+    got = col_values(spark, rows, "c string, v int",
+                     code_rule(dic.BRAIN_RULE, normalise_code(F.col("c")), F.col("v")))
+    assert got == [True, False, True, False, True, False, False, None]
+
+
+def test_list_code_boundaries(spark):
+    rows = [("995.91",), ("995.91 ",), (" 995.91",), ("a995.91",), ("995.9",), ("038",),
+            ("x038",), ("1,038.0",), ("",)]
+    got = col_values(spark, rows, "c string",
+                     list_code_flag(F.col("c"), dic.SEPSIS_WHOLE_CODES, dic.SEPSIS_PREFIX_CODES))
+    assert got == [True, True, True, False, False, True, False, True, False]
+
+
+def test_phrase_guard_and_contains(spark):
+    rows = [("septic shock",), ("screening for sepsis",), ("sepsis",), ("",)]
+    got = col_values(spark, rows, "t string",
+                     phrase_flag(F.col("t"), dic.SEPSIS_DIAGNOSIS_TERMS,
+                                 dic.SEPSIS_EXCLUDE_PHRASES))
+    assert got == [True, False, True, False]
+    got = col_values(spark, [("abc",), (None,)], "t string", contains_any(F.col("t"), ["b"]))
+    assert got == [True, None]
+
+
+def test_classifier_priority_and_no_match(spark):
+    rows = [("ROSUVASTATIN + ezetimibe",), ("Lipostat and Zocor",), ("vitamin",), (None,)]
+    got = col_values(spark, rows, "d string",
+                     classify_terms(F.col("d"), dic.STATIN_TERMS_PRIORITY))
+    assert got == ["rosuvastatin", "simvastatin", None, None]
+
+
+def test_alternation_spans_newlines():
+    import re
+    pattern = alternation(dic.NEURO_ADMISSION_TERMS)
+    assert re.search(pattern, "head\nblunt trauma") and not re.search(pattern, "chest pain")
