@@ -271,3 +271,19 @@ def test_plan_shape_does_not_regress(spark, monkeypatch, key):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert s["exchanges"] <= u_max and set(s["shuffle_keys"]) <= u_keys, s
     assert s["broadcast_hash_joins"] == 0
+
+
+def test_hot_key_split_can_defer_to_aqe(spark):
+    from pyspark.sql import functions as F
+    from wardline.operators.joins import split_hot_join
+    events = spark.range(0, 300).select(F.lit(1).cast("long").alias("k"), F.col("id").alias("v"))
+    keys = spark.createDataFrame([(1, "x")], "k long, tag string")
+    spark.conf.set("spark.wardline.hotKeySplit", "aqe")
+    try:
+        out = split_hot_join(events, keys, "k", "inner", hot_rows=10)
+        assert "_salt" not in out._jdf.queryExecution().analyzed().toString()
+        assert out.count() == 300
+    finally:
+        spark.conf.unset("spark.wardline.hotKeySplit")
+    assert "_salt" in split_hot_join(events, keys, "k", "inner", hot_rows=10) \
+        ._jdf.queryExecution().analyzed().toString()

@@ -101,6 +101,18 @@ HOT_KEY_ROWS = 5_000_000
 HOT_KEYS_MAX = 1_000_000
 
 
+def split_mode(spark) -> str:
+    """How unbounded joins guard hot keys: ``count`` (exact count + salting,
+    independent of session configs; the default) or ``aqe`` (plain shuffle
+    join, relying on ``spark.sql.adaptive.skewJoin``; saves one pass over the
+    event table's key columns)."""
+    try:
+        mode = spark.conf.get("spark.wardline.hotKeySplit", "count")
+    except Exception:
+        mode = "count"
+    return (mode or "count").lower()
+
+
 def split_hot_join(events: DataFrame, keys: DataFrame, on: str | list[str], how: str = "inner",
                    *, idempotent: bool = False, hot_rows: int | None = None) -> DataFrame:
     """Shuffle join that spreads hot keys of the event side over several tasks.
@@ -120,7 +132,11 @@ def split_hot_join(events: DataFrame, keys: DataFrame, on: str | list[str], how:
     inner, left, semi and anti joins keep their meaning.
     """
     on = [on] if isinstance(on, str) else list(on)
-    hot_rows = hot_rows or setting(events.sparkSession, "hotKeyRows", HOT_KEY_ROWS)
+    spark = events.sparkSession
+    if split_mode(spark) == "aqe":
+        # Operator's choice: trust AQE's runtime skew split, skip the count.
+        return events.join(keys, on, how)
+    hot_rows = hot_rows or setting(spark, "hotKeyRows", HOT_KEY_ROWS)
     counts = events.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
     # One pass over the events' key columns; the (small) result is stored, so
     # its exact size decides below and the salted plan reads it, not recounts.
