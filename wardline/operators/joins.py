@@ -143,7 +143,9 @@ def split_hot_join(events: DataFrame, keys: DataFrame, on: str | list[str], how:
     hot = materialize(counts.where(F.col("_n") > hot_rows).select(
         *on, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_salts")))
     n_hot = exact_rows(hot)
-    if n_hot == 0 or n_hot > HOT_KEYS_MAX:
+    too_big = (n_hot > HOT_KEYS_MAX or payload_bytes(hot, n_hot)
+               > setting(spark, "broadcastMaxBytes", BROADCAST_MAX_BYTES))
+    if n_hot == 0 or too_big:
         # No hot key: a plain shuffle join is balanced (copies of one row
         # would have made their key hot).  More than HOT_KEYS_MAX hot keys
         # needs > 5e12 rows; AQE's skew split then remains the guard.
