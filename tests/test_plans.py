@@ -247,7 +247,7 @@ def test_limits_can_be_set_per_session(spark):
 
 
 PLAN_SHAPES = {   # key -> (bounded: max exchanges, keys), (unbounded: max exchanges, keys)
-    "cohort_timestamped": ((7, {"hadm_id", "stay_id"}),
+    "cohort_timestamped": ((6, {"stay_id"}),
                            (18, {"hadm_id", "stay_id", "icd_code", "l_orderkey", "o_orderkey"})),
     "cohort_offset": ((6, {"patientunitstayid"}), (7, {"patientunitstayid"})),
 }

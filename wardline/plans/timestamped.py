@@ -28,7 +28,7 @@ from wardline.functions.windows import any_flag, flag, in_interval_flag
 from wardline.operators import eligibility as elig
 from wardline.operators import exposure as expo
 from wardline.operators import outcome
-from wardline.operators.joins import keyed_join, materialize, restrict
+from wardline.operators.joins import key_table, keyed_join, materialize, restrict
 from wardline.operators.select import first_per_entity, onset_rollup
 
 c = F.col
@@ -113,6 +113,24 @@ def eligibility_hits(src, base: DataFrame) -> DataFrame:
     return elig.code_flag_hits(dx, src["d_icd_diagnoses"], RULES, key="hadm_id")
 
 
+def eligibility_hit_stays(src, base: DataFrame) -> DataFrame:
+    """Stay ids of base stays whose admission has any condition hit.
+
+    Bounded base: diagnoses meet the broadcast (admission, stay) key table
+    once, which both restricts them and brings the stay id, so hits are
+    aggregated by stay directly.  Otherwise hits are aggregated by
+    admission over all diagnoses and then mapped to stays.
+    """
+    keys, small = key_table(base, "hadm_id", "stay_id")
+    if small:
+        dx = src["diagnoses_icd"].join(keys, "hadm_id")
+        return elig.code_flag_hits(dx, src["d_icd_diagnoses"], RULES, key="stay_id") \
+            .select("stay_id")
+    hits = elig.code_flag_hits(src["diagnoses_icd"], src["d_icd_diagnoses"], RULES,
+                               key="hadm_id")
+    return keyed_join(hits, base, ["hadm_id", "stay_id"], "hadm_id").select("stay_id")
+
+
 def eligibility_stage(src, base: DataFrame) -> DataFrame:
     """U9-U11: every base stay with both condition flags and eligibility (smallint)."""
     return elig.eligibility(base, eligibility_hits(src, base), key="hadm_id",
@@ -179,9 +197,7 @@ def cohort(src, base: DataFrame | None = None) -> DataFrame:
     and NULL times.
     """
     b = base if base is not None else base_cohort(src)
-    hit_stays = keyed_join(eligibility_hits(src, b), b, ["hadm_id", "stay_id"], "hadm_id",
-                           "inner").select("stay_id")
-    kept = b.join(hit_stays, "stay_id", "left_anti")
+    kept = b.join(eligibility_hit_stays(src, b), "stay_id", "left_anti")
     g = outcome.window_min_rollup(b, src["gcs"])
     d = outcome.cam_positive_rollup(b, src["chartevents"])
     e = expo.exposure_rollup(statin_rows(src, b))
