@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wardline.llm import exact, shard
+from wardline.llm import exact, extract, mix, pack, shard, simhash
 
 
 def _table(spark, sf_dir: str, name: str):
@@ -13,13 +13,33 @@ def op1_shard(spark, sf_dir):
     return shard.shard(_table(spark, sf_dir, "documents"))
 
 
+def op2_pack(spark, sf_dir):
+    return pack.pack(_table(spark, sf_dir, "documents"), keep_ids=False).drop("ids")
+
+
+def op7_extract(spark, sf_dir):
+    return extract.extract(_table(spark, sf_dir, "pages"))
+
+
+def op8_mix(spark, sf_dir):
+    return mix.taken(_table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark, sf_dir):
     return exact.dedup(_table(spark, sf_dir, "documents"))
 
 
+def op10_simhash(spark, sf_dir):
+    return simhash.fingerprints(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_shard": op1_shard,
+    "op2_pack": op2_pack,
+    "op7_extract": op7_extract,
+    "op8_mix": op8_mix,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_simhash": op10_simhash,
 }
 
 _LOWERED = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
