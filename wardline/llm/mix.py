@@ -91,7 +91,8 @@ def fly(size: np.ndarray, p: np.ndarray, coins, land: bool) -> np.ndarray:
     if land:                                   # some of every size wait for the landing
         every = max(1, len(waiting) // LANDING)
         saved = waiting[::every][:LANDING]
-        waiting = [x for x in waiting if x not in set(saved)]
+        held = set(saved)
+        waiting = [x for x in waiting if x not in held]
     now: list[int] = []
     while True:
         while len(now) < 3 and waiting:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wardline.llm import exact, extract, mix, pack, shard, simhash
+from wardline.llm import exact, extract, langid, mix, pack, shard, simhash
 
 
 def _table(spark, sf_dir: str, name: str):
@@ -17,6 +17,10 @@ def op2_pack(spark, sf_dir):
     return pack.pack(_table(spark, sf_dir, "documents"), keep_ids=False).drop("ids")
 
 
+def op3_language(spark, sf_dir):
+    return langid.languages(_table(spark, sf_dir, "documents"))
+
+
 def op7_extract(spark, sf_dir):
     return extract.extract(_table(spark, sf_dir, "pages"))
 
@@ -36,6 +40,7 @@ def op10_simhash(spark, sf_dir):
 QUERIES = {
     "op1_shard": op1_shard,
     "op2_pack": op2_pack,
+    "op3_language": op3_language,
     "op7_extract": op7_extract,
     "op8_mix": op8_mix,
     "op9_exact_dedup": op9_exact_dedup,
