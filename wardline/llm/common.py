@@ -65,3 +65,30 @@ def hot_join(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int
     return (rows.join(F.broadcast(hot), key)
             .unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti")
                          .join(cold, key)))
+
+
+def by_group(df: DataFrame, keys: list[str], fn, schema: str) -> DataFrame:
+    """``fn(pandas frame of one group) -> pandas frame`` for every group of ``keys``.
+
+    Like ``applyInPandas``, for many small groups: one Python call per Arrow
+    batch of rows instead of one per group.  A task holds one group at a time.
+    """
+    import pandas as pd
+
+    def run(batches):
+        held = None
+        for pdf in batches:
+            if held is not None:
+                pdf = pd.concat([held, pdf], ignore_index=True)
+            if not len(pdf):
+                continue
+            new = (pdf[keys] != pdf[keys].shift()).any(axis=1).to_numpy()
+            new[0] = True
+            starts = [*new.nonzero()[0].tolist(), len(pdf)]
+            for a, b in zip(starts[:-2], starts[1:-1]):
+                yield fn(pdf.iloc[a:b])
+            held = pdf.iloc[starts[-2]:]
+        if held is not None and len(held):
+            yield fn(held)
+
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, schema)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wardline.llm import exact, extract, langid, mix, pack, shard, simhash
+from wardline.llm import exact, extract, langid, mix, neardup, pack, shard, simhash
 
 
 def _table(spark, sf_dir: str, name: str):
@@ -21,6 +21,10 @@ def op3_language(spark, sf_dir):
     return langid.languages(_table(spark, sf_dir, "documents"))
 
 
+def op5_near_dedup(spark, sf_dir):
+    return neardup.link(_table(spark, sf_dir, "documents"))
+
+
 def op7_extract(spark, sf_dir):
     return extract.extract(_table(spark, sf_dir, "pages"))
 
@@ -41,6 +45,7 @@ QUERIES = {
     "op1_shard": op1_shard,
     "op2_pack": op2_pack,
     "op3_language": op3_language,
+    "op5_near_dedup": op5_near_dedup,
     "op7_extract": op7_extract,
     "op8_mix": op8_mix,
     "op9_exact_dedup": op9_exact_dedup,
