@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -32,6 +33,22 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per application.
+
+    Called before an operator makes its first Python function.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        _shipped.add(sc.applicationId)
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        folder = tempfile.mkdtemp(prefix="wardline-py-")
+        sc.addPyFile(shutil.make_archive(os.path.join(folder, "wardline"), "zip", root, "wardline"))
+
+
 def fresh(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
     return os.path.join(shared_dir(spark), "wardline-llm", f"{name}-{uuid.uuid4().hex[:12]}")

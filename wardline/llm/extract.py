@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardline.llm.common import ship
+
 WINDOW = 3
 PEAK = 0.2
 
@@ -187,6 +189,7 @@ def _extract(batches):
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """``page_id, url, text, n_chars`` of every page."""
+    ship(pages.sparkSession)
     return pages.select(
         F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"),
         F.coalesce(F.col(html), F.lit("")).alias("html"),

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import hot_join, stage
+from wardline.llm.common import hot_join, ship, stage
 
 FIT_ROWS = 500          # expected labelled rows a language that the text model is fitted on
 LEAST_LABELS = 5
@@ -88,6 +88,7 @@ def _count(names: list[str]):
 
 def fit(labelled: DataFrame, text: str = "text", label: str = "lang") -> TextModel:
     """A text model from a hash sample of labelled rows, ``FIT_ROWS`` a language in expectation."""
+    ship(labelled.sparkSession)
     rows = labelled.select(F.coalesce(F.col(text), F.lit("")).alias("text"), F.lower(F.col(label)).alias("label"))
     sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().where(
         F.col("label").isNotNull() & (F.col("count") >= LEAST_LABELS)).collect()}
@@ -154,6 +155,7 @@ def identify(docs: DataFrame, model: TextModel, text="text", declared=None, host
     ``declared`` and ``host`` are column names or columns; without them that
     evidence is absent.
     """
+    ship(docs.sparkSession)
     carried = list(docs.columns if keep is None else keep)
     names = model.languages
     if not names:

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardline.llm.common import WORD, hot_join, stage
+from wardline.llm.common import WORD, hot_join, ship, stage
 
 BLOCK = 1024
 SHARE, CAP, WEIGHTS = 1.5, 2.0, (3.0, 1.0, 2.0)
@@ -145,6 +145,7 @@ def mix(docs: DataFrame, share: float = SHARE, cap: float = CAP, weights: tuple
 
     ``_times`` is how often the mix takes the row (0, 1 or 2 with the default cap).
     """
+    ship(docs.sparkSession)
     carried = list(docs.columns if keep is None else keep)
     key = F.when(F.col(f"`{source}`").isNull(), F.lit("")).otherwise(
         F.concat(F.lit("="), F.col(f"`{source}`").cast("string")))

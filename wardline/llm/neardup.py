@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import by_group, hot_join, stage
+from wardline.llm.common import by_group, hot_join, ship, stage
 
 BANDS, ROWS = 32, 4
 REGISTERS = BANDS * ROWS
@@ -276,6 +276,7 @@ def _forest(threshold: int):
 def link(docs: DataFrame, k: int = SHINGLE, threshold: int = THRESHOLD, doc_id: str = "doc_id",
          text: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every document."""
+    ship(docs.sparkSession)
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = stage(docs.mapInPandas(_sketch(k), "doc_id long, n long, node binary, regs binary, bands array<long>"), "sketches")
     full = rows.where("n > 0")

@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardline.llm.common import stage
+from wardline.llm.common import ship, stage
 
 WINDOW = 1024
 VOCABULARY = "byte_bpe_50k"
@@ -218,6 +218,7 @@ def pack(docs: DataFrame, window: int = WINDOW, folder: str | None = None, vocab
     ``ids`` (little-endian 32-bit) is null without ``keep_ids``.  ``folder``
     holds the tokenizer files; by default those of the installed package.
     """
+    ship(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     pieces = stage(rows.mapInPandas(_cut(window, folder, vocabulary, keep_ids), _PIECE), "pieces")
     counts = pieces.groupBy("length", "part").count()

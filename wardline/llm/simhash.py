@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardline.llm.common import stage
+from wardline.llm.common import ship, stage
 
 BITS = 256
 _CHUNK = 4096
@@ -123,6 +123,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     Rows are ordered by range partitions and swept once; only a partition's
     first and last row need a neighbour from elsewhere.
     """
+    ship(docs.sparkSession)
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), body.alias("text"),
                        F.xxhash64(body).alias("_tie"))
