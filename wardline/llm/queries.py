@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wardline.llm import exact, extract, langid, mix, neardup, pack, shard, simhash
+from wardline.llm import exact, extract, langid, mix, neardup, pack, shard, simhash, suffix
 
 
 def _table(spark, sf_dir: str, name: str):
@@ -25,6 +25,10 @@ def op5_near_dedup(spark, sf_dir):
     return neardup.link(_table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_dedup(spark, sf_dir):
+    return suffix.strip_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op7_extract(spark, sf_dir):
     return extract.extract(_table(spark, sf_dir, "pages"))
 
@@ -46,6 +50,7 @@ QUERIES = {
     "op2_pack": op2_pack,
     "op3_language": op3_language,
     "op5_near_dedup": op5_near_dedup,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_extract": op7_extract,
     "op8_mix": op8_mix,
     "op9_exact_dedup": op9_exact_dedup,
