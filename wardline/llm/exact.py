@@ -82,10 +82,12 @@ def kept_rows(docs: DataFrame, index: DigestIndex | None = None, doc_id: str = "
 
     Rows that share both the kept id and the text are one row (any of them).
     """
-    keep = (dedup(docs, index, doc_id, text).where("kept")
-            .select(F.col("doc_id").alias("_keep_id"), F.col("text_sha256").alias("_digest"))
-            .distinct())
-    marked = docs.withColumn("_digest", F.sha2(ascii_lower(F.coalesce(F.col(text), F.lit(""))), 256))
-    left, right = marked.alias("d"), keep.alias("k")
-    hit = (F.col("d._digest") == F.col("k._digest")) & F.col(f"d.`{doc_id}`").eqNullSafe(F.col("k._keep_id"))
-    return left.join(right, hit, "left_semi").dropDuplicates(["_digest"]).drop("_digest")
+    kept = stage(dedup(docs, index, doc_id, text).where("kept").select(
+        F.col("doc_id").alias("_wardline_id"), F.col("text_sha256").alias("_wardline_keep")), "kept")
+    keep = kept.distinct()
+    marked = docs.withColumn("_wardline_digest", F.sha2(ascii_lower(F.coalesce(F.col(text), F.lit(""))), 256))
+    hit = (F.col("_wardline_digest") == F.col("_wardline_keep")) & F.col(doc_id).cast("long").eqNullSafe(F.col("_wardline_id"))
+    out = marked.join(keep, hit, "left_semi")
+    if kept.count() != keep.count():
+        out = out.dropDuplicates(["_wardline_digest"])
+    return out.drop("_wardline_digest")

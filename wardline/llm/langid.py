@@ -173,7 +173,7 @@ def identify(docs: DataFrame, model: TextModel, text="text", declared=None, host
 
     said = F.regexp_extract(F.lower(as_col(declared)), "^[a-z]+", 0)
     rows = docs.select(
-        *[F.col(f"`{c}`") for c in carried], score(F.coalesce(as_col(text), F.lit(""))).alias("_s"),
+        *[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(carried)], score(F.coalesce(as_col(text), F.lit(""))).alias("_s"),
         F.coalesce(F.lower(as_col(host)), F.lit("")).alias("_host"),
         F.when(said.isin(names), said).otherwise(F.lit("")).alias("_said"))
     likelihood = F.slice("_s", 2, len(names))
@@ -201,7 +201,7 @@ def identify(docs: DataFrame, model: TextModel, text="text", declared=None, host
     words = F.col("_s")[0] > 0
     language = F.when(words, best).otherwise(F.lit("und"))
     return judged.select(
-        *[F.col(f"`{c}`") for c in carried], language.alias("_language"),
+        *[F.col(f"_c{i}").alias(c) for i, c in enumerate(carried)], language.alias("_language"),
         F.when(words, 1.0 / mass).otherwise(F.lit(1.0)).alias("_posterior"),
         (words & (language != "und") & (1.0 / mass >= ACCEPT)).alias("_accepted"))
 
@@ -215,4 +215,7 @@ def languages(docs: DataFrame) -> DataFrame:
 
 def accepted_rows(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` in a known language."""
-    return identify(docs, fit(docs), declared="lang", host="source").where("_accepted").select(*docs.columns)
+    judged = identify(docs, fit(docs), declared="lang", host="source")
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    return judged.toDF(*names, "_language", "_posterior", "_accepted").where("_accepted").select(
+        *[F.col(n).alias(c) for n, c in zip(names, docs.columns)])

@@ -141,7 +141,7 @@ def _fly_block(seed: int, round_no: int, land: bool):
 def mix(docs: DataFrame, share: float = SHARE, cap: float = CAP, weights: tuple = WEIGHTS,
         source: str = "source", text: str = "text", doc_id: str = "doc_id",
         keep: list[str] | None = None, seed: int = SEED) -> DataFrame:
-    """The columns ``keep`` (all by default) and ``_size, _source_size, _target, _times``.
+    """The columns ``keep`` (all by default), then ``_size, _source_size, _target, _times``.
 
     ``_times`` is how often the mix takes the row (0, 1 or 2 with the default cap).
     """
@@ -150,7 +150,7 @@ def mix(docs: DataFrame, share: float = SHARE, cap: float = CAP, weights: tuple
     key = F.when(F.col(f"`{source}`").isNull(), F.lit("")).otherwise(
         F.concat(F.lit("="), F.col(f"`{source}`").cast("string")))
     rows = docs.select(
-        *[F.col(f"`{c}`") for c in carried], key.alias("_key"), word_count(F.col(f"`{text}`")).alias("_size"),
+        *[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(carried)], key.alias("_key"), word_count(F.col(f"`{text}`")).alias("_size"),
         F.xxhash64(F.lit(seed), F.col(f"`{doc_id}`"), F.crc32(F.coalesce(F.col(f"`{text}`"), F.lit("")))).alias("_order"))
     rows = stage(rows, "mix-rows")
     sources = rows.groupBy("_key").agg(F.sum("_size").alias("source_size"), F.count(F.lit(1)).alias("n"))
@@ -176,7 +176,7 @@ def mix(docs: DataFrame, share: float = SHARE, cap: float = CAP, weights: tuple
         units = units.where("_p > 0 and _p < 1").withColumn(
             "_block", F.floor(F.col("_block") / fan).cast("long"))
         blocks, round_no = math.ceil(blocks / fan), round_no + 1
-    return decided.select(*[F.col(f"`{c}`") for c in carried], "_size", "_source_size", "_target",
+    return decided.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(carried)], "_size", "_source_size", "_target",
                           (F.col("_whole") + F.col("_p").cast("int")).alias("_times"))
 
 
@@ -189,4 +189,6 @@ def taken(docs: DataFrame) -> DataFrame:
 
 def mixed_rows(docs: DataFrame) -> DataFrame:
     """The mix itself: each row as often as it is taken."""
-    return mix(docs).withColumn("_time", F.explode(F.expr("array_repeat(0, _times)"))).select(*docs.columns)
+    mixed = mix(docs).toDF(*[f"_c{i}" for i in range(len(docs.columns))], "_size", "_source_size", "_target", "_times")
+    return mixed.withColumn("_time", F.explode(F.expr("array_repeat(0, _times)"))).select(
+        *[F.col(f"_c{i}").alias(c) for i, c in enumerate(docs.columns)])

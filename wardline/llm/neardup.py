@@ -122,15 +122,15 @@ def _sketch(k: int):
     def run(batches):
         for pdf in batches:
             out = []
-            for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
+            for doc_id, digest, text in zip(pdf["doc_id"], pdf["digest"], pdf["text"]):
                 items = shingles(text, k)
                 doc_id = None if pd.isna(doc_id) else int(doc_id)
                 if len(items):
                     regs = registers(items)
-                    out.append((doc_id, len(items), xxhash.xxh3_128_digest(items.tobytes()), regs.tobytes(), band_keys(regs)))
+                    out.append((doc_id, digest, len(items), xxhash.xxh3_128_digest(items.tobytes()), regs.tobytes(), band_keys(regs)))
                 else:
-                    out.append((doc_id, 0, None, None, None))
-            yield pd.DataFrame(out, columns=["doc_id", "n", "node", "regs", "bands"]).astype({"doc_id": "Int64"})
+                    out.append((doc_id, digest, 0, None, None, None))
+            yield pd.DataFrame(out, columns=["doc_id", "digest", "n", "node", "regs", "bands"]).astype({"doc_id": "Int64"})
     return run
 
 
@@ -275,13 +275,19 @@ def _forest(threshold: int):
 
 def link(docs: DataFrame, k: int = SHINGLE, threshold: int = THRESHOLD, doc_id: str = "doc_id",
          text: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every document."""
+    """``doc_id, n_shingles, component_id, kept`` of every document.
+
+    ``digest`` (of the text) and ``stays`` follow: ``stays`` marks one text of each component.
+    """
     ship(docs.sparkSession)
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = stage(docs.mapInPandas(_sketch(k), "doc_id long, n long, node binary, regs binary, bands array<long>"), "sketches")
+    body = F.coalesce(F.col(text), F.lit(""))
+    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), body.alias("text"))
+    rows = stage(docs.withColumn("digest", F.sha2("text", 256)).mapInPandas(
+        _sketch(k), "doc_id long, digest string, n long, node binary, regs binary, bands array<long>"), "sketches")
     full = rows.where("n > 0")
     nodes = stage(full.groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("size"), F.max("n").alias("n"),
+        F.min("doc_id").alias("doc_id"), F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "digest")).alias("first"),
+        F.count(F.lit(1)).alias("size"), F.max("n").alias("n"),
         F.max("regs").alias("regs"), F.first("bands").alias("bands")), "nodes")
 
     # Buckets with company, and their centres.
@@ -326,20 +332,34 @@ def link(docs: DataFrame, k: int = SHINGLE, threshold: int = THRESHOLD, doc_id:
     labels = components(links.unionByName(more))
 
     # Every node's component, by its smallest document.
-    named = stage(nodes.select("node", "doc_id", "size").join(labels, "node", "left").withColumn(
+    named = stage(nodes.select("node", "doc_id", "first", "size").join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node")), "named")
-    tops = named.groupBy("label").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("members"))
-    owner = hot_join(named, tops, "label", "members", total // BANDS).select("node", "size", "component_id")
-    found = hot_join(full.select("doc_id", "n", "node"), owner, "node", "size", rows.count()).select(
-        "doc_id", "n", "component_id")
-    alone = rows.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
+    tops = named.groupBy("label").agg(F.min("doc_id").alias("component_id"), F.min("first").alias("top"),
+                                      F.count(F.lit(1)).alias("members"))
+    owner = hot_join(named.select("node", "size", "label"), tops, "label", "members", total // BANDS).select(
+        "node", "size", "component_id", "top")
+    found = hot_join(full.select("doc_id", "digest", "n", "node"), owner, "node", "size", rows.count()).select(
+        "doc_id", "digest", "n", "component_id",
+        (F.col("doc_id").eqNullSafe(F.col("top.doc_id")) & (F.col("digest") == F.col("top.digest"))).alias("stays"))
+    alone = rows.where("n = 0").select("doc_id", "digest", "n", F.col("doc_id").alias("component_id"), F.lit(True).alias("stays"))
     return found.unionByName(alone).select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id",
-        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "digest", "stays")
 
 
 def kept_rows(docs: DataFrame, k: int = 5, threshold: int = THRESHOLD, doc_id: str = "doc_id",
               text: str = "text") -> DataFrame:
-    """One row of every component, that of the smallest id, with all its columns."""
-    keep = link(docs, k, threshold, doc_id, text).where("kept").select(F.col("doc_id").alias("_keep")).distinct()
-    return docs.join(keep, docs[doc_id].eqNullSafe(keep._keep), "left_semi").dropDuplicates([doc_id])
+    """One row of every component, that of the smallest id, with all its columns.
+
+    Rows without words are linked with nothing and all stay; rows that share
+    id and text are one row (any of them).
+    """
+    kept = stage(link(docs, k, threshold, doc_id, text).where("stays").select(
+        F.col("doc_id").alias("_wardline_id"), F.col("digest").alias("_wardline_keep")), "kept")
+    keep = kept.distinct()
+    marked = docs.withColumn("_wardline_digest", F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
+    hit = (F.col("_wardline_digest") == F.col("_wardline_keep")) & F.col(doc_id).cast("long").eqNullSafe(F.col("_wardline_id"))
+    out = marked.join(keep, hit, "left_semi")
+    if kept.count() != keep.count():
+        out = out.dropDuplicates([doc_id, "_wardline_digest"])
+    return out.drop("_wardline_digest")

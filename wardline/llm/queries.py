@@ -22,7 +22,7 @@ def op3_language(spark, sf_dir):
 
 
 def op5_near_dedup(spark, sf_dir):
-    return neardup.link(_table(spark, sf_dir, "documents"))
+    return neardup.link(_table(spark, sf_dir, "documents")).drop("digest", "stays")
 
 
 def op6_suffix_dedup(spark, sf_dir):
