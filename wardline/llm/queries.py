@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wardline.llm import exact, extract, langid, mix, neardup, pack, shard, simhash, suffix
+from wardline.llm import exact, extract, langid, mix, neardup, pack, passages, shard, simhash, suffix
 
 
 def _table(spark, sf_dir: str, name: str):
@@ -21,6 +21,10 @@ def op3_language(spark, sf_dir):
     return langid.languages(_table(spark, sf_dir, "documents"))
 
 
+def op4_passages(spark, sf_dir):
+    return passages.repeated(_table(spark, sf_dir, "documents"))
+
+
 def op5_near_dedup(spark, sf_dir):
     return neardup.link(_table(spark, sf_dir, "documents")).drop("digest", "stays")
 
@@ -49,6 +53,7 @@ QUERIES = {
     "op1_shard": op1_shard,
     "op2_pack": op2_pack,
     "op3_language": op3_language,
+    "op4_passages": op4_passages,
     "op5_near_dedup": op5_near_dedup,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_extract": op7_extract,
