@@ -144,26 +144,27 @@ def _estimated(threshold: int):
                 j = np.concatenate([estimate(*(a[i:i + 512] for a in (
                     regs("regs"), regs("c_regs"), pdf["n"].to_numpy(float), pdf["c_n"].to_numpy(float))))
                     for i in range(0, len(pdf), 512)])
-                yield pdf.loc[j >= least, ["node", "centre"]]
+                yield pdf.loc[j >= least, ["nid", "centre"]]
     return run
 
 
-def _as_set(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, "<u8")
-
-
 def _linked(a: int, b: int, both, threshold: int):
     return 100 * both >= threshold * (a + b - both)
 
 
-def _verified(threshold: int):
+def _verified(threshold: int, k: int):
     def run(batches):
+        centres: dict = {}                                  # sets of the latest centres
         for pdf in batches:
             keep = []
-            for x, y in zip(pdf["items"], pdf["c_items"]):
-                x, y = _as_set(x), _as_set(y)
+            for x, c, y in zip(pdf["text"], pdf["centre"], pdf["c_text"]):
+                if c not in centres:
+                    if len(centres) >= 64:
+                        centres.clear()
+                    centres[c] = shingles(y, k)
+                x, y = shingles(x, k), centres[c]
                 keep.append(_linked(len(x), len(y), len(np.intersect1d(x, y, assume_unique=True)), threshold))
-            yield pdf.loc[np.array(keep, bool), ["node", "centre"]]
+            yield pdf.loc[np.array(keep, bool), ["nid", "centre"]]
     return run
 
 
@@ -187,24 +188,25 @@ def components(edges: DataFrame) -> DataFrame:
         labels = new.select("node", "label")
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, needed: DataFrame, k: int) -> DataFrame:
-    """``node, items``: full sets of the needed nodes, made anew from one document each."""
-    want = stage(nodes.join(needed.select("node").distinct(), "node").select(
-        F.col("doc_id").alias("_want"), F.col("node")), "wanted")
-    if want.count() <= BROADCAST_ROWS:
-        want = F.broadcast(want)
+def _texts(docs: DataFrame, nodes: DataFrame, needed: DataFrame, k: int) -> DataFrame:
+    """``nid, text``: one text of each needed node.
+
+    Texts travel instead of sets: they are half as large, and their sets are
+    made again where they are compared.
+    """
+    want = stage(nodes.join(needed.select("nid").distinct(), "nid").select(
+        F.col("doc_id").alias("_want"), "nid", "node"), "wanted")
+    n = want.count()
 
     def run(batches):
         for pdf in batches:
-            rows = []
-            for node, text in zip(pdf["node"], pdf["text"]):
-                raw = shingles(text, k).tobytes()
-                if xxhash.xxh3_128_digest(raw) == node:     # an id can occur with other texts
-                    rows.append((node, raw))
-            yield pd.DataFrame(rows, columns=["node", "items"])
+            # An id can occur with other texts.
+            same = [xxhash.xxh3_128_digest(shingles(t, k).tobytes()) == node for node, t in zip(pdf["node"], pdf["text"])]
+            yield pdf.loc[np.array(same, bool), ["nid", "text"]]
 
-    found = docs.join(want, docs.doc_id.eqNullSafe(want._want)).select("node", "text").mapInPandas(run, "node binary, items binary")
-    return stage(found.dropDuplicates(["node"]), "sets")
+    found = docs.join(F.broadcast(want) if n <= BROADCAST_ROWS else want, docs.doc_id.eqNullSafe(want._want))
+    found = stage(found.select("nid", "node", "text").mapInPandas(run, "nid long, text string"), "texts")
+    return found if found.count() == n else found.dropDuplicates(["nid"])
 
 
 def _blocks(members: DataFrame) -> DataFrame:
@@ -213,7 +215,7 @@ def _blocks(members: DataFrame) -> DataFrame:
     total = members.count()
     cut = hot_join(members, sizes, "centre", "size", total).withColumn(
         "blocks", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int"))
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    own = F.pmod(F.xxhash64("nid"), F.col("blocks")).cast("int")
     return (cut.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
             .drop("size", "blocks", "own", "other"))
@@ -235,29 +237,33 @@ def _hopeful(threshold: int):
                 if len(close):
                     hit[a] = True
                     hit[close] = True
-        return pdf.loc[hit, ["centre", "node"]]
+        return pdf.loc[hit, ["centre", "nid"]]
     return run
 
 
-def _forest(threshold: int):
+def _forest(threshold: int, k: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        sets = [_as_set(x) for x in pdf["items"]]
-        nodes, size = pdf["node"].tolist(), np.array([len(s) for s in sets])
-        flat = np.concatenate(sets)
-        _, column, times = np.unique(flat, return_inverse=True, return_counts=True)
+        sets = [shingles(t, k) for t in pdf["text"]]
+        nodes, size = pdf["nid"].tolist(), np.array([len(s) for s in sets])
+        _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
         shared = times > 1                                  # others meet nobody
         place = np.cumsum(shared) - 1
         row = np.repeat(np.arange(len(sets)), size)
         row, column = row[shared[column]], place[column[shared[column]]]
-        both = np.zeros((len(sets), len(sets)), np.float32)
         order = np.argsort(column, kind="stable")
         row, column = row[order], column[order]
+        # Whole numbers below 2**24 are exact in single precision.
+        kind = np.float32 if 2 * (100 + threshold) * int(size.max()) < 1 << 24 else np.float64
+        both = np.zeros((len(sets), len(sets)), kind)
         for at in range(0, int(shared.sum()), _CHUNK):
             a, b = np.searchsorted(column, (at, at + _CHUNK))
-            m = np.zeros((len(sets), _CHUNK), np.float32)
-            m[row[a:b], column[a:b] - at] = 1.0
+            m = np.zeros((len(sets), _CHUNK), kind)
+            m[row[a:b], column[a:b] - at] = 1
             both += m @ m.T
-        near = 100 * both >= threshold * (size[:, None] + size[None, :] - both)
+        least = (size[:, None] + size[None, :]).astype(kind)
+        least *= threshold
+        both *= 100 + threshold
+        near = both >= least
         edges, waiting = [], np.ones(len(sets), bool)
         for start in range(len(sets)):
             if waiting[start]:
@@ -288,52 +294,53 @@ def link(docs: DataFrame, k: int = SHINGLE, threshold: int = THRESHOLD, doc_id:
     nodes = stage(full.groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "digest")).alias("first"),
         F.count(F.lit(1)).alias("size"), F.max("n").alias("n"),
-        F.max("regs").alias("regs"), F.first("bands").alias("bands")), "nodes")
+        F.max("regs").alias("regs"), F.first("bands").alias("bands"))
+        .withColumn("nid", F.monotonically_increasing_id()), "nodes")
 
     # Buckets with company, and their centres.
-    keys = nodes.select("node", F.explode("bands").alias("key"))
+    keys = nodes.select("nid", F.explode("bands").alias("key"))
     buckets = stage(keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
     total = nodes.count() * BANDS
     members = stage(hot_join(keys, buckets, "key", "size", total), "members")
-    rank = members.groupBy("node").agg(F.sum("size").alias("rank"))
-    ranked = stage(members.join(rank, "node"), "ranked")
-    centres = ranked.groupBy("key").agg(F.max(F.struct("rank", "node")).alias("top"), F.max("size").alias("size")).select(
-        "key", "size", F.col("top.node").alias("centre"))
-    stars = stage(hot_join(ranked.select("key", "node"), centres, "key", "size", total)
-                  .select("node", "centre").distinct().where("node != centre"), "stars")
+    rank = members.groupBy("nid").agg(F.sum("size").alias("rank"))
+    ranked = stage(members.join(rank, "nid"), "ranked")
+    centres = ranked.groupBy("key").agg(F.max(F.struct("rank", "nid")).alias("top"), F.max("size").alias("size")).select(
+        "key", "size", F.col("top.nid").alias("centre"))
+    stars = stage(hot_join(ranked.select("key", "nid"), centres, "key", "size", total)
+                  .select("nid", "centre").distinct().where("nid != centre"), "stars")
 
     # Pairs of a member and its centre: estimated, then verified.
-    sketch = nodes.select("node", "n", "regs")
+    sketch = nodes.select("nid", "n", "regs")
     n_stars = stars.count()
     star_sizes = stars.groupBy("centre").agg(F.count(F.lit(1)).alias("size"))
-    hubs = star_sizes.join(sketch.select(F.col("node").alias("centre"), F.col("n").alias("c_n"), F.col("regs").alias("c_regs")), "centre")
-    likely = stage(hot_join(stars.join(sketch, "node"), hubs, "centre", "size", n_stars)
-                   .select("node", "n", "regs", "centre", "c_n", "c_regs")
-                   .mapInPandas(_estimated(threshold), "node binary, centre binary"), "likely")
-    sets = _sets(docs, nodes, likely.select("node").unionByName(likely.select(F.col("centre").alias("node"))), k)
-    hub_sets = likely.groupBy("centre").agg(F.count(F.lit(1)).alias("size")).join(
-        sets.select(F.col("node").alias("centre"), F.col("items").alias("c_items")), "centre")
-    links = stage(hot_join(likely.join(sets, "node"), hub_sets, "centre", "size", likely.count())
-                  .select("node", "items", "centre", "c_items")
-                  .mapInPandas(_verified(threshold), "node binary, centre binary")
-                  .select(F.col("node").alias("u"), F.col("centre").alias("v")), "links")
-    labels = components(links)
+    hubs = star_sizes.join(sketch.select(F.col("nid").alias("centre"), F.col("n").alias("c_n"), F.col("regs").alias("c_regs")), "centre")
+    likely = stage(hot_join(stars.join(sketch, "nid"), hubs, "centre", "size", n_stars)
+                   .select("nid", "n", "regs", "centre", "c_n", "c_regs")
+                   .mapInPandas(_estimated(threshold), "nid long, centre long"), "likely")
+    texts = _texts(docs, nodes, likely.select("nid").unionByName(likely.select(F.col("centre").alias("nid"))), k)
+    hub_texts = likely.groupBy("centre").agg(F.count(F.lit(1)).alias("size")).join(
+        texts.select(F.col("nid").alias("centre"), F.col("text").alias("c_text")), "centre")
+    links = stage(hot_join(likely.join(texts, "nid"), hub_texts, "centre", "size", likely.count())
+                  .select("nid", "text", "centre", "c_text")
+                  .mapInPandas(_verified(threshold, k), "nid long, centre long")
+                  .select(F.col("nid").alias("u"), F.col("centre").alias("v")), "links")
+    labels = components(links).withColumnRenamed("node", "nid")
 
     # Members of one centre that are still apart.
-    labelled = stage(stars.join(labels, "node", "left").select("node", "centre", F.coalesce("label", "node").alias("label")), "labelled")
+    labelled = stage(stars.join(labels, "nid", "left").select("nid", "centre", F.coalesce("label", "nid").alias("label")), "labelled")
     apart = labelled.groupBy("centre").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a != b").select("centre")
     open_sizes = star_sizes.join(apart, "centre")
     open_members = stage(hot_join(labelled, open_sizes, "centre", "size", n_stars).drop("size"), "open")
-    hopeful = stage(by_group(_blocks(open_members.join(sketch, "node")), ["centre", "i", "j"], _hopeful(threshold),
-                             "centre binary, node binary").distinct(), "hopeful")
-    more_sets = _sets(docs, nodes, hopeful, k)
-    more = stage(by_group(_blocks(hopeful.join(more_sets, "node")), ["centre", "i", "j"], _forest(threshold),
-                          "u binary, v binary").distinct(), "more-links")
-    labels = components(links.unionByName(more))
+    hopeful = stage(by_group(_blocks(open_members.join(sketch, "nid")), ["centre", "i", "j"], _hopeful(threshold),
+                             "centre long, nid long").distinct(), "hopeful")
+    more_texts = _texts(docs, nodes, hopeful, k)
+    more = stage(by_group(_blocks(hopeful.join(more_texts, "nid")), ["centre", "i", "j"], _forest(threshold, k),
+                          "u long, v long").distinct(), "more-links")
+    labels = components(links.unionByName(more)).withColumnRenamed("node", "nid")
 
     # Every node's component, by its smallest document.
-    named = stage(nodes.select("node", "doc_id", "first", "size").join(labels, "node", "left").withColumn(
-        "label", F.coalesce("label", "node")), "named")
+    named = stage(nodes.select("nid", "node", "doc_id", "first", "size").join(labels, "nid", "left").withColumn(
+        "label", F.coalesce("label", "nid")), "named")
     tops = named.groupBy("label").agg(F.min("doc_id").alias("component_id"), F.min("first").alias("top"),
                                       F.count(F.lit(1)).alias("members"))
     owner = hot_join(named.select("node", "size", "label"), tops, "label", "members", total // BANDS).select(
