@@ -46,6 +46,19 @@ def digest(columns: list[str], rows: list[tuple]) -> str:
     return hashlib.sha256("\n".join(lines).encode()).hexdigest()
 
 
+# Spark's and DuckDB's names of the types that results use.
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "boolean": "BOOLEAN",
+                 "string": "VARCHAR", "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP",
+                 "date": "DATE", "decimal(38,18)": "DECIMAL(38,18)"}
+
+
+def types_differ(df, con, sql) -> dict:
+    """Columns whose types differ: name -> (Spark, oracle)."""
+    ours = {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes}
+    theirs = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return {c: (ours.get(c), theirs.get(c)) for c in {*ours, *theirs} if ours.get(c) != theirs.get(c)}
+
+
 def spark_result(df):
     cols = df.columns
     rows = [tuple(r) for r in df.collect()]
@@ -65,11 +78,12 @@ def compare(df, con, sql) -> dict:
         "rows_spark": len(s_rows), "rows_oracle": len(d_rows),
         "columns_match": sorted(s_cols) == sorted(d_cols),
         "hash_match": False,
+        "types_differ": types_differ(df, con, sql),
     }
     if out["columns_match"]:
         out["hash_match"] = digest(s_cols, s_rows) == digest(d_cols, d_rows)
     else:
         out["columns_spark_only"] = sorted(set(s_cols) - set(d_cols))
         out["columns_oracle_only"] = sorted(set(d_cols) - set(s_cols))
-    out["ok"] = out["columns_match"] and out["hash_match"] and len(s_rows) == len(d_rows)
+    out["ok"] = not out["types_differ"] and out["columns_match"] and out["hash_match"] and len(s_rows) == len(d_rows)
     return out

@@ -79,3 +79,49 @@ def test_alternation_spans_newlines():
     import re
     pattern = alternation(dic.NEURO_ADMISSION_TERMS)
     assert re.search(pattern, "head\nblunt trauma") and not re.search(pattern, "chest pain")
+
+
+def test_exact_numbers_compare_as_their_texts(spark):
+    """Against Python's unlimited decimals: order with whole numbers, and what is delivered."""
+    from decimal import Decimal
+
+    from pyspark.sql import functions as F
+
+    from wardline.functions.decode import text_number
+    texts = ["15", "15.", "007", "14.9999999999999999999", "2.0000000000000000001", "-1" + "0" * 25, "1" + "0" * 40,
+             "15." + "0" * 40, "0" * 30 + "9.5", "-0.00000000000000000000001", "2." + "0" * 30 + "1", "3.000000000000000000"]
+    rows = (spark.createDataFrame([(t,) for t in texts], "t string")
+            .select("t", text_number(F.col("t"), F.lit(True)).alias("n")).collect())
+    for r in rows:
+        exact = Decimal(r.t.rstrip("."))
+        for whole in (-1, 0, 2, 3, 9, 14, 15, 16):
+            assert (r.n < whole, r.n > whole) == (exact < whole, exact > whole), (r.t, whole)
+
+
+def test_class_does_not_depend_on_the_order_of_generics(spark):
+    from wardline.functions import dictionaries as dic
+    from wardline.operators.exposure import classify_drugs
+    df = spark.createDataFrame([("Crestor and Zocor",), ("Crestor",), ("Water",)], "drug string")
+    turned = tuple(reversed(dic.STATIN_TERMS_PRIORITY))
+    got = [(r.statin_type, r.statin_class) for r in classify_drugs(df, priority=turned).collect()]
+    assert got == [("rosuvastatin", "lipophilic"), ("rosuvastatin", "hydrophilic"), (None, None)]
+
+
+def test_term_dictionary_of_any_size(spark):
+    from wardline.operators.exposure import match_terms
+    terms = spark.range(0, 20_000).selectExpr("concat('g', id) generic_name", "'c' statin_type",
+                                              "concat('term', lpad(id, 5, '0')) match_term")
+    terms = terms.unionByName(spark.createDataFrame([("two", "c", "zq"), ("all", "c", ""), ("none", "c", None)], "generic_name string, statin_type string, match_term string"))
+    df = spark.createDataFrame([(1, "x TERM00042 zq term19999"), (2, "nothing"), (3, None)], "patientunitstayid long, drugname string")
+    got = {(r.patientunitstayid, r.generic_name) for r in match_terms(df, terms).collect()}
+    assert got == {(1, "g42"), (1, "g19999"), (1, "two"), (1, "all"), (2, "all"), (3, "all")}
+    assert "NestedLoop" not in match_terms(df, terms)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_csv_with_quotes_commas_and_line_breaks(spark, tmp_path):
+    from wardline.sources.tables import csv_sources
+    (tmp_path / "admissiondrug.csv").write_text(
+        'patientunitstayid,drugname\n1,"lipitor, ""forte""\nsecond line"\n2,plain\n3,\n')
+    rows = csv_sources(spark, str(tmp_path), suffix=".csv")["admissiondrug"].collect()
+    assert {(r.patientunitstayid, r.drugname) for r in rows} == {
+        (1, 'lipitor, "forte"\nsecond line'), (2, "plain"), (3, None)}

@@ -32,12 +32,18 @@ def test_first_stay_uses_partial_window_limit(spark):
 
 
 def test_theta_match_needs_no_join(spark):
+    for key in ("term_match_join", "undated_exposure", "cohort_offset"):
+        assert "lambda" not in plan(entry.queries()[key](spark, SF0001))
     p = plan(entry.queries()["term_match_join"](spark, SF0001))
-    assert "Generate explode(filter(" in p
     for join in ("NestedLoopJoin", "HashJoin", "SortMergeJoin", "CartesianProduct"):
         assert join not in p
 
 
+def test_offset_cohort_reads_charting_once(spark):
+    p = plan(entry.queries()["cohort_offset"](spark, SF0001))
+    assert p.count("lineitem.parquet") == 4        # diagnosis, history, charting, drugs
+
+
 def test_filters_and_pruning_reach_the_scan(spark, make):
     path = os.path.join(tempfile.mkdtemp(prefix="wardline-plan-"), "chartevents")
     (make("chartevents", [(1, ts(1), 228337, 1.0, "x")])
@@ -100,18 +106,58 @@ def test_unbounded_path_with_hot_keys_matches_oracle(spark, monkeypatch, key):
     assert res["ok"], res
 
 
-def test_split_hot_join_spreads_one_hot_key(spark):
+def _copies(spark, n):
+    """``n`` equal rows of key 1 and one row of key 2."""
+    from pyspark.sql import functions as F
+    return spark.range(0, n + 1, 1, 6).select(F.when(F.col("id") < n, 1).otherwise(2).cast("long").alias("k"),
+                                              F.lit(7).alias("v"))
+
+
+@pytest.mark.parametrize("limits", [{}, {"max_rows": 0}, {"max_rows": 0, "hot_rows": 3}])
+def test_joins_keep_every_copy_at_every_size(spark, limits):
+    keys = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k long, tag string")
+    assert keyed_join(_copies(spark, 20), keys, None, "k", **limits).count() == 21
+
+
+@pytest.mark.parametrize("max_rows", [None, 0])
+def test_restrict_always_restricts(spark, max_rows):
+    from wardline.operators.joins import restrict
+    keys = spark.createDataFrame([(1,), (3,)], "k long")
+    assert restrict(_copies(spark, 20), keys, "k", max_rows=max_rows).count() == 20
+
+
+def test_more_hot_keys_than_fit_are_still_split(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    from wardline.operators import joins
+    events = spark.range(0, 600).select(F.when(F.col("id") < 400, 0).otherwise(F.col("id") % 5).cast("long").alias("k"))
+    keys = spark.range(0, 5).select(F.col("id").alias("k"), F.lit("x").alias("tag"))
+    monkeypatch.setattr(joins, "HOT_KEYS_MAX", 1)
+    hot, side = joins._hot_keys(events, keys, ["k"], 10)
+    assert [r.k for r in hot.collect()] == [0] and side.count() == 1
+    assert joins.split_hot_join(events, keys, "k", hot_rows=10).count() == 600
+
+
+def test_null_keys_and_copies_stay_spread(spark):
+    """A third of null keys and 30,000 equal rows are held by many partitions."""
     from pyspark.sql import functions as F
     from wardline.operators.joins import split_hot_join
-    events = spark.range(0, 3000).select((F.col("id") % 3 == 0).cast("long").alias("k"),
-                                         F.col("id").alias("v"))
-    keys = spark.createDataFrame([(0, "cold"), (1, "hot")], "k long, tag string")
-    out = split_hot_join(events, keys, "k", "inner", hot_rows=100)
-    assert "_salt" in out._jdf.queryExecution().analyzed().toString()
-    assert out.count() == 3000
-    assert out.where("tag = 'hot'").count() == 1000
-    copies = spark.range(0, 500).select(F.lit(1).cast("long").alias("k"), F.lit(7).alias("v"))
-    assert split_hot_join(copies, keys, "k", "inner", idempotent=True, hot_rows=10).count() == 1
+    keys = spark.range(0, 100).select(F.col("id").alias("k"), F.lit("x").alias("tag"))
+    nulls = spark.range(0, 3000, 1, 6).select(F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id")).cast("long").alias("k"))
+    held = lambda df, cond: [r["count"] for r in df.where(cond).groupBy(F.spark_partition_id()).count().collect()]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = held(split_hot_join(nulls, keys, "k", "left", hot_rows=100), "k is null")
+        assert sum(out) == 1000 and len(out) == 6
+        out = held(split_hot_join(_copies(spark, 30_000), keys, "k", hot_rows=1000), "k = 1")
+        assert sum(out) == 30_000 and len(out) == 6
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_payload_counts_bytes_and_overhead(spark):
+    from wardline.sizes import payload_bytes
+    df = spark.createDataFrame([("é" * 100,)], "t string")
+    assert payload_bytes(df, 1) >= 2 * 200
 
 
 def test_job_writes_stages_and_partitioned_finals(spark):
@@ -191,15 +237,16 @@ def test_broadcast_needs_a_byte_bound_too(spark, monkeypatch):
     assert keyed_join(events, wide, None, "k", "inner").count() == 50
 
 
-def test_materialize_without_checkpoint_folder_persists(spark, monkeypatch):
+def test_materialize_leaves_nothing_cached(spark, monkeypatch):
     from pyspark.sql import functions as F
     from wardline.operators import joins
-    monkeypatch.setattr(joins, "checkpoint_dir", lambda s: None)
     df = spark.range(0, 100).select((F.col("id") % 7).alias("k"))
-    out = joins.materialize(df)
-    assert out.is_cached and has_at_most(out, 100) and not has_at_most(out, 99)
-    out.unpersist()
-    monkeypatch.undo()
+    with monkeypatch.context() as m:
+        m.setattr(joins, "checkpoint_dir", lambda s: None)
+        out = joins.materialize(df)
+        assert not out.is_cached and has_at_most(out, 100) and not has_at_most(out, 99)
+        entry.queries()["base_cohort_ts"](spark, SF0001).count()
+        assert spark._jsc.getPersistentRDDs().isEmpty()
     ck = joins.materialize(df)
     assert not ck.is_cached and "LogicalRDD" in ck._jdf.queryExecution().analyzed().toString()
 
@@ -248,8 +295,9 @@ def test_limits_can_be_set_per_session(spark):
 
 PLAN_SHAPES = {   # key -> (bounded: max exchanges, keys), (unbounded: max exchanges, keys)
     "cohort_timestamped": ((6, {"stay_id"}),
-                           (18, {"hadm_id", "stay_id", "icd_code", "l_orderkey", "o_orderkey"})),
-    "cohort_offset": ((6, {"patientunitstayid"}), (7, {"patientunitstayid"})),
+                           (19, {"hadm_id", "stay_id", "icd_code", "l_orderkey", "o_orderkey"})),
+    # Unbounded, every child is restricted to the base by a join of its own.
+    "cohort_offset": ((5, {"patientunitstayid"}), (9, {"patientunitstayid"})),
 }
 
 
@@ -271,19 +319,3 @@ def test_plan_shape_does_not_regress(spark, monkeypatch, key):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert s["exchanges"] <= u_max and set(s["shuffle_keys"]) <= u_keys, s
     assert s["broadcast_hash_joins"] == 0
-
-
-def test_hot_key_split_can_defer_to_aqe(spark):
-    from pyspark.sql import functions as F
-    from wardline.operators.joins import split_hot_join
-    events = spark.range(0, 300).select(F.lit(1).cast("long").alias("k"), F.col("id").alias("v"))
-    keys = spark.createDataFrame([(1, "x")], "k long, tag string")
-    spark.conf.set("spark.wardline.hotKeySplit", "aqe")
-    try:
-        out = split_hot_join(events, keys, "k", "inner", hot_rows=10)
-        assert "_salt" not in out._jdf.queryExecution().analyzed().toString()
-        assert out.count() == 300
-    finally:
-        spark.conf.unset("spark.wardline.hotKeySplit")
-    assert "_salt" in split_hot_join(events, keys, "k", "inner", hot_rows=10) \
-        ._jdf.queryExecution().analyzed().toString()

@@ -101,14 +101,6 @@ def classify_terms(text: Column, priority: Sequence[tuple[str, str, Sequence[str
     return out
 
 
-def class_of(generic: Column, classes: dict[str, str]) -> Column:
-    """Map a generic name to its class through a literal map (NULL stays NULL)."""
-    pairs = []
-    for g, cls in classes.items():
-        pairs += [F.lit(g), F.lit(cls)]
-    return F.create_map(*pairs)[generic]
-
-
 def terms_frame(spark, terms: Sequence[Term]):
     """A term dictionary as a small DataFrame ``(generic_name, statin_type, match_term)``."""
     from wardline.sizes import note_rows

@@ -41,7 +41,7 @@ def describe_codes(dx: DataFrame, dictionary: DataFrame, *, key: str = "hadm_id"
     size before broadcasting it.
     """
     j = keyed_join(dx, dictionary, ["icd_code", "icd_version", "long_title"],
-                   ["icd_code", "icd_version"], "left", idempotent=False)
+                   ["icd_code", "icd_version"], "left")
     return j.select(key, normalise_code(c("icd_code")).alias("icd_code_clean"), "icd_version",
                     F.lower(F.coalesce(c("long_title"), F.lit(""))).alias("long_title"))
 

@@ -1,9 +1,9 @@
 """Drug exposure: term classification, drug events, before-index flags.
 
-Term dictionaries are data of a known, small size: they become literal
-expressions (a ``CASE`` chain, a literal array), so matching needs no join;
-the drug tables themselves are only filtered, classified and joined to the
-narrow base key table.
+The study's term lists become literal expressions, so matching needs no join;
+a dictionary given as a table, of any size, is matched by an equality join on
+short substrings.  The drug tables are only filtered, classified and joined
+to the narrow base key table.
 """
 
 from __future__ import annotations
@@ -15,29 +15,36 @@ from pyspark.sql import functions as F
 
 from wardline.functions import dictionaries as dic
 from wardline.functions.dictionaries import Term
-from wardline.functions.match import class_of, classify_terms
+from wardline.functions.match import classify_terms, contains_any
 from wardline.functions.windows import flag
-from wardline.operators.joins import has_at_most, keyed_join
+from wardline.operators.joins import keyed_join
 
 c = F.col
 
-# Upper bound for a broadcast term dictionary; the study's lists hold 15-27.
-TERMS_MAX_ROWS = 10_000
+# Length of the substrings that join texts to a dictionary's terms.
+GRAM = 3
 
 
 # ---------------------------------------------------------------- U24: classification
 
 def classify_drugs(df: DataFrame, text: str = "drug",
-                   priority=dic.STATIN_TERMS_PRIORITY) -> DataFrame:
+                   priority=dic.STATIN_TERMS_PRIORITY,
+                   classes: Sequence[str] = ("lipophilic", "hydrophilic")) -> DataFrame:
     """Adds ``statin_type`` (first matching generic by priority) and ``statin_class``.
 
-    The class follows from the type: every lipophilic generic precedes every
-    hydrophilic one in the priority, so "any lipophilic term" and "type is
-    lipophilic" coincide, and ``lower(text)`` is scanned once per term.
+    The class is the first of ``classes`` that any matching term belongs to,
+    whatever the order of the generics.
     """
-    classes = {g: cls for g, cls, _ in priority}
-    typed = df.withColumn("statin_type", classify_terms(c(text), priority))
-    return typed.withColumn("statin_class", class_of(c("statin_type"), classes))
+    low = F.lower(c(text))
+    cls = None
+    for name in classes:
+        terms = [t for _, of, group in priority for t in group if of == name]
+        if terms:
+            hit = contains_any(low, terms)
+            cls = F.when(hit, F.lit(name)) if cls is None else cls.when(hit, F.lit(name))
+    cls = F.lit(None).cast("string") if cls is None else cls
+    return (df.withColumn("statin_type", classify_terms(c(text), priority))
+            .withColumn("statin_class", cls))
 
 
 # ---------------------------------------------------------------- U25: drug events
@@ -52,7 +59,8 @@ def statin_rows(base: DataFrame, rx: DataFrame, *, key: str = "hadm_id", stay: s
     """
     kept = rx.where(c("starttime").isNotNull()
                     & (F.coalesce(c("drug_type"), F.lit("")) != excluded_type))
-    typed = classify_drugs(kept, "drug", priority).where(c("statin_type").isNotNull())
+    terms = [t for _, _, group in priority for t in group]
+    typed = classify_drugs(kept.where(contains_any(F.lower(c("drug")), terms)), "drug", priority)
     return keyed_join(typed, base, [key, stay, index_time], key, "inner")
 
 
@@ -100,25 +108,43 @@ def match_terms(df: DataFrame, terms, *, key: str = "patientunitstayid", text: s
     """Distinct (key, generic, class) for every term contained in ``lower(text)``.
 
     The study's theta join (``text LIKE '%' || term || '%'``) lets a row match
-    several terms.  The term dictionary is data of bounded size (a sequence
-    of :class:`Term`, or a DataFrame of at most ``TERMS_MAX_ROWS`` rows), so
-    it becomes one literal array: each row keeps the terms its text
-    contains (a higher-order ``filter``) and ``explode`` emits one row per
-    hit.  No join, no shuffle of the drug table; the ``distinct``
-    pre-aggregates map-side.
+    several terms.  A sequence of :class:`Term` becomes one conditional per
+    term behind a filter on any of them.  A DataFrame (``generic_name,
+    statin_type, match_term``) of any size is joined: a text contains a
+    term only if it contains the term's first ``GRAM`` characters, so distinct
+    texts and terms meet by equality on those, and ``contains`` decides.
     """
+    low = F.lower(F.coalesce(c(text), F.lit("")))
     if isinstance(terms, DataFrame):
-        if not has_at_most(terms, TERMS_MAX_ROWS):
-            raise ValueError(f"term dictionary larger than {TERMS_MAX_ROWS} rows")
-        terms = [Term(r["generic_name"], r["statin_type"], r["match_term"])
-                 for r in terms.collect()]
-    table = F.array(*[F.struct(F.lit(t.generic).alias("generic_name"),
-                               F.lit(t.drug_class).alias("statin_type"),
-                               F.lit(t.term).alias("match_term")) for t in terms])
+        texts = df.select(low.alias("_text")).distinct()
+        places = F.explode(F.sequence(F.lit(1), F.greatest(F.length("_text"), F.lit(1))))
+        sized = texts.select("_text", places.alias("_at")).withColumn(
+            "_size", F.explode(F.array(*[F.lit(n) for n in range(GRAM + 1)])))
+        grams = sized.select("_text", F.substr("_text", c("_at"), c("_size")).alias("_gram")).distinct()
+        named = terms.where(c("match_term").isNotNull()).select(
+            *keep, "match_term", F.substring("match_term", 1, GRAM).alias("_gram"))
+        found = (grams.join(named, "_gram").where(c("_text").contains(c("match_term")))
+                 .select("_text", *keep).distinct())
+        return (df.select(key, low.alias("_text")).distinct().join(found, "_text")
+                .select(key, *keep).distinct())
+    hits = F.array(*[F.when(low.contains(t.term), F.struct(
+        F.lit(t.generic).alias("generic_name"), F.lit(t.drug_class).alias("statin_type"),
+        F.lit(t.term).alias("match_term"))) for t in terms])
+    rows = df.where(contains_any(low, [t.term for t in terms])).select(key, F.explode(hits).alias("_t"))
+    return rows.where(c("_t").isNotNull()).select(key, *[c(f"_t.{k}").alias(k) for k in keep]).distinct()
+
+
+def term_class_rollup(df: DataFrame, terms, *, key: str = "patientunitstayid",
+                      text: str = "drugname") -> DataFrame:
+    """U27 and U28 in one step: per key with any match, the any and class flags."""
     low = F.lower(F.coalesce(c(text), F.lit("")))
-    hits = F.filter(table, lambda t: low.contains(t["match_term"]))
-    rows = df.select(key, F.explode(hits).alias("_t"))
-    return rows.select(key, *[c(f"_t.{k}").alias(k) for k in keep]).distinct()
+    of = lambda cls: [t.term for t in terms if cls in (None, t.drug_class)]
+    rows = df.where(contains_any(low, of(None))).select(
+        key, flag(contains_any(low, of("lipophilic"))).alias("_lipo"),
+        flag(contains_any(low, of("hydrophilic"))).alias("_hydro"))
+    return rows.groupBy(key).agg(
+        F.lit(1).alias("pre_statin"), F.max("_lipo").alias("pre_lipophilic_statin"),
+        F.max("_hydro").alias("pre_hydrophilic_statin"))
 
 
 # ---------------------------------------------------------------- U28: undated flags

@@ -3,37 +3,32 @@
 Event tables (charting, drugs, diagnoses) are the large, possibly skewed
 inputs; a stay may own a third of all rows.  They are joined to *key tables*
 (one row per stay or admission, a few narrow columns projected from a
-stage).  ``keyed_join`` broadcasts a key table only after proving its stage
-small with a bounded count, so the event side is never shuffled for the join
-and a hot stay costs nothing extra; the operators aggregate right after the
-join, so partial aggregation collapses a hot key before the next exchange.
-
-Beyond the bound, hot keys are found by an exact count and salted
-(:func:`split_hot_join`), so no task receives more than about
-``HOT_KEY_ROWS`` rows of one key whatever the session configuration (AQE's
-skew split, when enabled, is a second guard).
-
-Row bounds and payload sizes are remembered per DataFrame object
-(:mod:`wardline.sizes`): a materialised stage knows its exact count, and a
-stage checked once is not counted again by the next operator that joins to it.
+stage).  ``keyed_join`` broadcasts a key table only after counting it and
+measuring its bytes, so the event side is never shuffled for the join and a
+hot stay costs nothing extra.
+
+Beyond the bound, hot keys are found by an exact count and joined on their own
+(:func:`split_hot_join`): their key rows are few and are broadcast, so event
+rows of a hot key, identical or not, stay in the partitions they are in; all
+others take a shuffle join.  Rows with a null key match nothing and are not
+shuffled.  Every path returns the same rows as a plain join.
+
+Row counts and payload sizes are remembered per DataFrame object
+(:mod:`wardline.sizes`).
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.sizes import (exact_rows, has_at_most, has_var_width,  # noqa: F401
                             note_rows, payload_bytes, setting)
 
-# Largest key table broadcast to every task.  A key table row is a long id
-# plus at most two timestamps (< 40 bytes in UnsafeRow form), so this is
-# ~80 MB as a hash relation: safe for executors, cheap to ship.
+# Largest key table broadcast to every task: a long id and at most two
+# timestamps a row.
 BROADCAST_MAX_ROWS = 2_000_000
-# Byte budget for a broadcast side with variable-width columns (strings):
-# fixed-width columns count 8 bytes, strings their actual length, summed by
-# one aggregate over the (already row-bounded) side.
+# Byte budget of a broadcast side as a hash relation (see sizes.payload_bytes).
 BROADCAST_MAX_BYTES = 128 * 1024 * 1024
 
 
@@ -73,109 +68,83 @@ def key_table(stage: DataFrame, *cols, max_rows: int | None = None,
 
 def keyed_join(events: DataFrame, stage: DataFrame, cols, on: str | list[str],
                how: str = "inner", max_rows: int | None = None,
-               bound_from: DataFrame | None = None, idempotent: bool = True,
-               hot_rows: int | None = None) -> DataFrame:
+               bound_from: DataFrame | None = None, hot_rows: int | None = None) -> DataFrame:
     """Join a large (event) side to columns ``cols`` of ``stage`` on key names ``on``.
 
-    The stage side is broadcast when its row count is proven to be at most
-    ``max_rows`` and its payload at most ``BROADCAST_MAX_BYTES``: the events
-    then stay where they are and a hot key costs nothing extra.  Otherwise :func:`split_hot_join` shuffles both sides
-    with hot keys salted.  ``how`` must keep the stage on the build side
-    (inner, left, left_semi or left_anti).  ``idempotent`` states that the
-    caller's result ignores duplicate event rows (min, max, any, distinct),
-    which lets the fallback collapse copies before it shuffles.
+    The stage side is broadcast when it has at most ``max_rows`` rows and
+    ``BROADCAST_MAX_BYTES`` of payload; otherwise :func:`split_hot_join` joins
+    by shuffle with hot keys apart.  The rows are the same either way.
+    ``how`` must keep the stage on the build side (inner, left, left_semi or
+    left_anti).
     """
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         raise ValueError(f"keyed_join cannot build the key side of a {how} join")
     keys, small = key_table(stage, *(cols or ()), max_rows=max_rows, bound_from=bound_from)
     if small:
         return events.join(keys, on, how)
-    return split_hot_join(events, keys, on, how, idempotent=idempotent,
-                          hot_rows=hot_rows)
+    return split_hot_join(events, keys, on, how, hot_rows=hot_rows)
 
 
-# A key with more event rows than this is split across tasks (about one
-# task's worth of rows); at most HOT_KEYS_MAX such keys can exist below
-# 5e12 rows, and their salt table is broadcast.
+# A key with more event rows than this is joined apart (about one task's worth
+# of rows).  At most HOT_KEYS_MAX keys are: beyond, the hottest ones.
 HOT_KEY_ROWS = 5_000_000
 HOT_KEYS_MAX = 1_000_000
 
 
-def split_mode(spark) -> str:
-    """How unbounded joins guard hot keys: ``count`` (exact count + salting,
-    independent of session configs; the default) or ``aqe`` (plain shuffle
-    join, relying on ``spark.sql.adaptive.skewJoin``; saves one pass over the
-    event table's key columns)."""
-    try:
-        mode = spark.conf.get("spark.wardline.hotKeySplit", "count")
-    except Exception:
-        mode = "count"
-    return (mode or "count").lower()
+def _hot_keys(events: DataFrame, keys: DataFrame, on: list[str], hot_rows: int):
+    """The hot keys and their rows of ``keys``, both of broadcast size; None when no key is hot.
+
+    When they are too many or too large, the limit is doubled until the hottest fit.
+    """
+    counts = events.select(*on).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    hot = materialize(counts.where(F.col("_n") > hot_rows))
+    budget = setting(events.sparkSession, "broadcastMaxBytes", BROADCAST_MAX_BYTES)
+    while exact_rows(hot):
+        names = hot.select(*on)
+        if exact_rows(hot) <= HOT_KEYS_MAX and payload_bytes(hot, exact_rows(hot)) <= budget:
+            side = materialize(keys.join(F.broadcast(names), on, "left_semi"))
+            if payload_bytes(side, exact_rows(side)) <= budget:
+                return names, side
+        hot_rows *= 2
+        hot = materialize(hot.where(F.col("_n") > hot_rows))
+    return None
 
 
 def split_hot_join(events: DataFrame, keys: DataFrame, on: str | list[str], how: str = "inner",
-                   *, idempotent: bool = False, hot_rows: int | None = None) -> DataFrame:
-    """Shuffle join that spreads hot keys of the event side over several tasks.
-
-    1. Count event rows per key (partial aggregation; only the key columns
-       and the filters' columns are read) and keep keys above ``hot_rows``
-       with ``ceil(rows / hot_rows)`` salts each: a bounded, broadcast table.
-    2. Each event row of a hot key gets a deterministic salt, a hash of its
-       content (stable under task retries, unlike a random salt); cold keys
-       get salt 0.  Each key row is repeated once per salt of its key, so
-       only hot keys are replicated, in proportion to their size.
-    3. Join on (key, salt).  With ``idempotent`` (and only when some key is
-       hot) the events are made distinct first, so even a key made of
-       identical copies collapses to one row per map task before any shuffle.
-
-    Every event row meets exactly the key rows it would meet unsalted, so
-    inner, left, semi and anti joins keep their meaning.
+                   *, hot_rows: int | None = None) -> DataFrame:
+    """Shuffle join that leaves event rows of hot and null keys where they are.
+
+    1. Event rows are counted per key (only the key columns are read, with
+       partial aggregation); keys above ``hot_rows`` are hot.
+    2. Rows of hot keys meet the broadcast key rows of just these keys.
+    3. Rows of other keys take an ordinary join.
+    4. Rows with a null key match nothing: left and anti joins keep them.
     """
     on = [on] if isinstance(on, str) else list(on)
-    spark = events.sparkSession
-    if split_mode(spark) == "aqe":
-        # Operator's choice: trust AQE's runtime skew split, skip the count.
-        return events.join(keys, on, how)
-    hot_rows = hot_rows or setting(spark, "hotKeyRows", HOT_KEY_ROWS)
-    counts = events.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    # One pass over the events' key columns; the (small) result is stored, so
-    # its exact size decides below and the salted plan reads it, not recounts.
-    hot = materialize(counts.where(F.col("_n") > hot_rows).select(
-        *on, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_salts")))
-    n_hot = exact_rows(hot)
-    too_big = (n_hot > HOT_KEYS_MAX or payload_bytes(hot, n_hot)
-               > setting(spark, "broadcastMaxBytes", BROADCAST_MAX_BYTES))
-    if n_hot == 0 or too_big:
-        # No hot key: a plain shuffle join is balanced (copies of one row
-        # would have made their key hot).  More than HOT_KEYS_MAX hot keys
-        # needs > 5e12 rows; AQE's skew split then remains the guard.
-        return events.join(keys, on, how)
-    if idempotent:
-        events = events.distinct()
-    hot = F.broadcast(hot)
-    salted = (events.join(hot, on, "left")
-              .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(
-                  F.pmod(F.xxhash64(*[F.col(c) for c in events.columns]), F.col("_salts"))))
-              .drop("_salts"))
-    spread = (keys.join(hot, on, "left")
-              .withColumn("_salt", F.explode(F.sequence(
-                  F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))
-              .drop("_salts"))
-    return salted.join(spread, [*on, "_salt"], how).drop("_salt")
+    how = "left" if how == "left_outer" else how
+    hot_rows = hot_rows or setting(events.sparkSession, "hotKeyRows", HOT_KEY_ROWS)
+    unknown = F.lit(False)
+    for k in on:
+        unknown = unknown | F.col(k).isNull()
+    known = events.where(~unknown)
+    hot = _hot_keys(known, keys, on, hot_rows)
+    if hot is None:
+        out = known.join(keys, on, how)
+    else:
+        names, side = F.broadcast(hot[0]), F.broadcast(hot[1])
+        out = (known.join(names, on, "left_anti").join(keys, on, how)
+               .unionByName(known.join(names, on, "left_semi").join(side, on, how)))
+    if how in ("left", "left_anti"):
+        nothing = [] if how == "left_anti" else [
+            F.lit(None).cast(f.dataType).alias(f.name) for f in keys.schema.fields if f.name not in on]
+        out = out.unionByName(events.where(unknown).select("*", *nothing))
+    return out
 
 
 def restrict(events: DataFrame, stage: DataFrame, on: str,
              max_rows: int | None = None) -> DataFrame:
-    """Keep only events whose key occurs in ``stage``, when that is free.
-
-    Used before aggregating a child table whose result is later left-joined
-    to the same stage: with a bounded stage the semi-join is a map-side
-    broadcast filter and shrinks the aggregation input; otherwise the events
-    are returned unchanged (aggregating all keys first shuffles less than a
-    shuffle semi-join, and the caller's left join restricts the result).
-    """
-    keys, small = key_table(stage, on, max_rows=max_rows)
-    return events.join(keys, on, "left_semi") if small else events
+    """Keep only events whose key occurs in ``stage``, whatever its size."""
+    return keyed_join(events, stage, [on], on, "left_semi", max_rows=max_rows)
 
 
 def checkpoint_dir(spark) -> str | None:
@@ -190,21 +159,11 @@ def checkpoint_dir(spark) -> str | None:
 def materialize(df: DataFrame) -> DataFrame:
     """Materialise a stage that several later stages read (the base cohort).
 
-    The stage is computed once into the cache (memory, spilling to disk),
-    which also yields its exact row count for the broadcast decisions of the
-    stages that read it.  With a checkpoint folder configured
-    (``spark.checkpoint.dir``: shared storage on a cluster) the cached rows
-    are then written there by a reliable checkpoint and the cache is
-    dropped: lineage is cut and a lost executor costs no recomputation.
-    (Checkpointing without the cache would compute the stage twice.)
-    Without a checkpoint folder the persisted stage is returned; lost
-    blocks are recomputed from lineage.
+    With a checkpoint folder (``spark.checkpoint.dir``: shared storage on a
+    cluster) the stage is computed once and written there by a reliable
+    checkpoint; its rows are then counted from the files.  Lineage is cut, a
+    lost executor costs no recomputation, and nothing stays cached.  Without
+    a folder the stage is only counted, and computed again by each reader.
     """
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = cached.count()
-    if checkpoint_dir(df.sparkSession):
-        out = cached.checkpoint(eager=True)
-        cached.unpersist()
-    else:
-        out = cached
-    return note_rows(out, rows)
+    out = df.checkpoint(eager=True) if checkpoint_dir(df.sparkSession) else df
+    return note_rows(out, out.count())

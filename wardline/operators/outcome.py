@@ -84,25 +84,66 @@ def offset_min(events: DataFrame, *, key: str = "patientunitstayid",
     a valid value appear.  ``restrict_to`` (a key table) semi-joins the
     events first when the caller needs only those stays.
     """
-    pair_cond = None
-    for lab, nam in pairs:
-        cond = (c(label) == lab) & (c(name) == nam)
-        pair_cond = cond if pair_cond is None else (pair_cond | cond)
     ev = (events
           .where(c(category).isin(*categories) & in_offset_window(c(offset), *window))
-          .select(key, offset, text_number(c(value), pair_cond).alias("_score"))
+          .select(key, offset, text_number(c(value), _pairs(label, name, pairs)).alias("_score"))
           .where(c("_score").isNotNull()))
     if restrict_to is not None:
         ev = restrict(ev, restrict_to, key)
     lo, hi = valid_open
     per_offset = (ev.groupBy(key, offset).agg(F.min("_score").alias("_score"))
                     .where((c("_score") > lo) & (c("_score") < hi)))
-    return per_offset.groupBy(key).agg(
-        F.min("_score").alias("gcs_min_firstday"),
-        F.min(offset).alias("first_gcs_offset"),
-        F.min(F.when(c("_score") < low_below, c(offset))).alias("first_low_gcs_offset_firstday"),
-        flag(F.min("_score") < low_below, "smallint").alias("sae_by_gcs_firstday"),
-    )
+    return per_offset.groupBy(key).agg(*_score_outcomes(offset, low_below))
+
+
+# The minimum is delivered with 18 fraction digits; further ones are cut off,
+# after every comparison.
+SCORE_TYPE = "decimal(38,18)"
+
+
+def _pairs(label: str, name: str, pairs: Sequence[tuple[str, str]]):
+    cond = F.lit(False)
+    for lab, nam in pairs:
+        cond = cond | ((c(label) == lab) & (c(name) == nam))
+    return cond
+
+
+def _score_outcomes(offset: str, low_below: int) -> list:
+    """Outcome columns of valid per-offset minima ``_score`` (NULL where an offset has none)."""
+    return [F.min("_score").cast(SCORE_TYPE).alias("gcs_min_firstday"),
+            F.min(F.when(c("_score").isNotNull(), c(offset))).alias("first_gcs_offset"),
+            F.min(F.when(c("_score") < low_below, c(offset))).alias("first_low_gcs_offset_firstday"),
+            flag(F.min("_score") < low_below, "smallint").alias("sae_by_gcs_firstday")]
+
+
+def offset_outcomes(events: DataFrame, *, key: str = "patientunitstayid",
+                    offset: str = "nursingchartoffset", value: str = "nursingchartvalue",
+                    label: str = "nursingchartcelltypevallabel",
+                    name: str = "nursingchartcelltypevalname",
+                    category: str = "nursingchartcelltypecat",
+                    pairs: Sequence[tuple[str, str]] = dic.GCS_LABEL_NAME_PAIRS,
+                    categories: Sequence[str] = dic.GCS_CATEGORIES,
+                    window: tuple[int, int] = dic.FIRST_DAY_OFFSETS,
+                    valid_open: tuple[int, int] = dic.GCS_OFFSET_VALID_OPEN,
+                    low_below: int = dic.GCS_LOW_BELOW) -> DataFrame:
+    """U20 and U23 from one scan: per stay with a score or a charted condition, all outcome columns.
+
+    Score rows and condition rows are kept by one filter and aggregated by
+    (stay, offset), then by stay; what a stay lacks is NULL (the score flag 0).
+    """
+    score = F.when(c(category).isin(*categories), text_number(c(value), _pairs(label, name, pairs)))
+    rows = (events.where(in_offset_window(c(offset), *window))
+            .select(key, offset, score.alias("_score"),
+                    flag(_charted(label, name, value)).alias("_charted"))
+            .where(c("_score").isNotNull() | (c("_charted") == 1)))
+    lo, hi = valid_open
+    per_offset = rows.groupBy(key, offset).agg(F.min("_score").alias("_score"),
+                                               F.max("_charted").alias("_charted"))
+    valid = F.when((c("_score") > lo) & (c("_score") < hi), c("_score"))
+    first = F.min(F.when(c("_charted") == 1, c(offset)))
+    return per_offset.withColumn("_score", valid).groupBy(key).agg(
+        *_score_outcomes(offset, low_below), first.alias("first_delirium_offset"),
+        F.when(first.isNotNull(), F.lit(1)).cast("smallint").alias("delirium_firstday"))
 
 
 # ------------------------------------------------ U21/U22: feature co-occurrence rule
@@ -114,12 +155,14 @@ def _feature_bits(itemid, item_map: Mapping[int, Sequence[int]]):
 
 def _feature_events(base: DataFrame, events: DataFrame, *, key: str, time: str,
                     item_map: Mapping[int, Sequence[int]], start: str, end: str | None,
-                    length: str, excluded_value: str) -> DataFrame:
+                    length: str, excluded_value: str,
+                    positive: Sequence[float] | None = None) -> DataFrame:
     all_items = [i for ids in item_map.values() for i in ids]
     ev = (events
           .where(c("itemid").isin(*all_items)
                  & ~c("value").ilike(excluded_value)     # NULL text drops the row
-                 & c("valuenum").isNotNull())
+                 & (c("valuenum").isNotNull() if positive is None
+                    else c("valuenum").isin(*positive)))
           .select(key, time, "itemid", "valuenum"))
     joined = keyed_join(ev, base, [key, start, *([end] if end else [])], key, "inner")
     return joined.where(in_window(c(time), c(start), c(end) if end else None, length))
@@ -130,10 +173,14 @@ def feature_rows(base: DataFrame, events: DataFrame, *, key: str = "stay_id",
                  item_map: Mapping[int, Sequence[int]] = dic.CAM_FEATURE_ITEMS,
                  start: str = "icu_intime", end: str | None = "icu_outtime",
                  length: str = dic.FIRST_DAY,
-                 excluded_value: str = dic.CAM_EXCLUDED_VALUE) -> DataFrame:
-    """Stage table: distinct charted feature rows in the first-day window, with bits."""
+                 excluded_value: str = dic.CAM_EXCLUDED_VALUE,
+                 positive: Sequence[float] | None = None) -> DataFrame:
+    """Stage table: distinct charted feature rows in the first-day window, with bits.
+
+    Any charted number counts, also 0; ``positive`` names the values that do instead.
+    """
     ev = _feature_events(base, events, key=key, time=time, item_map=item_map, start=start,
-                         end=end, length=length, excluded_value=excluded_value)
+                         end=end, length=length, excluded_value=excluded_value, positive=positive)
     return ev.select(key, time, "itemid", "valuenum",
                      *_feature_bits(c("itemid"), item_map)).distinct()
 
@@ -182,16 +229,25 @@ def cam_positive_rollup(base: DataFrame, events: DataFrame, *, key: str = "stay_
                         positive_sets: Sequence[Sequence[int]] = dic.CAM_POSITIVE_SETS,
                         start: str = "icu_intime", end: str | None = "icu_outtime",
                         length: str = dic.FIRST_DAY,
-                        excluded_value: str = dic.CAM_EXCLUDED_VALUE) -> DataFrame:
+                        excluded_value: str = dic.CAM_EXCLUDED_VALUE,
+                        positive: Sequence[float] | None = None) -> DataFrame:
     """Pipeline path of U21+U22: window-filtered feature events straight to positives."""
     ev = _feature_events(base, events, key=key, time=time, item_map=item_map, start=start,
-                         end=end, length=length, excluded_value=excluded_value)
+                         end=end, length=length, excluded_value=excluded_value, positive=positive)
     return rule_positive_rollup(ev, key=key, time=time, item_map=item_map,
                                 positive_sets=positive_sets, has_bits=False)
 
 
 # ------------------------------------------------ U23: charted condition, first offset
 
+def _charted(label: str, name: str, value: str, word: str = dic.DELIRIUM_WORD,
+             positive_values: Sequence[str] = dic.DELIRIUM_POSITIVE_VALUES,
+             positive_label: str = dic.DELIRIUM_POSITIVE_LABEL):
+    low = {k: F.lower(F.coalesce(c(k), F.lit(""))) for k in (label, name, value)}
+    mentions = low[label].contains(word) | low[name].contains(word) | low[value].contains(word)
+    return mentions & (low[value].isin(*positive_values) | (low[label] == positive_label))
+
+
 def charted_first(events: DataFrame, *, key: str = "patientunitstayid",
                   offset: str = "nursingchartoffset", value: str = "nursingchartvalue",
                   label: str = "nursingchartcelltypevallabel",
@@ -207,10 +263,8 @@ def charted_first(events: DataFrame, *, key: str = "patientunitstayid",
     value word, or the one label that states presence (its value is then
     ignored).
     """
-    low = {k: F.lower(F.coalesce(c(k), F.lit(""))) for k in (label, name, value)}
-    mentions = low[label].contains(word) | low[name].contains(word) | low[value].contains(word)
-    positive = low[value].isin(*positive_values) | (low[label] == positive_label)
-    ev = events.where(in_offset_window(c(offset), *window) & mentions & positive)
+    ev = events.where(in_offset_window(c(offset), *window)
+                      & _charted(label, name, value, word, positive_values, positive_label))
     if restrict_to is not None:
         ev = restrict(ev, restrict_to, key)
     return ev.groupBy(key).agg(

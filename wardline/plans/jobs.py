@@ -1,7 +1,8 @@
 """Batch jobs: build both cohorts and write them (and optionally every stage).
 
 The study writes each stage as a table; here the final cohorts are single
-plans and stage tables are written only on request.  Final tables are
+plans and stage tables are written only on request, clustered by the stay key;
+what follows from a written stage reads it.  Final tables are
 partitioned by the composite outcome, so an outcome filter prunes files
 the way the study's outcome index serves lookups.
 
@@ -18,6 +19,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wardline.operators import exposure as expo
+from wardline.operators import outcome
 from wardline.operators.summary import cohort_summary
 from wardline.plans import offset as off
 from wardline.plans import timestamped as tsp
@@ -26,15 +29,13 @@ from wardline.sources.tables import write_table
 
 
 def stage_tables(src, b: DataFrame, ob: DataFrame) -> dict[str, DataFrame]:
-    """Every per-base stage of both models (bases given), keyed by table name."""
+    """Stages of both models that are made from the sources (bases given), by table name."""
     return {
         "timestamped_base": b,
         "timestamped_eligibility": tsp.eligibility_stage(src, b),
         "timestamped_gcs_firstday": tsp.gcs_stage(src, b),
         "timestamped_delirium_features": tsp.delirium_features_stage(src, b),
-        "timestamped_delirium_status": tsp.delirium_status_stage(src, b),
         "timestamped_statins": tsp.statins_stage(src, b),
-        "timestamped_exposure": tsp.exposure_stage(src, b),
         "timestamped_mortality": tsp.mortality_stage(b),
         "offset_base": ob,
         "offset_sepsis": off.sepsis_stage(src, ob),
@@ -45,6 +46,15 @@ def stage_tables(src, b: DataFrame, ob: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def derived_tables(b: DataFrame, read) -> dict[str, DataFrame]:
+    """Stages made from stage tables that are written already (``read(name)``)."""
+    drugs = read("timestamped_statins").join(b.select("stay_id", "icu_intime"), "stay_id")
+    return {
+        "timestamped_delirium_status": outcome.rule_status(b, read("timestamped_delirium_features")),
+        "timestamped_exposure": expo.exposure_flags(b, drugs),
+    }
+
+
 def build(spark: SparkSession, sf_dir: str | None, out_dir: str, with_stages: bool = False,
           src=None) -> dict:
     """Write both final cohorts (and, with ``with_stages``, every stage table).
@@ -54,12 +64,24 @@ def build(spark: SparkSession, sf_dir: str | None, out_dir: str, with_stages: bo
     """
     src = src if src is not None else sources(spark, sf_dir)
     b, ob = tsp.base_cohort(src), off.base_cohort(src)      # each materialised once
-    written = {}
+    written, stages = {}, None
+
+    def read(name: str) -> DataFrame:
+        return spark.read.parquet(written[name])
+
+    def write(name: str, df: DataFrame, key: str) -> None:
+        written[name] = os.path.join(out_dir, name)
+        write_table(df, written[name], cluster_by=key)
+
     if with_stages:
         for name, df in stage_tables(src, b, ob).items():
-            write_table(df, os.path.join(out_dir, name))
-            written[name] = os.path.join(out_dir, name)
-    finals = {"timestamped_final_cohort": tsp.cohort(src, base=b),
+            key = next(k for k in ("stay_id", off.KEY) if k in df.columns)
+            write(name, df, key)
+        for name, df in derived_tables(b, read).items():
+            write(name, df, "stay_id")
+        stages = {"gcs": read("timestamped_gcs_firstday"), "delirium": read("timestamped_delirium_status"),
+                  "exposure": read("timestamped_exposure")}
+    finals = {"timestamped_final_cohort": tsp.cohort(src, base=b, written=stages),
               "offset_final_cohort": off.cohort(src, base=ob)}
     for name, df in finals.items():
         path = os.path.join(out_dir, name)

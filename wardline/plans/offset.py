@@ -12,8 +12,8 @@ Stages:
 7. final cohort: base ⋈ sepsis ⋈ eligible, three left joins, 27 typed columns
 
 The study computes stages 4 and 5 over all stays; the per-operator stage
-tables keep that, while ``cohort`` restricts them to the base first when the
-base is small enough to broadcast (the final left join discards the rest).
+tables keep that, while ``cohort`` restricts them to the base first and reads
+the charting table once for both.
 """
 
 from __future__ import annotations
@@ -70,7 +70,7 @@ def base_cohort(src, materialized: bool = True) -> DataFrame:
     is broadcast once its size is checked).
     """
     p = first_by_counter(src["patient"], "unitvisitnumber")
-    j = keyed_join(p, src["hospital"], None, "hospitalid", "left", idempotent=False)
+    j = keyed_join(p, src["hospital"], None, "hospitalid", "left")
     b = j.select(
         *[c(n) for n in ("uniquepid", "patienthealthsystemstayid", KEY, "unitvisitnumber",
                          "hospitalid", "region", "unittype", "apacheadmissiondx",
@@ -139,11 +139,9 @@ def cohort(src, base: DataFrame | None = None) -> DataFrame:
     flags = [col.alias(n) for n, col in elig.exclusion_columns().items()]
     kept = j.select("*", *flags).where(c("sae_eligible") == 1)
 
-    nc = src["nursecharting"]
-    g = outcome.offset_min(nc, restrict_to=b)
-    d = outcome.charted_first(nc, restrict_to=b)
-    e = expo.undated_rollup(term_matches(src, b))
-    out = (kept.join(g, KEY, "left").join(d, KEY, "left").join(e, KEY, "left"))
+    charted = outcome.offset_outcomes(restrict(src["nursecharting"], b, KEY))
+    e = expo.term_class_rollup(restrict(src["admissiondrug"], b, KEY), dic.admission_statin_terms())
+    out = kept.join(charted, KEY, "left").join(e, KEY, "left")
     gcs_flag = F.coalesce(c("sae_by_gcs_firstday"), F.lit(0)).cast("smallint")
     del_flag = F.coalesce(c("delirium_firstday"), F.lit(0)).cast("smallint")
     cols = {

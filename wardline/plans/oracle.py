@@ -11,6 +11,9 @@ Two parts:
 Type notes (DuckDB vs Spark): ``year()`` and ``sum`` are widened by DuckDB,
 so ages are cast to INTEGER and sums to BIGINT; flags are cast to the
 study's SMALLINT / INTEGER; the charted score is DECIMAL(38,18).
+
+Column lists, item ids, codes, term and label values are fixed values of the
+study and of the adapter: they must equal it for right results.
 """
 
 from __future__ import annotations
@@ -53,9 +56,10 @@ SELECT o_orderkey AS hadm_id, o_orderdate - INTERVAL '24' HOUR AS admittime,
        CAST(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS SMALLINT) AS hospital_expire_flag
 FROM orders""",
     "sepsis3": f"""
-SELECT o_orderkey + 30000000 AS stay_id, l_shipdate AS suspected_infection_time,
+SELECT CASE WHEN l_returnflag = 'N' THEN -o_orderkey ELSE o_orderkey + 30000000 END AS stay_id,
+       l_shipdate AS suspected_infection_time,
        l_shipdate + INTERVAL '2' HOUR AS sofa_time, 2 + l_linenumber AS sofa_score
-FROM {L_JOIN_O} WHERE l_returnflag <> 'N'""",
+FROM {L_JOIN_O}""",
     "gcs": f"""
 SELECT o_orderkey + 30000000 AS stay_id,
        o_orderdate + (l_linenumber - 1) * INTERVAL '6' HOUR AS charttime,
@@ -87,14 +91,16 @@ SELECT * FROM (VALUES ('4019', 9, 'Unspecified essential hypertension'),
                       ('A41.9', 10, CAST(NULL AS VARCHAR))) t(icd_code, icd_version, long_title)""",
     "prescriptions": f"""
 SELECT o_orderkey AS hadm_id,
+       CASE WHEN l_partkey % 3 = 0 THEN
        {pick('l_partkey % 16', 'Atorvastatin 40mg', 'LIPITOR', 'Zocor', 'Simvastatin',
              'Lovastatin', 'Livalo', 'Lescol XL', 'Pravachol', 'Rosuvastatin', 'Crestor',
-             'Nystatin', 'Heparin', 'Aspirin', 'Insulin', 'Vancomycin', None)} AS drug,
+             'Nystatin', 'Heparin', 'Aspirin', 'Insulin', 'Vancomycin', None)}
+       ELSE 'Sodium chloride 0.9%' END AS drug,
        {pick('l_suppkey % 4', 'MAIN', 'BASE', 'ADDITIVE', None)} AS drug_type,
        CASE WHEN l_suppkey % 10 = 0 THEN NULL
             ELSE o_orderdate + (l_linenumber - 4) * INTERVAL '6' HOUR END AS starttime,
        o_orderdate + l_linenumber * INTERVAL '6' HOUR AS stoptime
-FROM {L_JOIN_O} WHERE l_partkey % 3 = 0""",
+FROM {L_JOIN_O}""",
     "patient": f"""
 SELECT concat('p', CAST(o_custkey AS VARCHAR)) AS uniquepid,
        o_orderkey + 50000000 AS patienthealthsystemstayid, o_orderkey AS patientunitstayid,
@@ -117,7 +123,7 @@ FROM orders""",
 SELECT CAST(n_nationkey AS BIGINT) AS hospitalid, r_name AS region
 FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "diagnosis": f"""
-SELECT l_orderkey AS patientunitstayid,
+SELECT CASE WHEN l_suppkey % 3 = 0 THEN l_orderkey ELSE -l_orderkey END AS patientunitstayid,
        {pick('l_partkey % 12', 'cardiovascular|shock / hypotension|septic shock',
              'infectious diseases|sepsis', 'rule out sepsis', 'history of sepsis',
              'neurologic|stroke', 'pulmonary|pneumonia', 'renal|AKI',
@@ -125,13 +131,15 @@ SELECT l_orderkey AS patientunitstayid,
              'gi|bleeding')} AS diagnosisstring,
        {pick('l_suppkey % 10', '995.91, A41.9', '995.911', '785.52', '038.9, A41.9',
              '486, J18.9', None, '', 'x995.92', '584.9,995.92', '401.9')} AS icd9code
-FROM lineitem WHERE l_suppkey % 3 = 0""",
+FROM lineitem""",
     "pasthistory": f"""
 SELECT l_orderkey AS patientunitstayid,
+       CASE WHEN l_linenumber <= 2 THEN
        {pick('l_suppkey % 9', 'Organ Systems/Neurologic/Strokes/stroke - date unknown',
              'Cardiovascular/Hypertension', 'Pulmonary/COPD', 'Social/alcoholism',
-             'NoPastHistory', 'Renal', 'Endocrine', 'Seizures/seizures', 'GI')} AS pasthistorypath
-FROM lineitem WHERE l_linenumber <= 2""",
+             'NoPastHistory', 'Renal', 'Endocrine', 'Seizures/seizures', 'GI')}
+       ELSE 'Gastrointestinal/reflux' END AS pasthistorypath
+FROM lineitem""",
     "nursecharting": f"""
 SELECT l_orderkey AS patientunitstayid, (l_linenumber - 1) * 360 AS nursingchartoffset,
        {pick('l_suppkey % 3', 'Scores', 'Other Vital Signs and Infusions', 'Vital Signs')}
@@ -143,18 +151,20 @@ SELECT l_orderkey AS patientunitstayid, (l_linenumber - 1) * 360 AS nursingchart
        {pick('l_partkey % 8', 'GCS Total', 'Value', 'Delirium Score', 'Eyes', 'Value', 'Value',
              'Value', 'GCS Total')} AS nursingchartcelltypevalname,
        CASE WHEN l_partkey % 8 IN (0, 1, 3, 4, 7)
-            THEN {pick('(l_partkey + l_suppkey) % 13', '15', '14', '15', '15.', '2', '2.5', '10',
-                       '-', 'abc', '16', '15.5', '15', None)}
+            THEN {pick('(l_partkey + l_suppkey) % 16', '15', '14', '15', '15.', '2', '2.5', '10',
+                       '-', 'abc', '16', '15.5', '15', None, '14.9999999999999999999',
+                       '2.0000000000000000001', '-10000000000000000000000000')}
             ELSE {pick('l_suppkey % 5', 'Yes', 'no', 'Y', 'Positive', 'N/A')} END
          AS nursingchartvalue
 FROM lineitem""",
     "admissiondrug": f"""
 SELECT l_orderkey AS patientunitstayid,
+       CASE WHEN l_linenumber <= 2 THEN
        {pick('l_partkey % 30', 'LIPITOR 40 MG', 'atorvastatin', 'Zocor', 'simvastatin 20mg',
              'lovastatin', 'Livalo', 'lescol', 'Pravachol', 'rosuvastatin', 'CRESTOR',
              'Nystatin', 'amlodipine / atorvastatin (Lipitor)', 'simvastatin or rosuvastatin',
-             None, 'aspirin')} AS drugname
-FROM lineitem WHERE l_linenumber <= 2""",
+             None, 'aspirin')} ELSE 'omeprazole' END AS drugname
+FROM lineitem""",
 }
 
 # --------------------------------------------------------------------------- oracle fragments
@@ -212,12 +222,20 @@ NEURO_PH_RE = ("stroke|cva|subarachnoid|intracranial|traumatic brain injury|meni
 ALC_DX_RE = "alcohol abuse|alcohol dependence|alcohol withdrawal|alcohol intoxication|alcoholism"
 ALC_PH_RE = "alcohol abuse|alcohol dependence|alcohol withdrawal|alcoholism"
 
+# The charted number as a struct that sorts like it: v = the first 18 fraction
+# digits (whole parts of over 18 digits: 1e18), t = the sign of what follows.
 GCS_VALUE_SQL = """CASE WHEN ((nursingchartcelltypevallabel = 'Glasgow coma score'
                     AND nursingchartcelltypevalname = 'GCS Total')
                    OR (nursingchartcelltypevallabel = 'Score (Glasgow Coma Scale)'
                        AND nursingchartcelltypevalname = 'Value'))
                   AND regexp_full_match(nursingchartvalue, '-?[0-9]+\\.?[0-9]*')
-             THEN TRY_CAST(nursingchartvalue AS DECIMAL(38, 18)) END"""
+             THEN {'v': (CASE WHEN nursingchartvalue[1] = '-' THEN -1 ELSE 1 END)
+                        * (CASE WHEN length(ltrim(split_part(ltrim(nursingchartvalue, '-'), '.', 1), '0')) > 18
+                           THEN CAST(1000000000000000000 AS DECIMAL(38, 18))
+                           ELSE CAST(split_part(ltrim(nursingchartvalue, '-'), '.', 1) || '.'
+                                     || split_part(nursingchartvalue, '.', 2)[1:18] || '0' AS DECIMAL(38, 18)) END),
+                   't': CASE WHEN NOT regexp_matches(split_part(nursingchartvalue, '.', 2)[19:], '[1-9]') THEN 0
+                             WHEN nursingchartvalue[1] = '-' THEN -1 ELSE 1 END} END"""
 
 # name -> (dependencies, SQL).  Written directly from the study's semantics.
 FRAGMENTS: dict[str, tuple[tuple[str, ...], str]] = {
@@ -231,16 +249,14 @@ QUALIFY row_number() OVER (PARTITION BY subject_id
 SELECT stay_id, min(suspected_infection_time) AS suspected_infection_time,
        min(sofa_time) AS sepsis_time, max(sofa_score) AS sofa_score
 FROM sepsis3 GROUP BY stay_id"""),
-    "ts_base": (("first_stays", "onset", "patients", "admissions"), """
-SELECT f.subject_id, f.hadm_id, f.stay_id, f.icu_intime, f.icu_outtime, f.icu_los_days,
-       CAST(p.anchor_age + year(a.admittime) - p.anchor_year AS INTEGER) AS age,
-       p.gender, a.race, a.admittime, a.deathtime, p.dod AS death_time,
-       a.hospital_expire_flag, o.suspected_infection_time, o.sepsis_time, o.sofa_score
-FROM first_stays f
-JOIN onset o ON o.stay_id = f.stay_id
-JOIN admissions a ON a.hadm_id = f.hadm_id
-JOIN patients p ON p.subject_id = f.subject_id
-WHERE p.anchor_age + year(a.admittime) - p.anchor_year >= 18"""),
+    "ts_ages": (("first_stays", "patients", "admissions"), """
+SELECT * EXCLUDE (anchor_age, anchor_year),
+       CAST(year(admittime) - anchor_year + anchor_age AS INTEGER) AS age
+FROM first_stays
+JOIN (SELECT hadm_id, race, admittime, deathtime, hospital_expire_flag FROM admissions) USING (hadm_id)
+JOIN (SELECT subject_id, gender, anchor_age, anchor_year, dod AS death_time FROM patients) USING (subject_id)"""),
+    "ts_base": (("ts_ages", "onset"), """
+SELECT * FROM ts_ages JOIN onset USING (stay_id) WHERE NOT age < 18"""),
     "described": (("diagnoses_icd", "d_icd_diagnoses"), """
 SELECT d.hadm_id, replace(upper(d.icd_code), '.', '') AS icd_code_clean, d.icd_version,
        lower(coalesce(t.long_title, '')) AS long_title
@@ -340,17 +356,21 @@ JOIN ts_gcs g ON g.stay_id = b.stay_id
 JOIN ts_cam d ON d.stay_id = b.stay_id
 JOIN ts_exposure x ON x.stay_id = b.stay_id"""),
     # ---------------------------------------------------------------- offset model
-    "decoded": (("patient",), """
-SELECT *,
-       CASE WHEN age = '> 89' THEN 91
-            WHEN regexp_full_match(age, '[0-9]+') THEN TRY_CAST(age AS INTEGER) END AS age_years,
-       CASE WHEN lower(gender) LIKE '%female%' THEN 0
-            WHEN lower(gender) LIKE '%male%' THEN 1 END AS sex_male,
-       CASE WHEN lower(hospitaldischargestatus) LIKE '%expired%' THEN 1
-            WHEN lower(hospitaldischargestatus) LIKE '%alive%' THEN 0 END AS hosp_mort,
-       CASE WHEN lower(unitdischargestatus) LIKE '%expired%' THEN 1
-            WHEN lower(unitdischargestatus) LIKE '%alive%' THEN 0 END AS icu_mort
-FROM patient"""),
+    "rules": ((), """
+SELECT * FROM (VALUES ('sex', 1, 'female', 0), ('sex', 2, 'male', 1), ('end', 1, 'expired', 1),
+                      ('end', 2, 'alive', 0), ('age', 1, '> 89', 91)) t(field, rank, word, code)"""),
+    # One decode table for all texts: the entry with the least rank that occurs wins.
+    "decoded": (("patient", "rules"), """
+SELECT p.*,
+       (SELECT code FROM rules WHERE field = 'sex' AND contains(lower(p.gender), word)
+        ORDER BY rank LIMIT 1) AS sex_male,
+       (SELECT code FROM rules WHERE field = 'end' AND contains(lower(p.hospitaldischargestatus), word)
+        ORDER BY rank LIMIT 1) AS hosp_mort,
+       (SELECT code FROM rules WHERE field = 'end' AND contains(lower(p.unitdischargestatus), word)
+        ORDER BY rank LIMIT 1) AS icu_mort,
+       coalesce((SELECT code FROM rules WHERE field = 'age' AND word = p.age),
+                CASE WHEN translate(p.age, '0123456789', '') = '' THEN TRY_CAST(p.age AS INTEGER) END) AS age_years
+FROM patient p"""),
     "off_base": (("decoded", "hospital"), """
 SELECT p.uniquepid, p.patienthealthsystemstayid, p.patientunitstayid, p.unitvisitnumber,
        p.hospitalid, h.region, p.unittype, p.apacheadmissiondx, p.unitdischargeoffset,
@@ -394,17 +414,17 @@ FROM (
   LEFT JOIN ph_hits h ON h.patientunitstayid = b.patientunitstayid)"""),
     "off_gcs": (("nursecharting",), f"""
 WITH per_offset AS (
-  SELECT patientunitstayid, nursingchartoffset, min({GCS_VALUE_SQL}) AS score
+  SELECT patientunitstayid, nursingchartoffset, min({GCS_VALUE_SQL}) AS s
   FROM nursecharting
   WHERE nursingchartcelltypecat IN ('Scores', 'Other Vital Signs and Infusions')
     AND nursingchartoffset BETWEEN 0 AND 1440
-  GROUP BY patientunitstayid, nursingchartoffset)
-SELECT patientunitstayid, min(score) AS gcs_min_firstday,
+  GROUP BY patientunitstayid, nursingchartoffset),
+valid AS (SELECT * FROM per_offset WHERE (s.v > 2 OR (s.v = 2 AND s.t > 0)) AND s.v < 16)
+SELECT patientunitstayid, CAST(min(s).v AS DECIMAL(38, 18)) AS gcs_min_firstday,
        min(nursingchartoffset) AS first_gcs_offset,
-       min(nursingchartoffset) FILTER (WHERE score < 15) AS first_low_gcs_offset_firstday,
-       CAST(min(score) < 15 AS SMALLINT) AS sae_by_gcs_firstday
-FROM per_offset WHERE score > 2 AND score < 16
-GROUP BY patientunitstayid"""),
+       min(nursingchartoffset) FILTER (WHERE s.v < 15) AS first_low_gcs_offset_firstday,
+       CAST(min(s).v < 15 AS SMALLINT) AS sae_by_gcs_firstday
+FROM valid GROUP BY patientunitstayid"""),
     "off_delirium": (("nursecharting",), """
 SELECT patientunitstayid, min(nursingchartoffset) AS first_delirium_offset,
        CAST(1 AS SMALLINT) AS delirium_firstday

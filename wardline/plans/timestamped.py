@@ -28,7 +28,7 @@ from wardline.functions.windows import any_flag, flag, in_interval_flag
 from wardline.operators import eligibility as elig
 from wardline.operators import exposure as expo
 from wardline.operators import outcome
-from wardline.operators.joins import key_table, keyed_join, materialize, restrict
+from wardline.operators.joins import keyed_join, materialize, restrict
 from wardline.operators.select import first_per_entity, onset_rollup
 
 c = F.col
@@ -84,10 +84,10 @@ def stay_ages(src, stays: DataFrame) -> DataFrame:
 
     Over all stays a patient may own very many of them, so patients and
     admissions are joined as key tables (broadcast when bounded, hot keys
-    salted otherwise); stays are output rows, so copies are kept.
+    apart otherwise).
     """
-    j = keyed_join(stays, _admissions(src), None, "hadm_id", "inner", idempotent=False)
-    j = keyed_join(j, _patients(src), None, "subject_id", "inner", idempotent=False)
+    j = keyed_join(stays, _admissions(src), None, "hadm_id", "inner")
+    j = keyed_join(j, _patients(src), None, "subject_id", "inner")
     return _age(j)
 
 
@@ -116,19 +116,11 @@ def eligibility_hits(src, base: DataFrame) -> DataFrame:
 def eligibility_hit_stays(src, base: DataFrame) -> DataFrame:
     """Stay ids of base stays whose admission has any condition hit.
 
-    Bounded base: diagnoses meet the broadcast (admission, stay) key table
-    once, which both restricts them and brings the stay id, so hits are
-    aggregated by stay directly.  Otherwise hits are aggregated by
-    admission over all diagnoses and then mapped to stays.
+    Diagnoses meet the base's (admission, stay) keys once, which both restricts
+    them and brings the stay id; hits are aggregated by stay.
     """
-    keys, small = key_table(base, "hadm_id", "stay_id")
-    if small:
-        dx = src["diagnoses_icd"].join(keys, "hadm_id")
-        return elig.code_flag_hits(dx, src["d_icd_diagnoses"], RULES, key="stay_id") \
-            .select("stay_id")
-    hits = elig.code_flag_hits(src["diagnoses_icd"], src["d_icd_diagnoses"], RULES,
-                               key="hadm_id")
-    return keyed_join(hits, base, ["hadm_id", "stay_id"], "hadm_id").select("stay_id")
+    dx = keyed_join(src["diagnoses_icd"], base, ["hadm_id", "stay_id"], "hadm_id")
+    return elig.code_flag_hits(dx, src["d_icd_diagnoses"], RULES, key="stay_id").select("stay_id")
 
 
 def eligibility_stage(src, base: DataFrame) -> DataFrame:
@@ -186,9 +178,12 @@ def composite_stage(src, base: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- stage 7
 
-def cohort(src, base: DataFrame | None = None) -> DataFrame:
+def cohort(src, base: DataFrame | None = None, written: dict | None = None) -> DataFrame:
     """U31: the final timestamp cohort, 32 columns, eligible stays only.
 
+    ``written`` may hold the stage tables ``gcs``, ``delirium`` and ``exposure``
+    of this base; those are then read instead of the events.
+
     Eligibility is an anti-join against stays whose admission has any
     condition hit (eligible = no hit), so the kept rows carry flags 0, 0 and
     1; the hits are mapped to stay ids first, so every join of the final
@@ -198,9 +193,14 @@ def cohort(src, base: DataFrame | None = None) -> DataFrame:
     """
     b = base if base is not None else base_cohort(src)
     kept = b.join(eligibility_hit_stays(src, b), "stay_id", "left_anti")
-    g = outcome.window_min_rollup(b, src["gcs"])
-    d = outcome.cam_positive_rollup(b, src["chartevents"])
-    e = expo.exposure_rollup(statin_rows(src, b))
+    if written:
+        g = written["gcs"].select("stay_id", "gcs_min_firstday", "first_low_gcs_time")
+        d = written["delirium"].select("stay_id", "first_delirium_time")
+        e = written["exposure"]
+    else:
+        g = outcome.window_min_rollup(b, src["gcs"])
+        d = outcome.cam_positive_rollup(b, src["chartevents"])
+        e = expo.exposure_rollup(statin_rows(src, b))
     j = (kept.join(g, "stay_id", "left").join(d, "stay_id", "left")
              .join(e, "stay_id", "left"))
     gcs_flag = flag(c("gcs_min_firstday") < dic.GCS_LOW_BELOW, "smallint")

@@ -1,10 +1,10 @@
 """What is known about the size of a DataFrame, remembered per object.
 
-Broadcast decisions need proven bounds: a row count (exact after a
-materialisation, or a bounded ``limit(n + 1)`` count) and, for variable-width
-columns, the measured payload.  Both are remembered per DataFrame object, so
-a stage is counted once however many operators join to it.  Limits can be
-set per session through ``spark.wardline.<key>`` confs.
+Broadcast decisions need a row count and, for variable-width columns, the
+measured payload.  Both are taken by ordinary aggregates (a task returns one
+row) and remembered per DataFrame object, so a stage is counted once however
+many operators join to it.  Limits can be set per session through
+``spark.wardline.<key>`` confs.
 """
 
 from __future__ import annotations
@@ -28,30 +28,30 @@ def setting(spark, key: str, default: int) -> int:
     return int(value) if value not in (None, "") else default
 
 
-# DataFrame -> (rows, exact).  Inexact entries are lower bounds from a
-# bounded count (``limit(n + 1)``).
-_ROWS: "weakref.WeakKeyDictionary[DataFrame, tuple[int, bool]]" = weakref.WeakKeyDictionary()
+_ROWS: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
+
+# A hash relation holds per row: 8 bytes a field, the bytes of strings, a
+# header and a slot; the relation doubles its table as it grows.
+ROW_OVERHEAD = 32
+TABLE_FACTOR = 2
 
 
 def note_rows(df: DataFrame, rows: int) -> DataFrame:
     """Record the exact row count of ``df`` (known from a count or by construction)."""
-    _ROWS[df] = (rows, True)
+    _ROWS[df] = rows
     return df
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def exact_rows(df: DataFrame) -> int:
+    """The row count of ``df``, counted once per DataFrame object."""
+    if df not in _ROWS:
+        _ROWS[df] = df.count()
+    return _ROWS[df]
 
-    Counts at most ``max_rows + 1`` rows, once per DataFrame object.
-    """
-    known = _ROWS.get(df)
-    if known is not None:
-        rows, exact = known
-        if exact or rows > max_rows:
-            return rows <= max_rows
-    rows = df.limit(max_rows + 1).count()
-    _ROWS[df] = (rows, rows <= max_rows)
-    return rows <= max_rows
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows."""
+    return exact_rows(df) <= max_rows
 
 
 _BYTES: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
@@ -62,29 +62,17 @@ def has_var_width(df: DataFrame) -> bool:
 
 
 def payload_bytes(df: DataFrame, rows: int) -> int:
-    """Bytes of ``df`` as a broadcast payload (``rows`` = its row count).
+    """Bytes of ``df`` as a broadcast hash relation (``rows`` = its row count).
 
-    Fixed-width columns cost 8 bytes per row; string and binary columns are
-    measured (sum of lengths, one aggregate), so a dictionary of long titles
-    is caught.  Remembered per DataFrame object.
+    Every field costs 8 bytes and every row ``ROW_OVERHEAD``; string and binary
+    columns add their bytes, summed by one aggregate; the whole counts
+    ``TABLE_FACTOR`` times.  Remembered per DataFrame object.
     """
     var = [f.name for f in df.schema.fields
            if isinstance(f.dataType, (T.StringType, T.BinaryType))]
-    fixed = 8 * (len(df.schema.fields) - len(var)) * rows
-    if not var:
-        return fixed
-    if df not in _BYTES:
-        total = df.select(sum(F.coalesce(F.length(F.col(v)).cast("long"), F.lit(0))
+    fixed = (8 * len(df.schema.fields) + ROW_OVERHEAD) * rows
+    if var and df not in _BYTES:
+        total = df.select(sum(F.coalesce(F.octet_length(F.col(v)).cast("long"), F.lit(0))
                               for v in var).alias("b")).agg(F.sum("b")).first()[0]
         _BYTES[df] = int(total or 0)
-    return fixed + _BYTES[df]
-
-
-
-
-def exact_rows(df: DataFrame) -> int:
-    """The exact row count recorded for ``df`` (by a count or by construction)."""
-    rows, exact = _ROWS[df]
-    if not exact:
-        raise KeyError("only a lower bound is known for this DataFrame")
-    return rows
+    return TABLE_FACTOR * (fixed + (_BYTES[df] if var else 0))

@@ -6,7 +6,7 @@ function returns a lazy DataFrame in the declared schema of
 :mod:`wardline.sources.schemas`; nothing is materialised, so Catalyst prunes
 the lineitem/orders columns each query needs and pushes filters to the scan.
 
-All tables grow with the driver tables (no sampling, no caps).
+Every table maps every row of its driver table.
 """
 
 from __future__ import annotations
@@ -89,8 +89,10 @@ def admissions(spark, sf_dir):
 
 def sepsis3(spark, sf_dir):
     lo = _lines_with_orders(spark, sf_dir)
-    return lo.where(c("l_returnflag") != "N").select(
-        (c("o_orderkey") + 30000000).alias("stay_id"),
+    # Lines of flag N belong to stays that no other table has.
+    return lo.select(
+        F.when(c("l_returnflag") == "N", -c("o_orderkey")).otherwise(c("o_orderkey") + 30000000)
+        .alias("stay_id"),
         c("l_shipdate").alias("suspected_infection_time"),
         _hours(2, c("l_shipdate")).alias("sofa_time"),
         (F.lit(2) + c("l_linenumber")).alias("sofa_score"),
@@ -161,10 +163,11 @@ DRUGS = ("Atorvastatin 40mg", "LIPITOR", "Zocor", "Simvastatin", "Lovastatin", "
 
 
 def prescriptions(spark, sf_dir):
-    lo = _lines_with_orders(spark, sf_dir, "o_orderdate").where(c("l_partkey") % 3 == 0)
+    lo = _lines_with_orders(spark, sf_dir, "o_orderdate")
     return lo.select(
         c("o_orderkey").alias("hadm_id"),
-        pick(c("l_partkey") % 16, *DRUGS).alias("drug"),
+        F.when(c("l_partkey") % 3 == 0, pick(c("l_partkey") % 16, *DRUGS))
+         .otherwise("Sodium chloride 0.9%").alias("drug"),
         pick(c("l_suppkey") % 4, "MAIN", "BASE", "ADDITIVE", None).alias("drug_type"),
         F.when(c("l_suppkey") % 10 == 0, F.lit(None))
          .otherwise(_hours((c("l_linenumber") - 4) * 6, c("o_orderdate"))).alias("starttime"),
@@ -216,9 +219,11 @@ DIAGNOSIS_CODES = ("995.91, A41.9", "995.911", "785.52", "038.9, A41.9", "486, J
 
 
 def diagnosis(spark, sf_dir):
-    li = read_table(spark, sf_dir, "lineitem").where(c("l_suppkey") % 3 == 0)
+    li = read_table(spark, sf_dir, "lineitem")
+    # Two thirds of the lines belong to stays that no other table has.
     return li.select(
-        c("l_orderkey").alias("patientunitstayid"),
+        F.when(c("l_suppkey") % 3 == 0, c("l_orderkey")).otherwise(-c("l_orderkey"))
+         .alias("patientunitstayid"),
         pick(c("l_partkey") % 12, *DIAGNOSIS_STRINGS).alias("diagnosisstring"),
         pick(c("l_suppkey") % 10, *DIAGNOSIS_CODES).alias("icd9code"),
     )
@@ -230,10 +235,11 @@ HISTORY_PATHS = ("Organ Systems/Neurologic/Strokes/stroke - date unknown",
 
 
 def pasthistory(spark, sf_dir):
-    li = read_table(spark, sf_dir, "lineitem").where(c("l_linenumber") <= 2)
+    li = read_table(spark, sf_dir, "lineitem")
     return li.select(
         c("l_orderkey").alias("patientunitstayid"),
-        pick(c("l_suppkey") % 9, *HISTORY_PATHS).alias("pasthistorypath"),
+        F.when(c("l_linenumber") <= 2, pick(c("l_suppkey") % 9, *HISTORY_PATHS))
+         .otherwise("Gastrointestinal/reflux").alias("pasthistorypath"),
     )
 
 
@@ -242,7 +248,8 @@ CHART_LABELS = ("Glasgow coma score", "Score (Glasgow Coma Scale)", "Delirium Sc
                 "Symptoms of Delirium Present", "Glasgow coma score")
 CHART_NAMES = ("GCS Total", "Value", "Delirium Score", "Eyes", "Value", "Value", "Value",
                "GCS Total")
-SCORE_TEXTS = ("15", "14", "15", "15.", "2", "2.5", "10", "-", "abc", "16", "15.5", "15", None)
+SCORE_TEXTS = ("15", "14", "15", "15.", "2", "2.5", "10", "-", "abc", "16", "15.5", "15", None,
+               "14.9999999999999999999", "2.0000000000000000001", "-10000000000000000000000000")
 ANSWER_TEXTS = ("Yes", "no", "Y", "Positive", "N/A")
 
 
@@ -257,7 +264,7 @@ def nursecharting(spark, sf_dir):
         pick(part8, *CHART_LABELS).alias("nursingchartcelltypevallabel"),
         pick(part8, *CHART_NAMES).alias("nursingchartcelltypevalname"),
         F.when(part8.isin(0, 1, 3, 4, 7),
-               pick((c("l_partkey") + c("l_suppkey")) % 13, *SCORE_TEXTS))
+               pick((c("l_partkey") + c("l_suppkey")) % 16, *SCORE_TEXTS))
          .otherwise(pick(c("l_suppkey") % 5, *ANSWER_TEXTS)).alias("nursingchartvalue"),
     )
 
@@ -269,10 +276,11 @@ DRUG_NAMES = ("LIPITOR 40 MG", "atorvastatin", "Zocor", "simvastatin 20mg", "lov
 
 
 def admissiondrug(spark, sf_dir):
-    li = read_table(spark, sf_dir, "lineitem").where(c("l_linenumber") <= 2)
+    li = read_table(spark, sf_dir, "lineitem")
     return li.select(
         c("l_orderkey").alias("patientunitstayid"),
-        pick(c("l_partkey") % 30, *DRUG_NAMES).alias("drugname"),
+        F.when(c("l_linenumber") <= 2, pick(c("l_partkey") % 30, *DRUG_NAMES))
+         .otherwise("omeprazole").alias("drugname"),
     )
 
 

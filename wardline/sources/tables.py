@@ -17,12 +17,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None,
-                mode: str = "overwrite") -> None:
+                mode: str = "overwrite", cluster_by: str | None = None) -> None:
     """Drop-and-replace sink for a stage or final table (parquet).
 
+    ``cluster_by`` (the stay key) lays rows out by ranges of it, sorted, so that
+    look-ups by key skip files and row groups by their statistics.
+
     ``partition_by`` is meant for low-cardinality outcome columns, so that
     downstream filters on them prune files the way an index would.
     """
+    if cluster_by:
+        df = df.repartitionByRange(cluster_by).sortWithinPartitions(cluster_by)
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(partition_by)
@@ -51,13 +56,21 @@ class TableSources(dict):
         return df
 
 
+def _stored(spark: SparkSession, root: str, name: str, suffix: str) -> str:
+    """``{root}/{name}`` or, where only that exists, ``{root}/{name}{suffix}``.
+
+    Asked through Hadoop's file system, so a path means what it means to the
+    readers: without a scheme, the default file system.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    plain = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{name}")
+    fs = plain.getFileSystem(conf)
+    return str(plain.toString()) if fs.exists(plain) else f"{root.rstrip('/')}/{name}{suffix}"
+
+
 def parquet_sources(spark: SparkSession, root: str, conform: bool = False) -> TableSources:
-    """Clinical tables stored as ``{root}/{name}`` parquet datasets (files or folders)."""
-    def read(name: str) -> DataFrame:
-        path = os.path.join(root, name)
-        return spark.read.parquet(path if os.path.exists(path) or "://" in root
-                                  else path + ".parquet")
-    return TableSources(read, conform)
+    """Clinical tables as parquet datasets ``{root}/{name}`` (a folder) or ``{root}/{name}.parquet``."""
+    return TableSources(lambda name: spark.read.parquet(_stored(spark, root, name, ".parquet")), conform)
 
 
 def catalog_sources(spark: SparkSession, database: str, conform: bool = False) -> TableSources:
@@ -69,13 +82,11 @@ def csv_sources(spark: SparkSession, root: str, suffix: str = ".csv.gz") -> Tabl
     """Clinical tables as CSV files with a header row: ``{root}/{name}{suffix}`` or a folder.
 
     Values are read as text and cast to the declared types (``conform``), so
-    no schema is inferred.  Compressed CSV files are not splittable (one task
-    per file): at scale, write them to parquet once and use
-    :func:`parquet_sources`.
+    no schema is inferred.  Fields may be quoted and then hold commas, line
+    breaks and doubled quotes.  A CSV file is read by one task: at scale, write
+    the tables to parquet once and use :func:`parquet_sources`.
     """
     def read(name: str) -> DataFrame:
-        path = os.path.join(root, name)
-        if not os.path.exists(path) and "://" not in root:
-            path += suffix
-        return spark.read.option("header", True).csv(path)
+        return (spark.read.option("header", True).option("multiLine", True)
+                .option("quote", '"').option("escape", '"').csv(_stored(spark, root, name, suffix)))
     return TableSources(read, conform=True)
