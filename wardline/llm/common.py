@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -26,7 +27,7 @@ def shared_dir(spark: SparkSession) -> str:
         or spark.conf.get("spark.checkpoint.dir", None) \
         or spark.sparkContext.getCheckpointDir()
     if not found:
-        if not spark.sparkContext.master.startswith("local["):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         found = tempfile.mkdtemp(prefix="wardline-llm-")
         spark.sparkContext.setCheckpointDir(found)
