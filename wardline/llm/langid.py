@@ -15,7 +15,7 @@ The posterior of a language is the product of four pieces of evidence:
 All counts are grouped aggregations over every row.  A row is accepted when a
 language wins with at least ``ACCEPT``.
 
-Edge cases: null text counts as empty; a text without words is ``und`` and not
+Edge cases: null text counts as empty; a text without words of letters is ``und`` and not
 accepted; null or unknown declarations, hosts and suffixes say nothing; labels
 with fewer than ``LEAST_LABELS`` rows make no model; without any model every row
 is ``und``; ties go to the language first in alphabetical order; repeated rows are
@@ -25,6 +25,7 @@ judged alike; extra columns are kept as asked.
 from __future__ import annotations
 
 import math
+import re
 
 import numpy as np
 import pandas as pd
@@ -41,12 +42,15 @@ TEMPER = 0.25           # neighbouring trigrams overlap, so each counts for less
 KAPPA = 20.0            # pseudo-rows that a level of the hierarchy takes from the level above
 UNKNOWN = 0.01          # prior of und
 ACCEPT = 0.5
+UNIVERSE = 1 << 17      # und takes all trigrams of so many as equally likely
 _PIECE = 1 << 20
+# Words of letters, with or without marks around them; numbers, addresses and keys are in no language.
+_WORD = re.compile(rb"(?<!\S)[^\w\s\x80-\xff]*([a-z\x80-\xff]+(?:['-][a-z\x80-\xff]+)*)[^\w\s\x80-\xff]*(?!\S)")
 
 
 def trigrams(text: str):
-    """Hashed byte trigrams of the lower-cased words, joined by single spaces, in pieces."""
-    words = text.lower().encode("utf-8", "replace").split()
+    """Hashed byte trigrams of the lower-cased words of letters, joined by single spaces, in pieces."""
+    words = _WORD.findall(text.lower().encode("utf-8", "replace"))
     if not words:
         return
     raw = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8)
@@ -187,7 +191,7 @@ def identify(docs: DataFrame, model: TextModel, text="text", declared=None, host
         F.lit(0.0 if s == "" else math.log((pairs.get((s, i), 0) + 1.0) / (of[i] + len(names) + 1.0)))
         for i in range(len(names))]))])
     judged = hot_join(rows, _priors(rows, len(names)), "_host", "n", rows.count())
-    flat = F.lit(math.log(UNKNOWN)) - F.col("_s")[0] * F.lit(TEMPER * math.log(BUCKETS))
+    flat = F.lit(math.log(UNKNOWN)) - F.col("_s")[0] * F.lit(TEMPER * math.log(UNIVERSE))
     # und has no declaration of its own: it expects each one as often as the table has it.
     known = sum(of) or 1
     expect = F.create_map(*[x for s in ("", *names) for x in (F.lit(s), F.lit(0.0 if s == "" else math.log(
