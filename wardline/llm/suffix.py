@@ -30,7 +30,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline.llm.common import hot_join, ship, stage
@@ -39,7 +39,7 @@ LENGTH = 400
 SEED = 128                 # bytes of a minimiser; a power of two
 BATCH = 1 << 20            # bytes sorted at once, whole groups
 GROUP = 8192
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ITEMS = 500_000
 _PIECE = 1 << 21
 _P = np.uint64(0x9E3779B97F4A7C15)
 _EMPTY_SHA = hashlib.sha256(b"").hexdigest()
@@ -238,8 +238,21 @@ def _cover(length: int):
     return run
 
 
-def _sided(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+def _sided(df: DataFrame, items: str) -> DataFrame:
+    """``df`` for a join, broadcast when its arrays ``items`` hold few entries (of under 64 bytes) in all."""
+    entries = df.agg(F.sum(F.size(items) + 1)).first()[0] or 0
+    return F.broadcast(df) if entries <= BROADCAST_ITEMS else df
+
+
+def _merged(found: DataFrame, length: int) -> DataFrame:
+    """Per text the stretches of window starts whose bytes overlap or touch, as one array."""
+    order = Window.partitionBy("tid").orderBy("lo")
+    before = F.max("hi").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = F.when(F.col("lo") <= before + length, 0).otherwise(1)
+    one = found.groupBy("tid", "lo").agg(F.max("hi").alias("hi"))
+    return (one.withColumn("span", fresh).withColumn("span", F.sum("span").over(order))
+            .groupBy("tid", "span").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+            .groupBy("tid").agg(F.collect_list(F.struct("lo", "hi")).alias("marks")))
 
 
 def strip_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, group: int = GROUP,
@@ -252,9 +265,9 @@ def strip_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, group
                   .withColumn("n_bytes", F.octet_length("text").cast("long"))
                   .withColumn("tid", F.monotonically_increasing_id()), "texts")
     found = repeats(texts, length, seed, group)
-    marked = stage(found.groupBy("tid").agg(F.collect_list(F.struct("lo", "hi")).alias("marks")), "marks")
+    marked = stage(_merged(found, length), "marks")
     single = texts.where((F.col("copies") == 1) & (F.col("n_bytes") >= length))
-    cut = stage(single.select("tid", "key", "text").join(_sided(marked), "tid").select("key", "text", "marks").mapInPandas(
+    cut = stage(single.select("tid", "key", "text").join(_sided(marked, "marks"), "tid").select("key", "text", "marks").mapInPandas(
         _cover(length), "key string, n_removed long, n_spans long, kept_sha256 string"), "cut")
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
     judged = texts.select("key", "copies", "n_bytes").join(cut, "key", "left").select(
@@ -294,7 +307,7 @@ def repeats(texts: DataFrame, length: int = LENGTH, seed: int = SEED, group: int
         F.col("one.tid").alias("tid"), F.struct(
             "anchor", "m", (F.col("k") > group).alias("big"), F.col("one.lo").alias("lo"), F.col("one.hi").alias("hi")).alias("w"))
     wanted = stage(wanted.groupBy("tid").agg(F.collect_list("w").alias("wanted")), "wanted")
-    pieces = stage(long.join(_sided(wanted), "tid").select("tid", "text", "wanted").mapInPandas(
+    pieces = stage(long.join(_sided(wanted, "wanted"), "tid").select("tid", "text", "wanted").mapInPandas(
         _fetch(length), "anchor long, m long, big boolean, tid long, lo int, hi int, raw binary"), "pieces")
     sorted_ = pieces.where("not big").drop("big").repartition("anchor").sortWithinPartitions("anchor")
     expanded = sorted_.mapInPandas(_expand(length), "tid long, lo int, hi int")
