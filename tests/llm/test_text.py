@@ -169,6 +169,42 @@ def test_planted_passages(spark):
         assert p["partner_id"] != i and (p["partner_id"] < 12) == (i < 12) and p["identity"] >= 0.8
 
 
+def brute_passage(x, y):
+    """Whether a local alignment by dynamic programming (+1 equal, -2 else) is a passage."""
+    best, score, back = (0, 0, 0), np.zeros((len(x) + 1, len(y) + 1), int), {}
+    for i, w in enumerate(x, 1):
+        for j, v in enumerate(y, 1):
+            score[i, j], back[i, j] = max((0, 0), (score[i - 1, j - 1] + (1 if w == v else -2), 1),
+                                          (score[i - 1, j] - 2, 2), (score[i, j - 1] - 2, 3))
+            best = max(best, (score[i, j], i, j))
+    _, i, j = best
+    at, same, columns = (i, j), 0, 0
+    while i and j and back[i, j]:
+        step = back[i, j]
+        same, columns = same + (step == 1 and x[i - 1] == y[j - 1]), columns + 1
+        i, j = i - (step != 3), j - (step != 2)
+    return min(at[0] - i, at[1] - j) >= passages.LEAST_WORDS and same >= passages.IDENTITY * columns
+
+
+@pytest.mark.parametrize("identity", [0.95, 0.9, 0.85, 0.8])
+def test_recall_against_brute_force_alignment(spark, identity):
+    r = random.Random(int(identity * 100))
+    say = lambda n: [f"v{r.randrange(10**6)}" for _ in range(n)]
+    rows, wanted = [], set()
+    for i in range(24):
+        n = r.choice((60, 100, 150))
+        one = say(n)
+        other = list(one)
+        for k in range(round(n * (1 - identity))):               # every fifth word at 0.8
+            other[min(n - 2, int((k + 0.5) / (1 - identity)))] = f"z{r.randrange(10**6)}"
+        x, y = say(40) + one + say(40), say(60) + other + say(20)
+        rows += [(2 * i, " ".join(x)), (2 * i + 1, " ".join(y))]
+        if brute_passage(x, y):
+            wanted |= {2 * i, 2 * i + 1}
+    got = {p["doc_id"] for p in passages.repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(wanted) >= 36 and wanted <= got
+
+
 def test_passages_of_odd_rows(odd, nothing):
     out = {r["doc_id"]: r for r in passages.repeated(odd).collect()}
     # 1, 2, 11 and the row without id share a body; the others are short, alone or of one word.
