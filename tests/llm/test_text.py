@@ -44,6 +44,21 @@ def test_pages_without_article_markup():
     assert extract.main_text(None) == extract.main_text("") == extract.main_text(page("")) == ""
 
 
+@pytest.mark.parametrize("name", ["aside", "nav", "footer", "div class=related"])
+def test_article_cards_are_not_the_page(name):
+    cards = "".join(f"<article><h3>Card {i}</h3><p>Teaser {i}</p></article>" for i in range(4))
+    text = "\n".join(f"{w} " * 60 for w in ("first", "second")).replace(" \n", "\n").strip()
+    body = "".join(f"<div>{t}</div>" for t in text.split("\n"))
+    assert extract.main_text(page(f"{body}<{name}>{cards}</{name.split()[0]}>")) == text
+    assert text in extract.main_text(page(f"{cards}{body}"))
+
+
+def test_links_in_an_article_are_a_dive():
+    links = "".join(f"<li><a href=/{i}>Read also {i}</a></li>" for i in range(9))
+    out = extract.main_text(page(f"<article><p>{'one ' * 50}</p><ul>{links}</ul><p>{'two ' * 50}</p></article>"))
+    assert "one" in out and "two" in out and "Read also 0" not in out
+
+
 def test_extract_query(spark):
     rows = [(1, "u", page(ARTICLE), "x"), (2, None, None, "x"), (2, None, None, "x"), (None, "v", "<p>" + "é " * 50_000, "x")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")

@@ -5,13 +5,15 @@ that cannot hold article text (menus, page headers, footers, sidebars, notices,
 adverts, forms, scripts, styles, reader comments) become runs of blank lines.
 Each line's weight is its text outside links; sums over ``WINDOW`` lines form
 the distribution.  Where the sum leaves zero is a surge, where it returns to
-zero a dive, and the text in between is kept.  Where a page marks its article,
-lines outside have no weight and every stretch inside stays; elsewhere a stretch
-stays when its peak is at least ``PEAK`` of the page's highest.
+zero a dive, and the text in between is kept unless most of it is links.  A line
+in a marked article weighs ``MARK`` times as much, and the mark's ends are blank;
+a stretch outside stays when its peak reaches the median of those inside.
+On pages without a mark a stretch stays when its peak is at least ``PEAK`` of the
+page's highest.
 
 Edge cases: null or empty html and pages without text give an empty string;
 unclosed tags end with their parent, and an article that starts inside an
-unclosed notice or advert ends it; a ``<`` that opens no tag is text; pages of
+unclosed notice or advert ends it (in a closed one it is skipped with it); a ``<`` that opens no tag is text; pages of
 any length are read whole; repeated rows and null urls stay; extra columns are
 ignored.
 """
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import html as charrefs
 import re
+from statistics import median
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -29,6 +32,7 @@ from wardline.llm.common import ship
 
 WINDOW = 3
 PEAK = 0.2
+MARK = 4                   # weight of a line in a marked article
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -70,10 +74,33 @@ def _noise(name: str, attrs: str, inside: bool) -> tuple[bool, bool]:
     return bool(words & _NOISE), replies
 
 
+def _unclosed(tokens: list[re.Match]) -> set[int]:
+    """Offsets of start tags without an end tag, and of those inside an unclosed element of their name."""
+    open_tags: list[tuple[str, int]] = []
+    found: set[int] = set()
+    inside: list[tuple[int, list[int]]] = []               # a closed element, and those of its name it lies in
+    for m in tokens:
+        name = (m["name"] or m["name2"] or "").lower()
+        if not name or name in _VOID:
+            continue
+        if not (m["end"] or m["end2"]):
+            if not ((m["attrs"] or "").endswith("/") and name not in _BLOCKS):
+                open_tags.append((name, m.start()))
+            continue
+        for i in range(len(open_tags) - 1, -1, -1):
+            if open_tags[i][0] == name:
+                found.update(at for _, at in open_tags[i + 1:])
+                inside.append((open_tags[i][1], [at for n, at in open_tags[:i] if n == name]))
+                del open_tags[i:]
+                break
+    found.update(at for _, at in open_tags)
+    return found | {at for at, around in inside if not found.isdisjoint(around)}
+
+
 def lines(html: str) -> tuple[list[tuple[str, int, bool]], bool]:
     """Lines as (text, weight, in the article), blank ones for stripped elements; whether an article is marked."""
     out: list[tuple[str, int, bool]] = []
-    open_tags: list[tuple[str, bool, bool]] = []          # name, starts a skipped element, reader comments
+    open_tags: list[tuple[str, bool, bool, int]] = []     # name, starts a skipped element, reader comments, offset
     text: list[str] = []
     linked = skipped = inside = links = 0
     marked = False
@@ -90,7 +117,7 @@ def lines(html: str) -> tuple[list[tuple[str, int, bool]], bool]:
     def close(at: int):
         nonlocal skipped, inside, links
         while len(open_tags) > at:
-            name, skip, _ = open_tags.pop()
+            name, skip, _, _ = open_tags.pop()
             if skip:
                 skipped -= 1
                 if not skipped:
@@ -98,6 +125,8 @@ def lines(html: str) -> tuple[list[tuple[str, int, bool]], bool]:
             elif name in _ARTICLE:
                 flush()
                 inside -= 1
+                if not inside:
+                    out.extend([("", 0, False)] * WINDOW)
             links -= name == "a"
 
     def say(raw: str):
@@ -109,7 +138,9 @@ def lines(html: str) -> tuple[list[tuple[str, int, bool]], bool]:
                 linked += len(piece.strip())
 
     at = 0
-    for m in _TOKEN.finditer(html):
+    tokens = list(_TOKEN.finditer(html))
+    unclosed: set[int] | None = None
+    for m in tokens:
         say(html[at:m.start()])
         at = m.end()
         name = m["name"] or m["name2"]
@@ -138,14 +169,19 @@ def lines(html: str) -> tuple[list[tuple[str, int, bool]], bool]:
                     break
         skip, replies = _noise(name, attrs, inside > 0)
         if name in _ARTICLE and not skip:
-            if skipped and not any(r for _, _, r in open_tags):
-                close(next(i for i, x in enumerate(open_tags) if x[1]))
+            if skipped and not any(x[2] for x in open_tags):
+                unclosed = _unclosed(tokens) if unclosed is None else unclosed
+                around = [i for i, x in enumerate(open_tags) if x[1]]
+                if all(open_tags[i][3] in unclosed for i in around):
+                    close(around[0])
             if not skipped:
+                if not inside:
+                    out.extend([("", 0, False)] * WINDOW)
                 inside += 1
                 marked = True
-                open_tags.append((name, False, False))
+                open_tags.append((name, False, False, m.start()))
                 continue
-        open_tags.append((name, skip or bool(skipped and name in _ARTICLE), replies))
+        open_tags.append((name, skip or bool(skipped and name in _ARTICLE), replies, m.start()))
         skipped += open_tags[-1][1]
         links += name == "a"
     say(html[at:])
@@ -156,9 +192,7 @@ def lines(html: str) -> tuple[list[tuple[str, int, bool]], bool]:
 def main_text(html: str | None) -> str:
     """The article's blocks, one per line."""
     found, marked = lines(html or "")
-    weight = [w if here or not marked else 0 for _, w, here in found]
-    if marked:                                             # a line of links in an article is its text
-        weight = [len(t) if here else 0 for t, _, here in found]
+    weight = [w * MARK if here else w for _, w, here in found]
     n = len(found)
     run = [0]
     for w in weight:
@@ -172,12 +206,18 @@ def main_text(html: str | None) -> str:
         elif not up and start is not None:
             stretches.append((start, i))                   # dive
             start = None
-    if not stretches:
+    kept = []
+    for a, b in stretches:
+        while not found[a][2] and found[a][1] * 2 < len(found[a][0]) or not found[a][0]:
+            a += 1                                         # links and blanks before the text
+        if 2 * sum(found[i][1] for i in range(a, b)) >= sum(len(found[i][0]) for i in range(a, b)):
+            kept.append((a, b))
+    if not kept:
         return ""
-    top = max(max(block[a:b]) for a, b in stretches)
-    kept = [(a, b) for a, b in stretches if marked or max(block[a:b]) >= PEAK * top]
-    return "\n".join(found[i][0] for a, b in kept for i in range(a, b)
-                     if found[i][0] and (found[i][2] or not marked) and (marked or weight[i] * 2 >= len(found[i][0])))
+    bars = [block[i] for a, b in kept for i in range(a, b) if found[i][2]]
+    bar = median(bars) if bars else PEAK * max(max(block[a:b]) for a, b in kept)
+    return "\n".join(found[i][0] for a, b in kept if found[a][2] or max(block[a:b]) >= bar
+                     for i in range(a, b) if found[i][0] and (found[a][2] or found[i][1] * 2 >= len(found[i][0])))
 
 
 def _extract(batches):
