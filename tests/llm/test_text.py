@@ -59,6 +59,14 @@ def test_links_in_an_article_are_a_dive():
     assert "one" in out and "two" in out and "Read also 0" not in out
 
 
+def test_short_blocks_after_an_advert_stay():
+    long, close = ("long " * 1000).strip(), ("close " * 50).strip()
+    link = "See <a href=/x>the whole of a report with a very long title</a>"
+    body = f"<div>{long}</div><div class=ad>Buy</div><p>{close}</p><p>{link}</p><p>End of it.</p>"
+    assert extract.main_text(page(body)).split("\n") == [
+        long, close, "See the whole of a report with a very long title", "End of it."]
+
+
 def test_extract_query(spark):
     rows = [(1, "u", page(ARTICLE), "x"), (2, None, None, "x"), (2, None, None, "x"), (None, "v", "<p>" + "é " * 50_000, "x")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")

@@ -8,8 +8,8 @@ the distribution.  Where the sum leaves zero is a surge, where it returns to
 zero a dive, and the text in between is kept unless most of it is links.  A line
 in a marked article weighs ``MARK`` times as much, and the mark's ends are blank;
 a stretch outside stays when its peak reaches the median of those inside.
-On pages without a mark a stretch stays when its peak is at least ``PEAK`` of the
-page's highest.
+On pages without a mark every such stretch stays.  Lines of links at the edges of
+a stretch go where no mark holds them; those between lines of text stay.
 
 Edge cases: null or empty html and pages without text give an empty string;
 unclosed tags end with their parent, and an article that starts inside an
@@ -31,7 +31,6 @@ from pyspark.sql import functions as F
 from wardline.llm.common import ship
 
 WINDOW = 3
-PEAK = 0.2
 MARK = 4                   # weight of a line in a marked article
 
 _TOKEN = re.compile(
@@ -208,16 +207,16 @@ def main_text(html: str | None) -> str:
             start = None
     kept = []
     for a, b in stretches:
-        while not found[a][2] and found[a][1] * 2 < len(found[a][0]) or not found[a][0]:
+        while a < b and (not found[a][2] and found[a][1] * 2 < len(found[a][0]) or not found[a][0]):
             a += 1                                         # links and blanks before the text
-        if 2 * sum(found[i][1] for i in range(a, b)) >= sum(len(found[i][0]) for i in range(a, b)):
+        while a < b and (not found[b - 1][2] and found[b - 1][1] * 2 < len(found[b - 1][0]) or not found[b - 1][0]):
+            b -= 1
+        if a < b and 2 * sum(found[i][1] for i in range(a, b)) >= sum(len(found[i][0]) for i in range(a, b)):
             kept.append((a, b))
-    if not kept:
-        return ""
     bars = [block[i] for a, b in kept for i in range(a, b) if found[i][2]]
-    bar = median(bars) if bars else PEAK * max(max(block[a:b]) for a, b in kept)
+    bar = median(bars) if bars else 0
     return "\n".join(found[i][0] for a, b in kept if found[a][2] or max(block[a:b]) >= bar
-                     for i in range(a, b) if found[i][0] and (found[a][2] or found[i][1] * 2 >= len(found[i][0])))
+                     for i in range(a, b) if found[i][0])
 
 
 def _extract(batches):
