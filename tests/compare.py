@@ -49,7 +49,7 @@ def digest(columns: list[str], rows: list[tuple]) -> str:
 # Spark's and DuckDB's names of the types that results use.
 SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "boolean": "BOOLEAN",
                  "string": "VARCHAR", "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP",
-                 "date": "DATE", "decimal(38,18)": "DECIMAL(38,18)"}
+                 "date": "DATE", "decimal(38,18)": "DECIMAL(38,18)", "decimal(38,36)": "DECIMAL(38,36)"}
 
 
 def types_differ(df, con, sql) -> dict:

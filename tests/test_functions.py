@@ -81,21 +81,41 @@ def test_alternation_spans_newlines():
     assert re.search(pattern, "head\nblunt trauma") and not re.search(pattern, "chest pain")
 
 
-def test_exact_numbers_compare_as_their_texts(spark):
-    """Against Python's unlimited decimals: order with whole numbers, and what is delivered."""
-    from decimal import Decimal
+NUMBERS = ["15", "15.", "007", "14.9999999999999999999", "2.0000000000000000001", "-1" + "0" * 25, "1" + "0" * 40, "15." + "0" * 40,
+           "0" * 30 + "9.5", "-0.00000000000000000000001", "2." + "0" * 30 + "1", "3.000000000000000000", "0", "-0", "-0.0", "00.", "9", "10",
+           "99", "100", "-9", "-10", "-9.5", "-9.51", "-9.49", "0.5", "0.49", "0.51", "1" * 30 + "." + "2" * 30, "1" * 30 + "." + "2" * 31,
+           "-" + "1" * 30 + "." + "2" * 30, "-" + "1" * 30 + "." + "2" * 31, "1" * 31, "01", "1.10", "1.1"]
+
 
+def _keyed(spark, texts):
     from pyspark.sql import functions as F
 
+    from wardline.functions import numbers
     from wardline.functions.decode import text_number
-    texts = ["15", "15.", "007", "14.9999999999999999999", "2.0000000000000000001", "-1" + "0" * 25, "1" + "0" * 40,
-             "15." + "0" * 40, "0" * 30 + "9.5", "-0.00000000000000000000001", "2." + "0" * 30 + "1", "3.000000000000000000"]
-    rows = (spark.createDataFrame([(t,) for t in texts], "t string")
-            .select("t", text_number(F.col("t"), F.lit(True)).alias("n")).collect())
-    for r in rows:
-        exact = Decimal(r.t.rstrip("."))
-        for whole in (-1, 0, 2, 3, 9, 14, 15, 16):
-            assert (r.n < whole, r.n > whole) == (exact < whole, exact > whole), (r.t, whole)
+    return (spark.createDataFrame([(t,) for t in texts], "t string").withColumn("k", text_number(F.col("t"), F.lit(True)))
+            .withColumn("back", numbers.number_text(F.col("k"))).withColumn("d", numbers.number_decimal(F.col("k"), 18)))
+
+
+def test_number_keys_order_as_their_numbers(spark):
+    """Against Python's unlimited decimals: order, equality and the digits that come back."""
+    from decimal import Decimal, localcontext
+    rows = _keyed(spark, NUMBERS).collect()
+    exact = {r.t: Decimal(r.t) for r in rows}
+    with localcontext() as ctx:
+        ctx.prec = 200
+        for a in rows:
+            assert Decimal(a.back) == exact[a.t] and "." not in a.back[-1:], a
+            for b in rows:
+                assert ((a.k < b.k), (a.k == b.k)) == (exact[a.t] < exact[b.t], exact[a.t] == exact[b.t]), (a.t, b.t)
+    least = _keyed(spark, NUMBERS).selectExpr("min(k) AS k", "max(k) AS m").first()
+    assert (least.k, least.m) == (min(r.k for r in rows), max(r.k for r in rows))
+
+
+def test_numbers_are_cut_only_where_a_decimal_ends(spark):
+    from decimal import Decimal
+    got = {r.t: r.d for r in _keyed(spark, ["14." + "9" * 40, "-2.5", "1" * 20, "1" * 21, "abc", None]).collect()}
+    assert got == {"14." + "9" * 40: Decimal("14." + "9" * 18), "-2.5": Decimal("-2.5"), "1" * 20: Decimal("1" * 20), "1" * 21: None,
+                   "abc": None, None: None}
 
 
 def test_class_does_not_depend_on_the_order_of_generics(spark):

@@ -82,7 +82,26 @@ def test_offset_minimum_per_offset_before_validity(make):
     assert got[6].first_gcs_offset == 60 and got[6].gcs_min_firstday == Decimal(14)
     assert got[8].gcs_min_firstday == Decimal("14.999") and got[8].sae_by_gcs_firstday == 1
     assert got[9].gcs_min_firstday == Decimal(15)
-    assert dict(outcome.offset_min(nc).dtypes)["gcs_min_firstday"] == "decimal(38,18)"
+    # The valid range has two whole digits: the widest decimal for it keeps 36 of the fraction.
+    assert dict(outcome.offset_min(nc).dtypes)["gcs_min_firstday"] == "decimal(38,36)"
+
+
+def test_scores_keep_all_their_digits(make):
+    long = "14." + "123456789" * 3 + "123"                       # thirty fraction digits
+    huge = "1" * 30 + "." + "7" * 30
+    nc = make("nursecharting", [
+        _nc(1, 10, long), _nc(1, 20, long + "1"), _nc(1, 30, "14.2"),
+        _nc(2, 10, huge), _nc(2, 10, huge + "1"), _nc(2, 20, "-" + huge), _nc(2, 30, "15"),
+        _nc(3, 10, "15." + "9" * 30), _nc(3, 20, "15." + "9" * 31), _nc(4, 10, "2." + "0" * 50 + "1")])
+    got = rows_by(outcome.offset_min(nc), "patientunitstayid")
+    assert got[1].gcs_min_firstday == Decimal(long) and got[1].first_low_gcs_offset_firstday == 10
+    assert got[2].gcs_min_firstday == Decimal(15) and got[2].first_gcs_offset == 30
+    assert got[3].gcs_min_firstday == Decimal("15." + "9" * 30)
+    text = rows_by(outcome.offset_min(nc, as_text=True), "patientunitstayid")
+    assert [text[i].gcs_min_firstday for i in (1, 2, 3, 4)] == [long, "15", "15." + "9" * 30, "2." + "0" * 50 + "1"]
+    wide = rows_by(outcome.offset_min(nc, valid_open=(-10 ** 31, 10 ** 31), as_text=True), "patientunitstayid")
+    assert wide[2].gcs_min_firstday == "-" + huge
+    assert outcome.score_scale((-10 ** 31, 10 ** 31)) == 6
 
 
 def test_charted_condition(make):

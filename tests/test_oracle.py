@@ -24,7 +24,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
-    assert len(QUERIES) == 28
+    assert len(QUERIES) == 32
     assert QUERIES.items() <= entry.queries().items()
     assert ORACLE.items() <= entry.oracle_sql().items()
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wardline.functions import dictionaries as dic
+from wardline.functions.numbers import number_key
 
 
 def anchored_age(anchor_age: Column, anchor_year: Column, at: Column) -> Column:
@@ -47,29 +48,17 @@ def decode_by_substring(text: Column, pairs: Iterable[tuple[str, object]]) -> Co
     return out
 
 
-# A text number as an exact decimal: 18 fraction digits and one that is 1 when
-# more, non-zero ones follow; a larger whole part counts as 18 nines.  Such
-# values compare with each other's whole numbers exactly as the texts do.
-NUMBER_TYPE = "decimal(38,19)"
-
-
-def exact_number(text: Column) -> Column:
-    """``text`` (``-?digits[.digits]``) as ``NUMBER_TYPE``, true to every comparison with a whole number."""
-    whole = F.regexp_replace(F.regexp_extract(text, r"^-?([0-9]*)", 1), "^0+", "")
-    part = F.regexp_extract(text, r"\.([0-9]*)", 1)
-    more = F.when(F.substring(part, 19, 2 ** 31 - 1).rlike("[1-9]"), F.lit("1")).otherwise(F.lit("0"))
-    built = F.concat(F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit("")),
-                     F.when(F.length(whole) > 18, F.lit("9" * 18)).otherwise(F.concat(F.lit("0"), whole)),
-                     F.lit("."), F.rpad(F.substring(part, 1, 18), 18, "0"), more)
-    # Short texts fit as they are.
-    return F.when(F.length(text) <= 18, text.try_cast(NUMBER_TYPE)).otherwise(built.try_cast(NUMBER_TYPE))
+def is_number(value: Column, pattern: str = dic.GCS_NUMBER_PATTERN,
+              reject: Iterable[str] = dic.GCS_NUMBER_REJECT) -> Column:
+    """``value`` looks numeric (NULL where it is NULL)."""
+    return value.rlike(pattern) & ~value.isin(*reject)
 
 
 def text_number(value: Column, where: Column, pattern: str = dic.GCS_NUMBER_PATTERN,
                 reject: Iterable[str] = dic.GCS_NUMBER_REJECT) -> Column:
-    """``value`` as an exact number when ``where`` holds and it looks numeric, else NULL.
+    """``value`` as a number key when ``where`` holds and it looks numeric, else NULL.
 
-    The regex guard comes first (``try_cast`` alone would accept ``' 15 '``).
+    The key orders as the number and keeps every digit
+    (:mod:`wardline.functions.numbers`).
     """
-    ok = where & value.rlike(pattern) & ~value.isin(*reject)
-    return F.when(ok, exact_number(value))
+    return F.when(where & is_number(value, pattern, reject), number_key(value))

@@ -2,7 +2,7 @@
 
 The study's term lists become literal expressions, so matching needs no join;
 a dictionary given as a table, of any size, is matched by an equality join on
-short substrings.  The drug tables are only filtered, classified and joined
+rare substrings.  The drug tables are only filtered, classified and joined
 to the narrow base key table.
 """
 
@@ -18,12 +18,10 @@ from wardline.functions.dictionaries import Term
 from wardline.functions.match import classify_terms, contains_any
 from wardline.functions.windows import flag
 from wardline.operators.joins import keyed_join
+from wardline.operators.patterns import match_rows
 
 c = F.col
 
-# Length of the substrings that join texts to a dictionary's terms.
-GRAM = 3
-
 
 # ---------------------------------------------------------------- U24: classification
 
@@ -110,23 +108,12 @@ def match_terms(df: DataFrame, terms, *, key: str = "patientunitstayid", text: s
     The study's theta join (``text LIKE '%' || term || '%'``) lets a row match
     several terms.  A sequence of :class:`Term` becomes one conditional per
     term behind a filter on any of them.  A DataFrame (``generic_name,
-    statin_type, match_term``) of any size is joined: a text contains a
-    term only if it contains the term's first ``GRAM`` characters, so distinct
-    texts and terms meet by equality on those, and ``contains`` decides.
+    statin_type, match_term``) of any size is matched by its rarest grams, with
+    the wildcards of ``LIKE`` (:mod:`wardline.operators.patterns`).
     """
     low = F.lower(F.coalesce(c(text), F.lit("")))
     if isinstance(terms, DataFrame):
-        texts = df.select(low.alias("_text")).distinct()
-        places = F.explode(F.sequence(F.lit(1), F.greatest(F.length("_text"), F.lit(1))))
-        sized = texts.select("_text", places.alias("_at")).withColumn(
-            "_size", F.explode(F.array(*[F.lit(n) for n in range(GRAM + 1)])))
-        grams = sized.select("_text", F.substr("_text", c("_at"), c("_size")).alias("_gram")).distinct()
-        named = terms.where(c("match_term").isNotNull()).select(
-            *keep, "match_term", F.substring("match_term", 1, GRAM).alias("_gram"))
-        found = (grams.join(named, "_gram").where(c("_text").contains(c("match_term")))
-                 .select("_text", *keep).distinct())
-        return (df.select(key, low.alias("_text")).distinct().join(found, "_text")
-                .select(key, *keep).distinct())
+        return match_rows(df, low, terms, carry=(key,), keep=keep)
     hits = F.array(*[F.when(low.contains(t.term), F.struct(
         F.lit(t.generic).alias("generic_name"), F.lit(t.drug_class).alias("statin_type"),
         F.lit(t.term).alias("match_term"))) for t in terms])

@@ -15,12 +15,14 @@ the narrow base key table with :func:`keyed_join` before any aggregation.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions import dictionaries as dic
-from wardline.functions.decode import text_number
+from wardline.functions.decode import is_number
+from wardline.functions.numbers import number_decimal, number_key, number_text
 from wardline.functions.windows import flag, in_offset_window, in_window
 from wardline.operators.joins import keyed_join, restrict
 
@@ -74,7 +76,7 @@ def offset_min(events: DataFrame, *, key: str = "patientunitstayid",
                window: tuple[int, int] = dic.FIRST_DAY_OFFSETS,
                valid_open: tuple[int, int] = dic.GCS_OFFSET_VALID_OPEN,
                low_below: int = dic.GCS_LOW_BELOW,
-               restrict_to: DataFrame | None = None) -> DataFrame:
+               restrict_to: DataFrame | None = None, as_text: bool = False) -> DataFrame:
     """Per stay: minimum score per offset first, then validity, then the first day.
 
     Rows whose text is not a number of a listed (label, name) pair add only
@@ -83,22 +85,18 @@ def offset_min(events: DataFrame, *, key: str = "patientunitstayid",
     rows (values {1, 14} at one offset remove that offset).  Only stays with
     a valid value appear.  ``restrict_to`` (a key table) semi-joins the
     events first when the caller needs only those stays.
+
+    Scores are compared as number keys, with all their digits; ``as_text``
+    delivers the minimum as text with all of them, in place of the widest
+    decimal that holds the valid range.
     """
-    ev = (events
-          .where(c(category).isin(*categories) & in_offset_window(c(offset), *window))
-          .select(key, offset, text_number(c(value), _pairs(label, name, pairs)).alias("_score"))
-          .where(c("_score").isNotNull()))
+    ev = events.where(c(category).isin(*categories) & in_offset_window(c(offset), *window)
+                      & _pairs(label, name, pairs) & is_number(c(value)))
     if restrict_to is not None:
         ev = restrict(ev, restrict_to, key)
-    lo, hi = valid_open
-    per_offset = (ev.groupBy(key, offset).agg(F.min("_score").alias("_score"))
-                    .where((c("_score") > lo) & (c("_score") < hi)))
-    return per_offset.groupBy(key).agg(*_score_outcomes(offset, low_below))
-
-
-# The minimum is delivered with 18 fraction digits; further ones are cut off,
-# after every comparison.
-SCORE_TYPE = "decimal(38,18)"
+    per_offset = (ev.groupBy(key, offset).agg(F.min(number_key(c(value))).alias("_score"))
+                    .where(_valid(valid_open)))
+    return per_offset.groupBy(key).agg(*_score_outcomes(offset, low_below, valid_open, as_text))
 
 
 def _pairs(label: str, name: str, pairs: Sequence[tuple[str, str]]):
@@ -108,12 +106,28 @@ def _pairs(label: str, name: str, pairs: Sequence[tuple[str, str]]):
     return cond
 
 
-def _score_outcomes(offset: str, low_below: int) -> list:
+def _key(value: float) -> Column:
+    return number_key(F.lit(f"{Decimal(str(value)):f}"))
+
+
+def _valid(valid_open: tuple[float, float]) -> Column:
+    lo, hi = valid_open
+    return (c("_score") > _key(lo)) & (c("_score") < _key(hi))
+
+
+def score_scale(valid_open: tuple[float, float]) -> int:
+    """Fraction digits of the widest decimal that holds every whole part of the valid range."""
+    return 38 - max(len(str(abs(int(bound)))) for bound in valid_open)
+
+
+def _score_outcomes(offset: str, low_below: float, valid_open: tuple[float, float], as_text: bool = False) -> list:
     """Outcome columns of valid per-offset minima ``_score`` (NULL where an offset has none)."""
-    return [F.min("_score").cast(SCORE_TYPE).alias("gcs_min_firstday"),
+    least, low = F.min("_score"), _key(low_below)
+    number = number_text(least) if as_text else number_decimal(least, score_scale(valid_open))
+    return [number.alias("gcs_min_firstday"),
             F.min(F.when(c("_score").isNotNull(), c(offset))).alias("first_gcs_offset"),
-            F.min(F.when(c("_score") < low_below, c(offset))).alias("first_low_gcs_offset_firstday"),
-            flag(F.min("_score") < low_below, "smallint").alias("sae_by_gcs_firstday")]
+            F.min(F.when(c("_score") < low, c(offset))).alias("first_low_gcs_offset_firstday"),
+            flag(least < low, "smallint").alias("sae_by_gcs_firstday")]
 
 
 def offset_outcomes(events: DataFrame, *, key: str = "patientunitstayid",
@@ -131,18 +145,16 @@ def offset_outcomes(events: DataFrame, *, key: str = "patientunitstayid",
     Score rows and condition rows are kept by one filter and aggregated by
     (stay, offset), then by stay; what a stay lacks is NULL (the score flag 0).
     """
-    score = F.when(c(category).isin(*categories), text_number(c(value), _pairs(label, name, pairs)))
-    rows = (events.where(in_offset_window(c(offset), *window))
-            .select(key, offset, score.alias("_score"),
-                    flag(_charted(label, name, value)).alias("_charted"))
-            .where(c("_score").isNotNull() | (c("_charted") == 1)))
-    lo, hi = valid_open
+    scored = F.coalesce(c(category).isin(*categories) & _pairs(label, name, pairs) & is_number(c(value)), F.lit(False))
+    charted = F.coalesce(_charted(label, name, value), F.lit(False))
+    rows = (events.where(in_offset_window(c(offset), *window) & (scored | charted))
+            .select(key, offset, F.when(scored, number_key(c(value))).alias("_score"), flag(charted).alias("_charted")))
     per_offset = rows.groupBy(key, offset).agg(F.min("_score").alias("_score"),
                                                F.max("_charted").alias("_charted"))
-    valid = F.when((c("_score") > lo) & (c("_score") < hi), c("_score"))
+    valid = F.when(_valid(valid_open), c("_score"))
     first = F.min(F.when(c("_charted") == 1, c(offset)))
     return per_offset.withColumn("_score", valid).groupBy(key).agg(
-        *_score_outcomes(offset, low_below), first.alias("first_delirium_offset"),
+        *_score_outcomes(offset, low_below, valid_open), first.alias("first_delirium_offset"),
         F.when(first.isNotNull(), F.lit(1)).cast("smallint").alias("delirium_firstday"))
 
 

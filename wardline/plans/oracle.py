@@ -10,7 +10,7 @@ Two parts:
 
 Type notes (DuckDB vs Spark): ``year()`` and ``sum`` are widened by DuckDB,
 so ages are cast to INTEGER and sums to BIGINT; flags are cast to the
-study's SMALLINT / INTEGER; the charted score is DECIMAL(38,18).
+study's SMALLINT / INTEGER; the charted score is DECIMAL(38,36), taken from its digits.
 
 Column lists, item ids, codes, term and label values are fixed values of the
 study and of the adapter: they must equal it for right results.
@@ -224,18 +224,22 @@ ALC_PH_RE = "alcohol abuse|alcohol dependence|alcohol withdrawal|alcoholism"
 
 # The charted number as a struct that sorts like it: v = the first 18 fraction
 # digits (whole parts of over 18 digits: 1e18), t = the sign of what follows.
-GCS_VALUE_SQL = """CASE WHEN ((nursingchartcelltypevallabel = 'Glasgow coma score'
-                    AND nursingchartcelltypevalname = 'GCS Total')
-                   OR (nursingchartcelltypevallabel = 'Score (Glasgow Coma Scale)'
-                       AND nursingchartcelltypevalname = 'Value'))
-                  AND regexp_full_match(nursingchartvalue, '-?[0-9]+\\.?[0-9]*')
-             THEN {'v': (CASE WHEN nursingchartvalue[1] = '-' THEN -1 ELSE 1 END)
-                        * (CASE WHEN length(ltrim(split_part(ltrim(nursingchartvalue, '-'), '.', 1), '0')) > 18
-                           THEN CAST(1000000000000000000 AS DECIMAL(38, 18))
-                           ELSE CAST(split_part(ltrim(nursingchartvalue, '-'), '.', 1) || '.'
-                                     || split_part(nursingchartvalue, '.', 2)[1:18] || '0' AS DECIMAL(38, 18)) END),
-                   't': CASE WHEN NOT regexp_matches(split_part(nursingchartvalue, '.', 2)[19:], '[1-9]') THEN 0
-                             WHEN nursingchartvalue[1] = '-' THEN -1 ELSE 1 END} END"""
+# A number text is taken apart: sign, whole digits without leading zeros, fraction
+# digits without closing ones.  Numbers order by sign, length of the whole, digits.
+GCS_PARTS_SQL = """
+SELECT *, ltrim(split_part(ltrim(nursingchartvalue, '-'), '.', 1), '0') AS w,
+       rtrim(split_part(nursingchartvalue, '.', 2), '0') AS f,
+       nursingchartvalue[1] = '-' AS neg
+FROM nursecharting
+WHERE nursingchartcelltypecat IN ('Scores', 'Other Vital Signs and Infusions')
+  AND nursingchartoffset BETWEEN 0 AND 1440
+  AND ((nursingchartcelltypevallabel = 'Glasgow coma score'
+        AND nursingchartcelltypevalname = 'GCS Total')
+       OR (nursingchartcelltypevallabel = 'Score (Glasgow Coma Scale)'
+           AND nursingchartcelltypevalname = 'Value'))
+  AND regexp_full_match(nursingchartvalue, '-?[0-9]+\\.?[0-9]*')"""
+GCS_ORDER_SQL = """neg DESC, CASE WHEN neg THEN -length(w) ELSE length(w) END,
+         CASE WHEN neg THEN '' ELSE w || f END, CASE WHEN neg THEN w || f ELSE '' END DESC"""
 
 # name -> (dependencies, SQL).  Written directly from the study's semantics.
 FRAGMENTS: dict[str, tuple[tuple[str, ...], str]] = {
@@ -413,17 +417,20 @@ FROM (
   LEFT JOIN dx_hits d ON d.patientunitstayid = b.patientunitstayid
   LEFT JOIN ph_hits h ON h.patientunitstayid = b.patientunitstayid)"""),
     "off_gcs": (("nursecharting",), f"""
-WITH per_offset AS (
-  SELECT patientunitstayid, nursingchartoffset, min({GCS_VALUE_SQL}) AS s
-  FROM nursecharting
-  WHERE nursingchartcelltypecat IN ('Scores', 'Other Vital Signs and Infusions')
-    AND nursingchartoffset BETWEEN 0 AND 1440
-  GROUP BY patientunitstayid, nursingchartoffset),
-valid AS (SELECT * FROM per_offset WHERE (s.v > 2 OR (s.v = 2 AND s.t > 0)) AND s.v < 16)
-SELECT patientunitstayid, CAST(min(s).v AS DECIMAL(38, 18)) AS gcs_min_firstday,
+WITH parts AS ({GCS_PARTS_SQL}),
+per_offset AS (
+  SELECT patientunitstayid, nursingchartoffset, neg, w, f, TRY_CAST('0' || w AS INTEGER) AS whole
+  FROM parts
+  QUALIFY row_number() OVER (PARTITION BY patientunitstayid, nursingchartoffset
+                             ORDER BY {GCS_ORDER_SQL}) = 1),
+valid AS (SELECT *, row_number() OVER (PARTITION BY patientunitstayid ORDER BY {GCS_ORDER_SQL}) AS place
+          FROM per_offset
+          WHERE NOT neg AND length(w) <= 2 AND whole < 16 AND (whole > 2 OR (whole = 2 AND f <> '')))
+SELECT patientunitstayid,
+       max(CAST('0' || w || '.' || f || '0' AS DECIMAL(38, 36))) FILTER (WHERE place = 1) AS gcs_min_firstday,
        min(nursingchartoffset) AS first_gcs_offset,
-       min(nursingchartoffset) FILTER (WHERE s.v < 15) AS first_low_gcs_offset_firstday,
-       CAST(min(s).v < 15 AS SMALLINT) AS sae_by_gcs_firstday
+       min(nursingchartoffset) FILTER (WHERE whole < 15) AS first_low_gcs_offset_firstday,
+       CAST(bool_or(place = 1 AND whole < 15) AS SMALLINT) AS sae_by_gcs_firstday
 FROM valid GROUP BY patientunitstayid"""),
     "off_delirium": (("nursecharting",), """
 SELECT patientunitstayid, min(nursingchartoffset) AS first_delirium_offset,
@@ -544,6 +551,25 @@ SELECT DISTINCT stay_id, drug AS drug_name_original, statin_type, statin_class,
 FROM statin_rows"""),
     "pre_index_exposure": (("ts_exposure",), "SELECT * FROM ts_exposure"),
     "term_match_join": (("term_hits",), "SELECT * FROM term_hits"),
+    "term_match_table": (("admissiondrug", "statin_terms"), """
+SELECT DISTINCT a.patientunitstayid, t.generic_name, t.statin_type
+FROM admissiondrug a
+JOIN statin_terms t ON lower(coalesce(a.drugname, '')) LIKE '%' || t.match_term || '%'"""),
+    "classify_drugs_table": (("prescriptions",), f"""
+SELECT hadm_id, drug, {STATIN_TYPE_SQL} AS statin_type, {STATIN_CLASS_SQL} AS statin_class
+FROM prescriptions"""),
+    "text_flags_table": (("dx_text",), """
+SELECT DISTINCT patientunitstayid, flag
+FROM (SELECT patientunitstayid, dx, unnest(['sepsis', 'neuro', 'alcohol']) AS flag FROM dx_text)
+WHERE CASE flag
+  WHEN 'sepsis' THEN regexp_matches(dx, 'sepsis|septic')
+    AND NOT regexp_matches(dx, 'rule out|r/o|history of|hx of|past history|family history|screening')
+  WHEN 'neuro' THEN regexp_matches(dx, 'meningitis|encephalitis|status epilepticus|traumatic brain injury|head trauma|cerebrovascular accident|stroke|intracranial hemorrhage|subarachnoid hemorrhage|subdural|epidural|brain injury|brain abscess|anoxic brain')
+  ELSE regexp_matches(dx, 'alcohol abuse|alcohol dependence|alcohol withdrawal|alcohol intoxication|alcoholism') END"""),
+    "code_rule_table": (("code_flags",), """
+SELECT hadm_id, 'acute_brain_injury' AS rule FROM code_flags WHERE acute_brain_injury = 1
+UNION ALL
+SELECT hadm_id, 'alcohol_abuse' FROM code_flags WHERE alcohol_abuse = 1"""),
     "undated_exposure": (("off_exposure",), "SELECT * FROM off_exposure"),
     "death_in_interval": (("ts_base",), """
 SELECT stay_id,

@@ -13,9 +13,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardline.functions import dictionaries as dic
+from wardline.functions.match import terms_frame
+from wardline.operators import code_rules
 from wardline.operators import eligibility as elig
 from wardline.operators import exposure as expo
 from wardline.operators import outcome
+from wardline.operators import patterns
 from wardline.operators.joins import materialize
 from wardline.operators.summary import cohort_summary
 from wardline.plans import offset as off
@@ -135,6 +139,38 @@ def term_match_join(spark, sf_dir):
     return off.term_matches(sources(spark, sf_dir))
 
 
+def term_match_table(spark, sf_dir):
+    """U27 with the terms as a pattern table."""
+    drugs = sources(spark, sf_dir)["admissiondrug"]
+    return expo.match_terms(drugs, terms_frame(spark, dic.admission_statin_terms()))
+
+
+def classify_drugs_table(spark, sf_dir):
+    """U24 with the terms as a pattern table."""
+    terms = [(i, generic, cls, t) for i, (generic, cls, group) in enumerate(dic.STATIN_TERMS_PRIORITY) for t in group]
+    table = spark.createDataFrame(terms, "priority int, generic_name string, statin_type string, match_term string")
+    rx = sources(spark, sf_dir)["prescriptions"].select("hadm_id", "drug")
+    return patterns.classify_rows(rx, "drug", table)
+
+
+def text_flags_table(spark, sf_dir):
+    """U12 and the diagnosis lists of U15 as one pattern table: every flag of a stay by its diagnosis texts."""
+    rows = ([("sepsis", True, t) for t in dic.SEPSIS_DIAGNOSIS_TERMS]
+            + [("sepsis", False, t) for t in dic.SEPSIS_EXCLUDE_PHRASES]
+            + [("neuro", True, t) for t in dic.NEURO_DIAGNOSIS_TERMS]
+            + [("alcohol", True, t) for t in dic.ALCOHOL_DIAGNOSIS_TERMS])
+    table = spark.createDataFrame(rows, "flag string, include boolean, pattern string")
+    dx = sources(spark, sf_dir)["diagnosis"]
+    return patterns.flag_rows(dx, "patientunitstayid", elig.low_text("diagnosisstring"), table)
+
+
+def code_rule_table(spark, sf_dir):
+    """U10 with rules and title terms as tables: the rules that an admission satisfies."""
+    src = sources(spark, sf_dir)
+    return code_rules.rule_hits(src["diagnoses_icd"], code_rules.rules_frame(spark, ts.RULES),
+                                dictionary=src["d_icd_diagnoses"], titles=code_rules.titles_frame(spark, ts.RULES))
+
+
 def undated_exposure(spark, sf_dir):
     src = sources(spark, sf_dir)
     return off.exposure_stage(src, off.base_cohort(src))
@@ -186,6 +222,10 @@ QUERIES: dict[str, Query] = {
     "drug_events": drug_events,
     "pre_index_exposure": pre_index_exposure,
     "term_match_join": term_match_join,
+    "term_match_table": term_match_table,
+    "classify_drugs_table": classify_drugs_table,
+    "text_flags_table": text_flags_table,
+    "code_rule_table": code_rule_table,
     "undated_exposure": undated_exposure,
     "death_in_interval": death_in_interval,
     "composite_outcome": composite_outcome,
