@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardline.llm.common import by_group, hot_join, ship, stage
+from wardline.llm.common import HOT_SHARE, by_group, hot_join, ship, stage
 from wardline.llm.neardup import _mix, components, shingles
 from wardline.operators.joins import key_table
 
@@ -54,6 +54,8 @@ LIMIT = 1024               # members that a task joins at once ...
 LIMIT_ITEMS = 1 << 22      # ... and shingles of these
 PIVOTS = 16                # of a region cut over the cluster
 INNER, INNER_PIVOTS = 64, 8    # the same within a task
+BINS = 64                  # of the counts that tell far sets apart
+LEAST_HOT = 8              # documents of a batch that make a key a candidate for a hot one
 GAIN = 0.5                 # share of the pairs that a cut must save to be made
 _SLOPE = 1e-9              # windows are this much wider than rounding can need
 _COLUMNS = 2048
@@ -114,17 +116,30 @@ def keys(items: np.ndarray, threshold: int = THRESHOLD) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
+def _counts(items: np.ndarray) -> bytes:
+    """Shingles by hash, in ``BINS`` bins: as far apart as the sets at most."""
+    return np.minimum(np.bincount((items & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS), 65535).astype("<u2").tobytes()
+
+
 def _sketch(k: int, threshold: int):
+    """A row per document; after each batch a row (``n`` = -1) of the keys that many of its documents have."""
+    names = ["rid", "n", "node", "bins", "keys"]
+
     def run(batches):
         for pdf in batches:
+            if not len(pdf):
+                continue
             out = []
             for rid, text in zip(pdf["rid"], pdf["text"]):
                 items = shingles(text, k)
-                out.append((rid, len(items), xxhash.xxh3_128_digest(items.tobytes()) if len(items) else None,
+                full = len(items) > 0
+                out.append((rid, len(items), xxhash.xxh3_128_digest(items.tobytes()) if full else None, _counts(items) if full else None,
                             keys(items, threshold).view(np.int64)))
-            found = pd.DataFrame(out, columns=["rid", "n", "node", "keys"])
+            key, times = np.unique(np.concatenate([o[4] for o in out]), return_counts=True)
+            often = key[times >= max(len(out) // HOT_SHARE, LEAST_HOT)]
             # Ids as text: a null would turn the numbers of its batch into floats.
-            yield found.assign(rk=pdf["rk"], doc_id=pdf["doc_id"])
+            yield pd.DataFrame(out, columns=names).assign(rk=pdf["rk"], doc_id=pdf["doc_id"])
+            yield pd.DataFrame([(-1, -1, None, None, often)], columns=names).assign(rk=0, doc_id=None)
     return run
 
 
@@ -240,6 +255,21 @@ def _joined(threshold: int):
     return run
 
 
+def _possible(threshold: int):
+    """Members of a region with a partner that the counts do not rule out."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        bins = np.frombuffer(b"".join(pdf["bins"]), "<u2").reshape(len(pdf), BINS).astype(np.int32)
+        n = pdf["n"].to_numpy()
+        hit = np.zeros(len(pdf), bool)
+        for a in range(len(pdf) - 1):
+            apart = np.abs(bins[a + 1:] - bins[a]).sum(axis=1)
+            close = (100 + threshold) * apart <= (100 - threshold) * (n[a + 1:] + n[a])
+            hit[a] |= close.any()
+            hit[a + 1:] |= close
+        return pdf.loc[hit, ["region", "nid", "n"]]
+    return run
+
+
 def _assigned(threshold: int):
     """Homes and windows of the members of one block of a region, by the region's pivots."""
     names = ["region", "root", "nid", "n", "home", "child"]
@@ -319,22 +349,30 @@ def join(docs: DataFrame, k: int = SHINGLE, threshold: int = THRESHOLD, doc_id:
     body = F.coalesce(F.col(text), F.lit(""))
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), body.alias("text")).withColumn("rk", F.xxhash64("doc_id", "text"))
     rows = stage(docs.withColumn("rid", F.monotonically_increasing_id()).withColumn("doc_id", F.col("doc_id").cast("string"))
-                 .mapInPandas(_sketch(k, threshold), "rid long, n long, node binary, keys array<long>, rk long, doc_id string")
+                 .mapInPandas(_sketch(k, threshold), "rid long, n long, node binary, bins binary, keys array<long>, rk long, doc_id string")
                  .withColumn("doc_id", F.col("doc_id").cast("long")), "jaccard-rows")
-    full = rows.where("n > 0")
+    full, n_rows = rows.where("n > 0"), rows.where("n >= 0").count()
     nodes = stage(full.groupBy("node").agg(
         F.min("rid").alias("nid"), F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"),
         F.min_by("rk", "rid").alias("rk")), "jaccard-nodes")
-    n_rows = rows.count()
 
-    # Keys with company; copies of a node leave first.
+    # Keys with company; copies of a node leave first.  A key that a large share of all documents
+    # has is one of some batch too, so hot keys, at most HOT_SHARE times the keys of a document,
+    # are known before any row moves; rows of the others move once.
     copies = hot_join(full.select("rid", "node"), nodes.where("copies > 1").select("node", "nid", "copies"), "node", "copies", n_rows)
     extra, _ = key_table(stage(copies.where("rid != nid").select("rid"), "jaccard-copies"), "rid")
     each = full.select("rid", "keys").join(extra, "rid", "left_anti").select(F.col("rid").alias("nid"), F.explode("keys").alias("key"))
-    shared = stage(each.groupBy("key").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1"), "jaccard-keys")
-    total = shared.agg(F.coalesce(F.sum("holders"), F.lit(0))).first()[0]
-    table, small = key_table(shared, "key", "holders")
-    held = stage(each.join(table, "key") if small else hot_join(each, shared, "key", "holders", total), "jaccard-held")
+    often = stage(rows.where("n = -1").select(F.explode("keys").alias("key")).distinct(), "jaccard-often")
+    often, small = key_table(often, "key")
+    hot = each.join(often, "key", "left_semi").groupBy("key").agg(F.count(F.lit(1)).alias("holders")) if small else None
+    if hot is not None:
+        hot = F.broadcast(stage(hot.where(F.col("holders") > max(n_rows // HOT_SHARE, 1)), "jaccard-hot"))
+        cold, hot = each.join(hot.select("key"), "key", "left_anti"), each.join(hot, "key")
+    else:
+        cold, hot = each, each.withColumn("holders", F.lit(0).cast("long")).where(F.lit(False))
+    company = F.count(F.lit(1)).over(Window.partitionBy("key"))
+    held = stage(cold.withColumn("holders", company).where("holders > 1").unionByName(hot), "jaccard-held")
+    total = held.count()
 
     # The pivot of a key is the holder that shares most; its region are all holders.
     rank = held.groupBy("nid").agg(F.sum("holders").alias("rank"))
@@ -342,7 +380,14 @@ def join(docs: DataFrame, k: int = SHINGLE, threshold: int = THRESHOLD, doc_id:
               .select("key", "holders", F.col("top.nid").alias("region")))
     regions = stage(hot_join(held.select("key", "nid"), pivots, "key", "holders", total).select("region", "nid").distinct(), "jaccard-first")
 
-    # The sets of these nodes, made again from one text each.
+    # Members that cannot link with anybody leave; regions of more than a task's worth keep theirs.
+    counted = regions.join(rows.select(F.col("rid").alias("nid"), "n", "bins"), "nid")
+    sizes = regions.groupBy("region").agg(F.count(F.lit(1)).alias("members"))
+    sized = stage(hot_join(counted, sizes, "region", "members", regions.count()), "jaccard-sized")
+    regions = stage(by_group(sized.where(F.col("members") <= LIMIT), ["region"], _possible(threshold), "region long, nid long, n long")
+                    .unionByName(sized.where(F.col("members") > LIMIT).select("region", "nid", "n")), "jaccard-possible")
+
+    # The sets of the others, made again from one text each.
     own = regions.groupBy("nid").agg(F.sort_array(F.collect_list("region")).alias("regions"))
     want = stage(nodes.join(own, "nid").select("nid", "n", "copies", "regions", "rk", "node"), "jaccard-wanted")
     wanted, _ = key_table(want, "rk", "nid", "node")
@@ -356,8 +401,7 @@ def join(docs: DataFrame, k: int = SHINGLE, threshold: int = THRESHOLD, doc_id:
     items = stage(docs.select("rk", "text").join(wanted, "rk").select("nid", "node", "text")
                   .mapInPandas(remade, "nid long, items binary").dropDuplicates(["nid"]), "jaccard-items")
     sets = items.join(want.select("nid", "copies", "regions"), "nid")
-    regions = regions.join(want.select("nid", "n"), "nid").select(
-        "region", F.col("region").alias("root"), "nid", "n", F.lit(True).alias("home"))
+    regions = regions.select("region", F.col("region").alias("root"), "nid", "n", F.lit(True).alias("home"))
     links = _links(regions, sets, threshold)
 
     labels = components(links.where("u != v").select("u", "v")).withColumnRenamed("node", "nid")
