@@ -37,11 +37,13 @@ def nothing(spark):
     return spark.createDataFrame([], "doc_id long, text string, lang string, source string")
 
 
-@pytest.fixture(scope="session")
+@pytest.fixture(scope="module")
 def documents(spark):
-    return spark.read.parquet(f"{SF0001}/documents.parquet").cache()
+    df = spark.read.parquet(f"{SF0001}/documents.parquet").cache()
+    yield df
+    df.unpersist()
 
 
-@pytest.fixture(scope="session")
+@pytest.fixture(scope="module")
 def document_rows(documents):
     return [(r["doc_id"], r["text"], r["lang"], r["source"]) for r in documents.collect()]

@@ -1,0 +1,97 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import duckdb
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tests.llm.conftest import SF0001
+from wardline.llm import infill, queries
+
+TEXTS = st.text(alphabet="aZ \n\té漢\U0001f600<P>SM", max_size=60)
+
+
+@given(TEXTS)
+@settings(max_examples=300, deadline=None)
+def test_index_converts_every_cut(text):
+    raw = np.frombuffer(text.encode(), np.uint8)
+    index = infill.Exceptions(raw)
+    assert len(index.byte) == sum(ord(ch) > 127 for ch in text)      # ASCII needs no entry
+    chars = np.arange(len(text) + 1)
+    places = np.array([len(text[:i].encode()) for i in chars])
+    assert (index.to_byte(chars) == places).all() and (index.to_char(places) == chars).all()
+
+
+def rearranged(text, doc_id, unit="line", rate=100, spm=50, seed=7):
+    """The contract, over Python strings."""
+    import re
+    h = hashlib.sha256(f"{seed}:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(h[i:i + 8], 16) for i in (0, 8, 16, 24))
+    text = text or ""
+    units = re.findall(r"[^\n]*\n|[^\n]+", text) if unit == "line" else list(text)
+    n = len(units)
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h3 % 100 >= rate:
+        return n, "plain", None, None, text
+    a, b = sorted((h1 % (n + 1), h2 % (n + 1)))
+    p, m, s = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    if h4 % 100 < spm:
+        return n, "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return n, "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+@given(TEXTS, st.integers(0, 2 ** 63 - 1), st.sampled_from(["line", "char"]), st.integers(0, 100), st.integers(0, 100))
+@settings(max_examples=300, deadline=None)
+def test_cut_equals_the_contract(text, doc_id, unit, rate, spm):
+    h = hashlib.sha256(f"7:{doc_id}".encode()).hexdigest()
+    n, form, places, chars, out = infill.cut(text.encode(), tuple(int(h[i:i + 8], 16) for i in (0, 8, 16, 24)), unit, rate, spm)
+    want = rearranged(text, doc_id, unit, rate, spm)
+    assert (n, form, out.decode()) == (want[0], want[1], want[4])
+    if chars:
+        assert (chars[0], chars[1] - chars[0]) == want[2:4]
+        assert text.encode()[:places[0]].decode() == text[:chars[0]]
+
+
+@pytest.mark.parametrize("unit", ["line", "char"])
+def test_odd_rows(spark, odd, odd_rows, unit):
+    extra = [(13, "a\n\nb<P>\n"), (2 ** 62 + 1, "é\n漢字\n\n\U0001f600 end"), (14, "\n"), (15, "\r\n\x00x"), (16, "<S"), (17, "P>\n<")]
+    docs = odd.unionByName(spark.createDataFrame(extra, "doc_id long, text string"), allowMissingColumns=True)
+    out = infill.infill(docs, unit=unit)
+    assert out.columns == ["doc_id", "n", "form", "prefix_chars", "middle_chars", "prefix_bytes", "middle_bytes", "output"]
+    got = out.withColumn("back", infill.restored(F.col("output"), F.col("form"))).collect()
+    rows = [(r[0], r[1]) for r in odd_rows] + extra
+    want = [(i, *rearranged(t, i, unit)) for i, t in rows]
+    assert sorted(((r.doc_id, r.n, r.form, r.prefix_chars, r.middle_chars, r.output) for r in got), key=str) == sorted(want, key=str)
+    assert sorted((r.back for r in got)) == sorted(t or "" for _, t in rows)
+
+
+def test_empty_table(spark, nothing):
+    assert infill.infill(nothing).count() == 0
+    with pytest.raises(ValueError):
+        infill.infill(nothing, unit="page")
+
+
+def test_restored_stands_all_pieces(spark):
+    r = random.Random(4)
+    pieces = ["", "<", "<P", "P>", "S>", "<S", ">", "M>x", "\n", "<<", "<M"]
+    rows = [("".join(r.choice(pieces) for _ in range(3)), "".join(r.choice(pieces) for _ in range(2)), r.choice(pieces)) for _ in range(400)]
+    rows = [x for x in rows if not any(m in "".join(x) or any(m in y for y in x) for m in ("<P>", "<S>", "<M>"))]
+    df = spark.createDataFrame(rows, "p string, m string, s string")
+    for form, out in (("psm", "<P>{p}<S>{s}<M>{m}"), ("spm", "<S>{s}<P>{p}<M>{m}")):
+        built = spark.createDataFrame([(p + m + s, out.format(p=p, m=m, s=s)) for p, m, s in rows], "t string, o string")
+        assert built.where(infill.restored(F.col("o"), F.lit(form)) != F.col("t")).count() == 0
+    assert df.count() > 100
+
+
+def test_query_equals_its_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF0001}/documents.parquet'")
+    want = con.execute(queries.ORACLES["op11_infill"])
+    names = [d[0] for d in want.description]
+    got = queries.op11_infill(spark, SF0001)
+    assert sorted(got.columns) == sorted(names)
+    assert sorted(map(tuple, got.select(*names).collect()), key=str) == sorted(want.fetchall(), key=str)

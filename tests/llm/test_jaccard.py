@@ -1,0 +1,169 @@
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm.conftest import SF0001
+from wardline.llm import jaccard, queries
+
+
+def linked(rows, k=4, threshold=85):
+    """``(doc_id, n_shingles, component_id, n_links)`` of every row, pair by pair."""
+    sets = []
+    for _, text in rows:
+        words = (text or "").encode().lower().split()
+        width = min(k, len(words))
+        sets.append({tuple(words[i:i + width]) for i in range(len(words) - width + 1)} if words else set())
+    parent, links = list(range(len(rows))), Counter()
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    holders = {}
+    for i, s in enumerate(sets):
+        for x in s:
+            holders.setdefault(x, []).append(i)
+    for i, s in enumerate(sets):
+        for j, both in Counter(j for x in s for j in holders[x] if j < i).items():
+            if 100 * both >= threshold * (len(s) + len(sets[j]) - both):
+                links[i] += 1
+                links[j] += 1
+                parent[root(i)] = root(j)
+    least = {}
+    for i, (doc_id, _) in enumerate(rows):
+        least.setdefault(root(i), []).append(doc_id)
+    name = {r: min((x for x in ids if x is not None), default=None) for r, ids in least.items()}
+    return sorted(((d, len(sets[i]), name[root(i)], links[i]) for i, (d, _) in enumerate(rows)), key=str)
+
+
+def joined(spark, rows, **kw):
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    return sorted((tuple(r) for r in jaccard.join(df, **kw).collect()), key=str)
+
+
+def family(r, words, copies, size, edits, start):
+    """A text and copies of it with some words changed."""
+    body = [r.choice(words) for _ in range(size)]
+    out = [(start, " ".join(body))]
+    for i in range(1, copies):
+        own = list(body)
+        for _ in range(r.randint(0, edits)):
+            at = r.randrange(len(own))
+            own[at:at + 1] = r.choice(([], [r.choice(words)], [r.choice(words), own[at]]))
+        out.append((start + i, " ".join(own)))
+    return out
+
+
+def corpus(seed, families=12):
+    r = random.Random(seed)
+    words = [f"w{i}" for i in range(3000)]
+    common = " ".join(r.choice(words) for _ in range(60))
+    rows = []
+    for f in range(families):
+        rows += family(r, words, r.choice((2, 3, 9)), r.choice((3, 8, 25, 60, 150, 400)), r.choice((1, 3, 6)), 1000 * f)
+    # A passage that many otherwise unrelated texts hold, and one that is nearly all of some.
+    rows += [(50_000 + i, common + " " + " ".join(r.choice(words) for _ in range(r.choice((2, 5, 9, 80))))) for i in range(60)]
+    rows += [(60_000 + i, " ".join(r.choice(words) for _ in range(120))) for i in range(80)]
+    r.shuffle(rows)
+    return rows
+
+
+def test_keys_of_linked_sets_meet():
+    """The largest difference that still links, of any two sizes: no pair without a common key."""
+    r = np.random.default_rng(5)
+    tried = 0
+    for _ in range(2500):
+        a = int(r.integers(1, 40) if tried % 2 else r.integers(30, 1500))
+        b = int(r.integers(-(-85 * a // 100), 100 * a // 85 + 1))
+        both = -(-85 * (a + b) // 185)
+        if both > min(a, b) or a == b == both:
+            continue
+        pool = np.unique(r.integers(0, 1 << 64, 3 * (a + b), dtype=np.uint64))
+        r.shuffle(pool)
+        x, y = np.sort(pool[:a]), np.sort(np.concatenate([pool[:both], pool[a:a + b - both]]))
+        assert len(np.intersect1d(jaccard.keys(x), jaccard.keys(y))), (a, b, both)
+        tried += 1
+    assert tried > 1500
+
+
+def test_distances_and_windows():
+    r = np.random.default_rng(6)
+    sets = [np.unique(r.integers(0, 200, r.integers(1, 150)).astype(np.uint64)) for _ in range(60)]
+    flat, size = np.concatenate(sets), np.array([len(s) for s in sets])
+    d = jaccard._distances(flat, size, sets)
+    want = [[1 - len(np.intersect1d(a, b)) / len(np.union1d(a, b)) for b in sets] for a in sets]
+    assert np.abs(d - want).max() < 1e-12
+    home, within = jaccard._windows(d[:, :9], 85)
+    i, j = np.nonzero(d <= 0.15)
+    # A near pair always meets in the home of either.
+    assert within[j, home[i]].all() and within[i, home[j]].all()
+    assert not within.all()
+
+
+@pytest.mark.parametrize("inner", [jaccard.INNER, 3])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_pairs_of_a_region(monkeypatch, inner, seed):
+    monkeypatch.setattr(jaccard, "INNER", inner)
+    monkeypatch.setattr(jaccard, "GAIN", 0.9)
+    texts = [t for _, t in corpus(seed)]
+    parts = [p for p in (jaccard.shingles(t) for t in texts) if len(p)]
+    size = np.array([len(p) for p in parts])
+    both = np.array([[len(np.intersect1d(a, b, assume_unique=True)) for b in parts] for a in parts])
+    want = np.triu(185 * both >= 85 * (size[:, None] + size), 1)
+    i, j = jaccard._pairs(parts, size, np.ones(len(parts), bool), 85)
+    assert len(i) == len(set(zip(i.tolist(), j.tolist())))       # found in several regions, counted in one
+    assert set(zip(i.tolist(), j.tolist())) == set(zip(*(x.tolist() for x in np.nonzero(want))))
+
+
+@pytest.mark.parametrize("limit", [jaccard.LIMIT, 12])
+def test_against_brute_force(spark, monkeypatch, limit):
+    """With small limits regions are cut over the cluster and dense ones joined by blocks."""
+    monkeypatch.setattr(jaccard, "LIMIT", limit)
+    monkeypatch.setattr(jaccard, "PIVOTS", 4)
+    rows = corpus(3) + family(random.Random(8), [f"v{i}" for i in range(900)], 70, 200, 8, 90_000)
+    rows += [(70_000, rows[0][1]), (70_001, rows[0][1].upper()), rows[1], rows[1]]
+    got = joined(spark, rows)
+    assert got == linked(rows)
+    assert max(g[3] for g in got) > 20
+
+
+def test_other_parameters(spark):
+    rows = corpus(4, 5)[:150]
+    assert joined(spark, rows, k=2, threshold=60) == linked(rows, 2, 60)
+    assert joined(spark, rows, k=1, threshold=100) == linked(rows, 1, 100)
+
+
+def test_on_the_given_table(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF0001}/documents.parquet").collect()]
+    out = queries.op12_jaccard_join(spark, SF0001)
+    assert out.columns == ["doc_id", "n_shingles", "component_id", "n_links"]
+    assert sorted((tuple(r) for r in out.collect()), key=str) == linked(rows)
+
+
+def test_odd_rows(spark, odd, odd_rows):
+    rows = [(r[0], r[1]) for r in odd_rows]
+    assert sorted((tuple(r) for r in jaccard.join(odd).collect()), key=str) == linked(rows)
+
+
+def test_empty_table_and_null_ids(spark, nothing):
+    assert jaccard.join(nothing).count() == 0
+    blank = spark.createDataFrame([(1, None), (None, " "), (2, "")], "doc_id long, text string")
+    assert sorted((tuple(r) for r in jaccard.join(blank).collect()), key=str) == [(1, 0, 1, 0), (2, 0, 2, 0), (None, 0, None, 0)]
+    rows = [(None, "a b c d e f")] * 3 + [(2 ** 62 + 1, "a b c d e f"), (5, "other words here")]
+    assert joined(spark, rows) == linked(rows)
+
+
+def test_a_third_of_all_rows_is_one_text_and_another_one_family(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "LEAST_HOT", 2)
+    r = random.Random(9)
+    words = [f"w{i}" for i in range(2000)]
+    rows = [(i, "the same text every time in each of these rows") for i in range(300)]
+    rows += family(r, words, 300, 90, 2, 1000)
+    rows += [(5000 + i, " ".join(r.choice(words) for _ in range(50))) for i in range(300)]
+    assert joined(spark, rows) == linked(rows)

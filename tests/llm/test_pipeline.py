@@ -10,13 +10,16 @@ from tests.llm.test_near_suffix import components
 
 
 def test_stages_against_brute_force(spark, documents, document_rows):
-    docs, seen = documents, {}
+    docs, seen, held = documents, {}, []
     for name, step in corpus_pipeline.STAGES:
         docs = step(spark, docs, SF0001)
         if name != "packed":
             assert docs.columns == documents.columns
         docs = docs.cache()
+        held.append(docs)
         seen[name] = docs.collect()
+    for df in held:
+        df.unpersist()
     ids = {name: sorted(r["doc_id"] for r in rows) for name, rows in seen.items() if name != "packed"}
     rows = {r[0]: r for r in document_rows}
     assert set(ids["language"]) == {i for i, r in rows.items() if (r[1] or "").strip()}
@@ -46,7 +49,7 @@ def test_stages_against_brute_force(spark, documents, document_rows):
 def test_run_and_registration(spark):
     import __spark_entry__ as entry
     assert entry.queries()["pipeline"] is corpus_pipeline.run
-    assert sorted(int(k[2:].split("_")[0]) for k in entry.queries() if k.startswith("op")) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in entry.queries() if k.startswith("op")) == list(range(1, 14))
     assert corpus_pipeline.run(spark, SF0001).count() > 0
 
 
