@@ -91,6 +91,19 @@ HOT_KEY_ROWS = 5_000_000
 HOT_KEYS_MAX = 1_000_000
 
 
+def filterable(keys: DataFrame, column: str) -> DataFrame:
+    """``keys`` behind a range condition that all its rows meet.
+
+    Spark puts a Bloom filter of a join's small side on the scan of the other
+    only when the small side is filtered; key tables are made by a checkpoint
+    that shows no filter any more.  The least key as a literal is a filter
+    Spark takes for one.  Whether the filter is made is then up to
+    ``spark.sql.optimizer.runtime.bloomFilter.*`` (see README).
+    """
+    least = keys.agg(F.min(column)).first()[0]
+    return keys if least is None else keys.where(F.col(column) >= F.lit(least))
+
+
 def _hot_keys(events: DataFrame, keys: DataFrame, on: list[str], hot_rows: int):
     """The hot keys and their rows of ``keys``, both of broadcast size; None when no key is hot.
 
@@ -128,6 +141,8 @@ def split_hot_join(events: DataFrame, keys: DataFrame, on: str | list[str], how:
         unknown = unknown | F.col(k).isNull()
     known = events.where(~unknown)
     hot = _hot_keys(known, keys, on, hot_rows)
+    # The last key of several is the most selective one.
+    keys = filterable(keys, on[-1]) if how in ("inner", "left_semi") else keys
     if hot is None:
         out = known.join(keys, on, how)
     else:

@@ -9,7 +9,8 @@ Every operator comes in two layers:
   which is the per-base stage table of the study.
 
 Event rows are filtered (pushed to the scan where possible) and joined to
-the narrow base key table with :func:`keyed_join` before any aggregation.
+the narrow base key table (:mod:`wardline.operators.intervals`) before any
+aggregation.
 """
 
 from __future__ import annotations
@@ -23,8 +24,9 @@ from pyspark.sql import functions as F
 from wardline.functions import dictionaries as dic
 from wardline.functions.decode import is_number
 from wardline.functions.numbers import number_decimal, number_key, number_text
-from wardline.functions.windows import flag, in_offset_window, in_window
-from wardline.operators.joins import keyed_join, restrict
+from wardline.functions.windows import flag, in_offset_window
+from wardline.operators.intervals import window_join
+from wardline.operators.joins import restrict
 
 c = F.col
 
@@ -44,9 +46,7 @@ def window_min_rollup(base: DataFrame, events: DataFrame, *, key: str = "stay_id
     """
     lo, hi = valid
     ev = events.where(c(value).isNotNull() & c(value).between(lo, hi)).select(key, time, value)
-    bounds = [start] + ([end] if end else [])
-    joined = keyed_join(ev, base, [key, *bounds], key, "inner")
-    joined = joined.where(in_window(c(time), c(start), c(end) if end else None, length))
+    joined = window_join(ev, base, key=key, time=time, start=start, end=end, length=length)
     return joined.groupBy(key).agg(
         F.min(value).alias(names[0]),
         F.min(F.when(c(value) < low_below, c(time))).alias(names[1]),
@@ -176,8 +176,7 @@ def _feature_events(base: DataFrame, events: DataFrame, *, key: str, time: str,
                  & (c("valuenum").isNotNull() if positive is None
                     else c("valuenum").isin(*positive)))
           .select(key, time, "itemid", "valuenum"))
-    joined = keyed_join(ev, base, [key, start, *([end] if end else [])], key, "inner")
-    return joined.where(in_window(c(time), c(start), c(end) if end else None, length))
+    return window_join(ev, base, key=key, time=time, start=start, end=end, length=length)
 
 
 def feature_rows(base: DataFrame, events: DataFrame, *, key: str = "stay_id",

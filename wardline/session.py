@@ -8,6 +8,7 @@ only when none is configured.
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -21,6 +22,9 @@ SCALE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Base keys filter event scans (over 10 GB, Spark's default) before the shuffle.
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
+    "spark.sql.optimizer.runtime.bloomFilter.numBits": "67108864",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -44,16 +48,16 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | None:
     """Return the session's checkpoint folder; set one only where none is named.
 
-    A machine-local temporary folder is used only for ``local`` masters.  On
-    a cluster the folder must be shared storage named by the cluster
-    (``spark.checkpoint.dir``); without one nothing is set and stages are
-    persisted instead of checkpointed.
+    A machine-local temporary folder is used only for plain ``local`` masters.
+    On a cluster the folder must be shared storage named by the cluster
+    (``spark.checkpoint.dir``); without one nothing is set and each reader of a
+    stage computes it again.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    if fallback is None and not sc.master.startswith("local"):
+    if fallback is None and not re.fullmatch(r"local(\[.*\])?", sc.master):
         return None
     sc.setCheckpointDir(fallback or tempfile.mkdtemp(prefix="wardline-ckpt-"))
     return sc.getCheckpointDir()
