@@ -164,7 +164,7 @@ def test_job_writes_stages_and_partitioned_finals(spark):
     from wardline.plans import jobs
     out = tempfile.mkdtemp(prefix="wardline-job-")
     written = jobs.build(spark, SF0001, out, with_stages=True)
-    assert len(written) == 14 + 2 + 1
+    assert len(written) == 14 + 2 + 2
     final = spark.read.parquet(written["timestamped_final_cohort"])
     assert final.count() == entry.entry(spark).count() > 0
     assert any(d.startswith("sae_within_24h=") for d in os.listdir(written["offset_final_cohort"]))

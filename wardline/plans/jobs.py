@@ -1,10 +1,12 @@
 """Batch jobs: build both cohorts and write them (and optionally every stage).
 
 The study writes each stage as a table; here the final cohorts are single
-plans and stage tables are written only on request, clustered by the stay key;
-what follows from a written stage reads it.  Final tables are
-partitioned by the composite outcome, so an outcome filter prunes files
-the way the study's outcome index serves lookups.
+plans and stage tables are written only on request, clustered by the stay key or,
+with ``--database``, bucketed by it in the catalog; what follows from a written
+stage reads it.  Final tables are partitioned by the composite outcome, so an
+outcome filter prunes files the way the study's outcome index serves lookups.
+Every table is replaced in one step, and the counts of the summary are taken
+while the cohorts are written.
 
     python -m wardline.plans.jobs --sf-dir /root/testdata/sf0.1 --out /shared/cohorts [--stages]
     python -m wardline.plans.jobs --parquet /shared/clinical --out /shared/cohorts
@@ -17,14 +19,16 @@ from __future__ import annotations
 import argparse
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from wardline.operators import exposure as expo
 from wardline.operators import outcome
-from wardline.operators.summary import cohort_summary
 from wardline.plans import offset as off
 from wardline.plans import timestamped as tsp
+from wardline.sizes import exact_rows
 from wardline.sources.adapter import sources
+from wardline.sources.bucketed import BucketedStages
 from wardline.sources.tables import write_table
 
 
@@ -46,6 +50,14 @@ def stage_tables(src, b: DataFrame, ob: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+# Stages with any number of rows a stay.
+MANY = ("timestamped_delirium_features", "timestamped_statins")
+
+
+def _key(name: str) -> str:
+    return "stay_id" if name.startswith("timestamped") else off.KEY
+
+
 def derived_tables(b: DataFrame, read) -> dict[str, DataFrame]:
     """Stages made from stage tables that are written already (``read(name)``)."""
     drugs = read("timestamped_statins").join(b.select("stay_id", "icu_intime"), "stay_id")
@@ -55,45 +67,82 @@ def derived_tables(b: DataFrame, read) -> dict[str, DataFrame]:
     }
 
 
+def written_stages(read) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """The stages that each final cohort joins, read back from where they were written."""
+    ts = {"eligibility": "eligibility", "gcs": "gcs_firstday", "delirium": "delirium_status", "exposure": "exposure"}
+    of = {"sepsis": "sepsis", "eligibility": "eligibility", "gcs": "gcs_firstday", "delirium": "delirium_firstday", "exposure": "exposure"}
+    return ({k: read(f"timestamped_{v}") for k, v in ts.items()}, {k: read(f"offset_{v}") for k, v in of.items()})
+
+
+def observed(cohort: DataFrame, label: str) -> tuple[DataFrame, Observation]:
+    """A final cohort whose counts are taken while it is written.
+
+    They are taken above every exchange, in the stage that writes, where a task
+    counts once however often it runs.
+    """
+    seen = Observation(label)
+    one = lambda name: F.sum(F.when(F.col(name) == 1, 1).otherwise(0)).cast("bigint")
+    return cohort.observe(seen, F.count(F.lit(1)).alias("n_rows"), one("statin_before_icu").alias("n_exposed"),
+                          one("sae_within_24h").alias("n_outcome")), seen
+
+
+def summary_rows(spark: SparkSession, seen: dict[str, Observation], bases: dict[str, int]) -> tuple[DataFrame, DataFrame]:
+    """The verification summary and the attrition (base, eligible, exposed, outcome) from counts already taken."""
+    rows = {label: o.get for label, o in seen.items()}
+    share = lambda n, of: n / of if of else None
+    summary = spark.createDataFrame(
+        [(label, r["n_rows"], r["n_exposed"] or 0, share(r["n_exposed"] or 0, r["n_rows"]), r["n_outcome"] or 0,
+          share(r["n_outcome"] or 0, r["n_rows"])) for label, r in rows.items()],
+        "cohort string, n_rows long, n_exposed long, exposed_share double, n_outcome long, outcome_share double")
+    steps = spark.createDataFrame(
+        [(label, i, step, n) for label, r in rows.items() for i, (step, n) in enumerate(
+            [("base", bases[label]), ("eligible", r["n_rows"]), ("exposed", r["n_exposed"] or 0), ("outcome", r["n_outcome"] or 0)])],
+        "cohort string, place int, step string, n long")
+    return summary, steps
+
+
 def build(spark: SparkSession, sf_dir: str | None, out_dir: str, with_stages: bool = False,
-          src=None) -> dict:
+          src=None, database: str | None = None) -> dict:
     """Write both final cohorts (and, with ``with_stages``, every stage table).
 
     ``src`` is any source map (stored tables); without it the driver tables
-    of ``sf_dir`` are adapted.
+    of ``sf_dir`` are adapted.  ``database`` names a catalog database that
+    takes the stages as tables bucketed by their key, which the final joins
+    then read without an exchange; else they are written below ``out_dir``.
+    Returns the folder (or catalog name) of every table.
     """
     src = src if src is not None else sources(spark, sf_dir)
-    b, ob = tsp.base_cohort(src), off.base_cohort(src)      # each materialised once
-    written, stages = {}, None
+    b, ob = tsp.base_cohort(src), off.base_cohort(src)      # each materialised and counted once
+    written, stored = {}, None
+    store = BucketedStages(spark, database) if database else None
 
     def read(name: str) -> DataFrame:
-        return spark.read.parquet(written[name])
+        return store.read(name) if store else spark.read.parquet(written[name])
 
-    def write(name: str, df: DataFrame, key: str) -> None:
-        written[name] = os.path.join(out_dir, name)
-        write_table(df, written[name], cluster_by=key)
+    def write(name: str, df: DataFrame) -> None:
+        if store:
+            store.write(name, df, _key(name), many=name in MANY)
+            written[name] = f"{database}.{name}"
+        else:
+            written[name] = write_table(df, os.path.join(out_dir, name), cluster_by=_key(name))
 
-    if with_stages:
+    if with_stages or store:
         for name, df in stage_tables(src, b, ob).items():
-            key = next(k for k in ("stay_id", off.KEY) if k in df.columns)
-            write(name, df, key)
+            write(name, df)
         for name, df in derived_tables(b, read).items():
-            write(name, df, "stay_id")
-        stages = {"gcs": read("timestamped_gcs_firstday"), "delirium": read("timestamped_delirium_status"),
-                  "exposure": read("timestamped_exposure")}
-    finals = {"timestamped_final_cohort": tsp.cohort(src, base=b, written=stages),
-              "offset_final_cohort": off.cohort(src, base=ob)}
-    for name, df in finals.items():
-        path = os.path.join(out_dir, name)
-        write_table(df, path, partition_by="sae_within_24h")
-        written[name] = path
-    # Verification summary, read back from the written tables.
-    summary = (cohort_summary(spark.read.parquet(written["timestamped_final_cohort"]),
-                              "timestamped")
-               .unionByName(cohort_summary(spark.read.parquet(written["offset_final_cohort"]),
-                                           "offset")))
-    write_table(summary.coalesce(1), os.path.join(out_dir, "cohort_summary"))
-    written["cohort_summary"] = os.path.join(out_dir, "cohort_summary")
+            write(name, df)
+        stored = written_stages(read)
+    ts_base, off_base = (read("timestamped_base"), read("offset_base")) if store else (b, ob)
+    finals = {"timestamped": tsp.cohort(src, base=ts_base, written=stored and stored[0]),
+              "offset": off.cohort(src, base=off_base, written=stored and stored[1])}
+    seen = {}
+    for label, df in finals.items():
+        name = f"{label}_final_cohort"
+        df, seen[label] = observed(df, label)
+        written[name] = write_table(df, os.path.join(out_dir, name), partition_by="sae_within_24h")
+    summary, steps = summary_rows(spark, seen, {"timestamped": exact_rows(b), "offset": exact_rows(ob)})
+    for name, df in (("cohort_summary", summary), ("cohort_attrition", steps)):
+        written[name] = write_table(df.coalesce(1), os.path.join(out_dir, name))
     return written
 
 
@@ -106,6 +155,7 @@ def main(argv: list[str] | None = None) -> None:
     given.add_argument("--catalog", help="catalog database holding the clinical tables")
     ap.add_argument("--out", required=True)
     ap.add_argument("--stages", action="store_true", help="also write every stage table")
+    ap.add_argument("--database", help="catalog database for stage tables bucketed by stay")
     args = ap.parse_args(argv)
     spark = SparkSession.getActiveSession()
     if spark is None:
@@ -115,7 +165,7 @@ def main(argv: list[str] | None = None) -> None:
     src = (tables.parquet_sources(spark, args.parquet, conform=True) if args.parquet else
            tables.csv_sources(spark, args.csv) if args.csv else
            tables.catalog_sources(spark, args.catalog, conform=True) if args.catalog else None)
-    for name, path in build(spark, args.sf_dir, args.out, args.stages, src=src).items():
+    for name, path in build(spark, args.sf_dir, args.out, args.stages, src=src, database=args.database).items():
         print(f"{name}\t{path}")
 
 

@@ -122,26 +122,35 @@ def exposure_stage(src, base: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- stage 7
 
-def cohort(src, base: DataFrame | None = None) -> DataFrame:
+def cohort(src, base: DataFrame | None = None, written: dict | None = None) -> DataFrame:
     """U32: the final offset cohort, 27 columns, septic and eligible stays only.
 
     Diagnosis rows are scanned once for both the sepsis and the exclusion
     rules (one roll-up), past history once; every roll-up is joined 1:1.
+    ``written`` may hold all five stage tables of this base (``sepsis``,
+    ``eligibility``, ``gcs``, ``delirium``, ``exposure``); the sources are then not read.
     """
     b = base if base is not None else base_cohort(src)
-    dx = elig.rollup_flags(restrict(src["diagnosis"], b, KEY), KEY,
-                           {**elig.diagnosis_sepsis_conds(), **elig.diagnosis_exclusion_conds()})
-    ph = elig.rollup_flags(restrict(src["pasthistory"], b, KEY), KEY,
-                           elig.history_exclusion_conds())
-    j = b.join(dx, KEY, "left").join(ph, KEY, "left")
-    adm_sepsis = contains_any(elig.low_text("apacheadmissiondx"), dic.SEPSIS_ADMISSION_TERMS)
-    j = j.where(adm_sepsis | (F.coalesce(c("_dx_sepsis"), F.lit(0)) == 1))
-    flags = [col.alias(n) for n, col in elig.exclusion_columns().items()]
-    kept = j.select("*", *flags).where(c("sae_eligible") == 1)
-
-    charted = outcome.offset_outcomes(restrict(src["nursecharting"], b, KEY))
-    e = expo.term_class_rollup(restrict(src["admissiondrug"], b, KEY), dic.admission_statin_terms())
-    out = kept.join(charted, KEY, "left").join(e, KEY, "left")
+    if written:
+        septic = written["sepsis"].where(c("sepsis") == 1).select(KEY)
+        kept = b.join(septic, KEY, "left_semi").join(written["eligibility"].where(c("sae_eligible") == 1), KEY)
+        out = kept
+        for name in ("gcs", "delirium", "exposure"):
+            out = out.join(written[name], KEY, "left")
+    else:
+        dx = elig.rollup_flags(restrict(src["diagnosis"], b, KEY), KEY,
+                               {**elig.diagnosis_sepsis_conds(), **elig.diagnosis_exclusion_conds()})
+        ph = elig.rollup_flags(restrict(src["pasthistory"], b, KEY), KEY,
+                               elig.history_exclusion_conds())
+        j = b.join(dx, KEY, "left").join(ph, KEY, "left")
+        adm_sepsis = contains_any(elig.low_text("apacheadmissiondx"), dic.SEPSIS_ADMISSION_TERMS)
+        j = j.where(adm_sepsis | (F.coalesce(c("_dx_sepsis"), F.lit(0)) == 1))
+        flags = [col.alias(n) for n, col in elig.exclusion_columns().items()]
+        kept = j.select("*", *flags).where(c("sae_eligible") == 1)
+
+        charted = outcome.offset_outcomes(restrict(src["nursecharting"], b, KEY))
+        e = expo.term_class_rollup(restrict(src["admissiondrug"], b, KEY), dic.admission_statin_terms())
+        out = kept.join(charted, KEY, "left").join(e, KEY, "left")
     gcs_flag = F.coalesce(c("sae_by_gcs_firstday"), F.lit(0)).cast("smallint")
     del_flag = F.coalesce(c("delirium_firstday"), F.lit(0)).cast("smallint")
     cols = {

@@ -182,7 +182,8 @@ def cohort(src, base: DataFrame | None = None, written: dict | None = None) -> D
     """U31: the final timestamp cohort, 32 columns, eligible stays only.
 
     ``written`` may hold the stage tables ``gcs``, ``delirium`` and ``exposure``
-    of this base; those are then read instead of the events.
+    of this base, and ``eligibility``; those are then read instead of the events
+    and the diagnoses.
 
     Eligibility is an anti-join against stays whose admission has any
     condition hit (eligible = no hit), so the kept rows carry flags 0, 0 and
@@ -192,7 +193,11 @@ def cohort(src, base: DataFrame | None = None, written: dict | None = None) -> D
     and NULL times.
     """
     b = base if base is not None else base_cohort(src)
-    kept = b.join(eligibility_hit_stays(src, b), "stay_id", "left_anti")
+    if written and "eligibility" in written:
+        eligible = written["eligibility"].where(c("sae_eligible") == 1).select("stay_id")
+        kept = b.join(eligible, "stay_id", "left_semi")
+    else:
+        kept = b.join(eligibility_hit_stays(src, b), "stay_id", "left_anti")
     if written:
         g = written["gcs"].select("stay_id", "gcs_min_firstday", "first_low_gcs_time")
         d = written["delirium"].select("stay_id", "first_delirium_time")
