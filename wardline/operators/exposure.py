@@ -33,16 +33,22 @@ def classify_drugs(df: DataFrame, text: str = "drug",
     The class is the first of ``classes`` that any matching term belongs to,
     whatever the order of the generics.
     """
-    low = F.lower(c(text))
+    low, kind = F.lower(c(text)), c("statin_type")
+    # The type settles most classes: no type, no term; a type of the first class needs no test.
     cls = None
-    for name in classes:
+    for name in reversed(classes):
         terms = [t for _, of, group in priority for t in group if of == name]
         if terms:
             hit = contains_any(low, terms)
-            cls = F.when(hit, F.lit(name)) if cls is None else cls.when(hit, F.lit(name))
+            cls = F.when(hit, F.lit(name)) if cls is None else F.when(hit, F.lit(name)).otherwise(cls)
     cls = F.lit(None).cast("string") if cls is None else cls
+    first = [g for g in dict.fromkeys(g for g, _, _ in priority)
+             if {of for other, of, _ in priority if other == g} == set(classes[:1])]
+    settled = F.when(kind.isNull(), F.lit(None).cast("string"))
+    if first:
+        settled = settled.when(kind.isin(*first), F.lit(classes[0]))
     return (df.withColumn("statin_type", classify_terms(c(text), priority))
-            .withColumn("statin_class", cls))
+            .withColumn("statin_class", settled.otherwise(cls)))
 
 
 # ---------------------------------------------------------------- U25: drug events
