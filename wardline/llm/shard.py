@@ -9,9 +9,12 @@ that is lightest then.  Records never hash anew.
 DataFrame functions only; the one sequential step runs over the ``SLOTS`` rows
 of the map, whatever the number of records.
 
-Edge cases: a null text has no bytes; a null id hashes like any value; repeated
-rows hash alike and take different positions; an empty table gives no rows and
-a map of empty slots; extra columns are ignored.
+Edge cases: a null text has no bytes; a null id hashes like any value; rows that
+repeat hash with their place in the table too, so that any number of them spreads
+over all slots and the law holds; an empty table gives no rows and a map of empty
+slots; extra columns are ignored.  Equal texts of different ids are records of
+their own and may lie in different shards (their ``text_crc32`` tells them).  One
+record larger than a shard's even share cannot be evened out.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardline.llm.common import fresh, stage
+from wardline.operators.joins import keyed_join
 
 SLOTS = 4096
 SHARDS = 40
@@ -28,14 +32,21 @@ ROW_BYTES = 16
 
 def records(docs: DataFrame, slots: int = SLOTS, doc_id: str = "doc_id",
             text: str = "text") -> DataFrame:
-    """``doc_id, size, text_crc32, virtual_slot`` of every record."""
+    """``doc_id, size, text_crc32, virtual_slot`` of every record.
+
+    The records are stored once.  Those of a hash that occurs again take their
+    place in the store into a second hash.
+    """
     body = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(
+    rows = stage(docs.select(
         F.col(doc_id).cast("long").alias("doc_id"),
         (F.octet_length(body).cast("long") + F.lit(ROW_BYTES)).alias("size"),
         F.crc32(body).alias("text_crc32"),
-    ).withColumn("virtual_slot", F.pmod(F.xxhash64("doc_id", "text_crc32"),
-                                        F.lit(slots)).cast("int"))
+    ).withColumn("_hash", F.xxhash64("doc_id", "text_crc32")).withColumn("_place", F.monotonically_increasing_id()), "records")
+    again = stage(rows.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"), "repeated")
+    marked = keyed_join(rows, again, ["_hash", "_n"], "_hash", "left")
+    own = F.when(F.col("_n").isNull(), F.col("_hash")).otherwise(F.xxhash64("_hash", "_place"))
+    return marked.select("doc_id", "size", "text_crc32", F.pmod(own, F.lit(slots)).cast("int").alias("virtual_slot"))
 
 
 def loads(rows: DataFrame, slots: int = SLOTS) -> DataFrame:
@@ -125,7 +136,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS,
     Version 1 is made from the loads alone; a later one edits its predecessor.
     """
     store = store or SlotMap(docs.sparkSession)
-    rows = stage(records(docs, slots), "records")
+    rows = stage(records(docs, slots), "placed")
     old = store.read(version - 1) if version > 1 else None
     mapped = store.write(rebalance(loads(rows, slots), shards, old), version)
     return assign(rows, mapped)
