@@ -77,6 +77,20 @@ def test_shards_hold_every_row_once_and_evenly(documents, document_rows, odd, od
         assert max(load.values()) <= sum(load.values()) / shard.SHARDS + largest
 
 
+def test_a_third_of_all_rows_is_one_row(spark):
+    """Copies of a row spread over the slots: the shards stay even."""
+    rows = [(7, "x" * 1000)] * 2000 + [(100 + i, "y" * (i % 900)) for i in range(4000)] + [(None, "z" * 300)] * 500
+    out = shard.shard(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()
+    assert Counter(r["doc_id"] for r in out) == Counter(r[0] for r in rows)
+    load, copies, slots = Counter(), Counter(), Counter()
+    for r in out:
+        load[r["shard"]] += r["size"]
+        slots[r["virtual_slot"]] += 1
+        copies[r["shard"]] += r["doc_id"] == 7
+    assert max(load.values()) - min(load.values()) <= 0.01 * sum(load.values()) / shard.SHARDS + 1016
+    assert len(copies) == shard.SHARDS and max(slots.values()) < 20
+
+
 def test_shard_of_nothing(nothing):
     assert shard.shard(nothing).count() == 0
 
