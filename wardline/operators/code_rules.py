@@ -93,7 +93,7 @@ def rule_hits(dx: DataFrame, rules: DataFrame, *, dictionary: DataFrame | None =
     By its code and version, or, with ``dictionary`` and ``titles``, by its code's
     lower-cased dictionary title holding a pattern, whatever the version.
     """
-    raw = dx.select("icd_code", "icd_version").distinct()
+    raw = materialize(dx.select("icd_code", "icd_version").distinct())
     named = raw.select("icd_code", "icd_version", normalise_code(c("icd_code")).alias("code"), c("icd_version").alias("version"))
     by_code = keyed_join(named, materialize(matched_codes(named.select("code", "version"), rules)), None, ["code", "version"], "inner").select(
         "icd_code", "icd_version", "rule")

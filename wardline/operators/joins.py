@@ -19,6 +19,8 @@ Row counts and payload sizes are remembered per DataFrame object
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -95,8 +97,8 @@ def filterable(keys: DataFrame, column: str) -> DataFrame:
     """``keys`` behind a range condition that all its rows meet.
 
     Spark puts a Bloom filter of a join's small side on the scan of the other
-    only when the small side is filtered; key tables are made by a checkpoint
-    that shows no filter any more.  The least key as a literal is a filter
+    only when the small side is filtered; key tables are read from a stored
+    stage that shows no filter any more.  The least key as a literal is a filter
     Spark takes for one.  Whether the filter is made is then up to
     ``spark.sql.optimizer.runtime.bloomFilter.*`` (see README).
     """
@@ -175,10 +177,17 @@ def materialize(df: DataFrame) -> DataFrame:
     """Materialise a stage that several later stages read (the base cohort).
 
     With a checkpoint folder (``spark.checkpoint.dir``: shared storage on a
-    cluster) the stage is computed once and written there by a reliable
-    checkpoint; its rows are then counted from the files.  Lineage is cut, a
-    lost executor costs no recomputation, and nothing stays cached.  Without
-    a folder the stage is only counted, and computed again by each reader.
+    cluster) the stage is computed once, written there as Parquet and read
+    back (a checkpoint would compute it twice); its rows are counted from the files.
+    Lineage is cut, a lost executor costs no recomputation, and nothing stays
+    cached.  Without a folder the stage is only counted, and computed again by
+    each reader.
     """
-    out = df.checkpoint(eager=True) if checkpoint_dir(df.sparkSession) else df
+    spark = df.sparkSession
+    folder = checkpoint_dir(spark)
+    out = df
+    if folder:
+        path = f"{folder.rstrip('/')}/wardline-stages/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        out = spark.read.schema(df.schema).parquet(path)
     return note_rows(out, out.count())

@@ -50,8 +50,8 @@ def stage_tables(src, b: DataFrame, ob: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-# Stages with any number of rows a stay.
-MANY = ("timestamped_delirium_features", "timestamped_statins")
+# Stages with any number of rows a stay, and the column that tells those of a stay apart.
+MANY = {"timestamped_delirium_features": "charttime", "timestamped_statins": "starttime"}
 
 
 def _key(name: str) -> str:
@@ -124,7 +124,8 @@ def build(spark: SparkSession, sf_dir: str | None, out_dir: str, with_stages: bo
             store.write(name, df, _key(name), many=name in MANY)
             written[name] = f"{database}.{name}"
         else:
-            written[name] = write_table(df, os.path.join(out_dir, name), cluster_by=_key(name))
+            columns = [_key(name), *([MANY[name]] if name in MANY else [])]
+            written[name] = write_table(df, os.path.join(out_dir, name), cluster_by=columns)
 
     if with_stages or store:
         for name, df in stage_tables(src, b, ob).items():

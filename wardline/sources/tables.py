@@ -78,7 +78,7 @@ def read_stored(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None,
-                cluster_by: str | None = None, keep: int = 2) -> str:
+                cluster_by: str | list[str] | None = None, keep: int = 2) -> str:
     """Drop-and-replace sink for a stage or final table (parquet); returns the folder written.
 
     Rows go to a new numbered version below ``path``; when all are there, a
@@ -88,14 +88,16 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None,
     older, left by failed builds included, goes with a later success.
 
     ``cluster_by`` (the stay key) lays rows out by ranges of it, sorted, so that
-    look-ups by key skip files and row groups by their statistics.
+    look-ups by key skip files and row groups by their statistics; a second
+    column splits the rows of a hot stay over several ranges.
 
     ``partition_by`` is meant for low-cardinality outcome columns, so that
     downstream filters on them prune files the way an index would.
     """
     spark = df.sparkSession
     if cluster_by:
-        df = df.repartitionByRange(cluster_by).sortWithinPartitions(cluster_by)
+        columns = [cluster_by] if isinstance(cluster_by, str) else cluster_by
+        df = df.repartitionByRange(*columns).sortWithinPartitions(*columns)
     number = max(_versions(spark, path).values(), default=0) + 1
     version = f"v{number:08d}-{uuid.uuid4().hex[:8]}"
     writer = df.write.mode("errorifexists")
