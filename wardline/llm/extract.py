@@ -2,7 +2,9 @@
 
 Markup is stripped to lines, one per block element, in page order.  Elements
 that cannot hold article text (menus, page headers, footers, sidebars, notices,
-adverts, forms, scripts, styles, reader comments) become runs of blank lines.
+adverts, forms, scripts, styles, reader comments) become runs of blank lines.  A class
+name or id says so as a whole: all its words do, or stand beside one that does
+(``cookie-notice``, ``site-footer``; not ``social-science``, ``menu-of-the-day``).
 Each line's weight is its text outside links; sums over ``WINDOW`` lines form
 the distribution.  Where the sum leaves zero is a surge, where it returns to
 zero a dive, and the text in between is kept unless most of it is links.  A line
@@ -56,6 +58,13 @@ _NOISE = frozenset(
     "share sharing social related recommended comment comments commentlist disqus replies respond widget "
     "complementary contentinfo skip".split())
 _REPLIES = frozenset(("comment", "comments", "commentlist", "disqus", "replies", "respond"))
+# Words that may stand beside one of the above in a name: they say where or how, not what.
+_BESIDE = frozenset(
+    "site page main top bottom left right upper lower inner outer primary secondary global mobile desktop sticky fixed "
+    "inline floating box wrap wrapper container area bar list links link item items block section module panel row col "
+    "column grid slot unit text message icon icons button buttons form input post posts article articles entry story "
+    "content the a an of and for with by to us our your this more follow on in".split())
+_OWN = frozenset("post article entry story content".split())   # whose header is the article's own
 
 
 def _noise(name: str, attrs: str, inside: bool) -> tuple[bool, bool]:
@@ -66,11 +75,18 @@ def _noise(name: str, attrs: str, inside: bool) -> tuple[bool, bool]:
         return False, False
     if _HIDDEN.search(attrs):
         return True, False
-    words = {w for m in _NAMED.finditer(attrs) for w in re.split(r"[^a-z]+", m[1].lower())}
-    replies = bool(words & _REPLIES)
+    names = [n for m in _NAMED.finditer(attrs) for n in m[1].lower().strip("\"'").split()]
+    noisy = [words for words in map(_words, names) if words & _NOISE and words <= _NOISE | _BESIDE
+             and not (words & _OWN and "header" in words)]
+    replies = any(words & _REPLIES for words in noisy)
     if name in _ARTICLE or (inside and name in ("header", "h1", "h2")):
         return replies, replies
-    return bool(words & _NOISE), replies
+    return bool(noisy), replies
+
+
+def _words(name: str) -> set[str]:
+    """The words of one class name or id: ``cookie-notice``, ``adBox_2``."""
+    return {w for w in re.split(r"[^a-z]+", name) if w}
 
 
 def _unclosed(tokens: list[re.Match]) -> set[int]:
