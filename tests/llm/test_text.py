@@ -35,6 +35,25 @@ def test_article_text(body):
     assert extract.main_text(page(body)) == TEXT
 
 
+@pytest.mark.parametrize("name", [
+    "class='article-content social-science'", "id='job-search-guide'", "class='menu-of-the-day recipe'", "class=post-header",
+    "class='banner-year review'", "id=comment-on-the-war", "class=searching", "class='headers'"])
+def test_names_that_only_contain_a_word_of_noise_keep_their_text(name):
+    body = f"<div {name}><h1>Head &amp; line</h1><p>One  two\n three<b> four</b></p><p>Short.</p></div>"
+    if "comment-on-the-war" in name:
+        body = body.replace("war", "war-years")
+    assert extract.main_text(page(body)) == TEXT
+
+
+@pytest.mark.parametrize("name", [
+    "class='cookie-notice'", "class='site-footer'", "id=main-nav", "class='related-posts grid'", "class='wide ad-slot-2'", "class=top_menu",
+    "id='comments-area'", "class='newsletter-signup box'", "role=navigation", "class='social-share-buttons'"])
+def test_names_of_noise_alone_drop_theirs(name):
+    assert extract.main_text(page(f"<div {name}><p>Some words that are long enough to count here</p></div>{ARTICLE}")) == TEXT
+    body = ARTICLE.replace("article", "div")
+    assert extract.main_text(page(f"<div {name}><p>Some words that are long enough to count here</p></div>{body}")) == TEXT
+
+
 def test_pages_without_article_markup():
     menu = "".join(f"<li><a href=/{i}>Menu {i}</a></li>" for i in range(9))
     body = f"<ul>{menu}</ul><div><p>{'long text ' * 30}</p><p>Short.</p><p>{'more text ' * 30}</p></div><ul>{menu}</ul>"
