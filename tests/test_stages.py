@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF0001
 from tests.test_plans import plan
-from wardline.operators import outcome
+from wardline.operators import joins, outcome
 from wardline.operators.summary import cohort_summary
 from wardline.plans import jobs, offset, timestamped
 from wardline.sizes import exact_rows
@@ -47,6 +47,22 @@ def test_a_failed_build_leaves_the_old_table(spark):
     assert not [n for n in os.listdir(path) if n.startswith(tables.POINTER + "-")]
 
 
+def test_a_job_leaves_no_intermediate_stages(spark):
+    folder = os.path.join(joins.checkpoint_dir(spark).removeprefix("file:"), "wardline-stages")
+    outer = joins.materialize(spark.range(3))
+    with pytest.raises(ValueError):
+        with joins.dropped_stages(spark):
+            inner = joins.materialize(spark.range(4))
+            assert inner.count() == 4
+            held = set(os.listdir(folder))
+            raise ValueError
+    assert outer.count() == 3 and len(held - set(os.listdir(folder))) == 1
+    before = set(os.listdir(folder))
+    written = jobs.build(spark, SF0001, tempfile.mkdtemp(prefix="wardline-drop-"))
+    assert set(os.listdir(folder)) == before
+    assert spark.read.parquet(written["offset_final_cohort"]).count() > 0
+
+
 def test_a_plain_folder_is_read_as_it_is(spark):
     root = tempfile.mkdtemp(prefix="wardline-plain-")
     spark.range(3).write.parquet(os.path.join(root, "t"))

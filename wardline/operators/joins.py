@@ -20,6 +20,7 @@ Row counts and payload sizes are remembered per DataFrame object
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -189,5 +190,27 @@ def materialize(df: DataFrame) -> DataFrame:
     if folder:
         path = f"{folder.rstrip('/')}/wardline-stages/{uuid.uuid4().hex}"
         df.write.parquet(path)
+        _STAGED.append(path)
         out = spark.read.schema(df.schema).parquet(path)
     return note_rows(out, out.count())
+
+
+# Folders of stages written by this process, oldest first.
+_STAGED: list[str] = []
+
+
+@contextmanager
+def dropped_stages(spark):
+    """Remove the stages that are written inside the block when it ends, however it ends.
+
+    For jobs that have delivered their tables by then; a DataFrame built in the
+    block reads its stages whenever it runs.
+    """
+    before = len(_STAGED)
+    try:
+        yield
+    finally:
+        for path in _STAGED[before:]:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        del _STAGED[before:]

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from wardline.operators import exposure as expo
 from wardline.operators import outcome
+from wardline.operators.joins import dropped_stages
 from wardline.plans import offset as off
 from wardline.plans import timestamped as tsp
 from wardline.sizes import exact_rows
@@ -109,8 +110,14 @@ def build(spark: SparkSession, sf_dir: str | None, out_dir: str, with_stages: bo
     of ``sf_dir`` are adapted.  ``database`` names a catalog database that
     takes the stages as tables bucketed by their key, which the final joins
     then read without an exchange; else they are written below ``out_dir``.
-    Returns the folder (or catalog name) of every table.
+    Returns the folder (or catalog name) of every table.  Intermediate stages are
+    removed when the job ends.
     """
+    with dropped_stages(spark):
+        return _build(spark, sf_dir, out_dir, with_stages, src, database)
+
+
+def _build(spark: SparkSession, sf_dir: str | None, out_dir: str, with_stages: bool, src, database: str | None) -> dict:
     src = src if src is not None else sources(spark, sf_dir)
     b, ob = tsp.base_cohort(src), off.base_cohort(src)      # each materialised and counted once
     written, stored = {}, None
