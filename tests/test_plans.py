@@ -298,9 +298,10 @@ def test_limits_can_be_set_per_session(spark):
 
 PLAN_SHAPES = {   # key -> (bounded: max exchanges, keys), (unbounded: max exchanges, keys)
     # Unbounded, the two window joins are keyed by (stay, day): their roll-ups by stay take an
-    # exchange of partial aggregates each, and so do the windows by day.
+    # exchange of partial aggregates each, and so do the windows by day.  The base is a stored
+    # stage, which has no partitioning: three joins exchange its narrow key tables.
     "cohort_timestamped": ((6, {"stay_id"}),
-                           (22, {"hadm_id", "stay_id", "icd_code", "l_orderkey", "o_orderkey"})),
+                           (25, {"hadm_id", "stay_id", "icd_code", "l_orderkey", "o_orderkey"})),
     # Unbounded, every child is restricted to the base by a join of its own.
     "cohort_offset": ((5, {"patientunitstayid"}), (9, {"patientunitstayid"})),
 }
