@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from wardline.llm import extract, passages, simhash
 
@@ -247,6 +248,74 @@ def test_recall_against_brute_force_alignment(spark, identity):
     assert len(wanted) >= 36 and wanted <= got
 
 
+def test_halves_shared_with_outsiders_do_not_hide_a_passage(spark):
+    """Two documents share 61 words, joint word changed; six others each share one of the halves only."""
+    r = random.Random(3)
+    say = lambda n: [f"v{r.randrange(10**6)}" for _ in range(n)]
+    rows, wanted = [], set()
+    for g in range(4):
+        left, right = say(30), say(30)
+        for k in range(14):
+            middle = left + say(1) + right if k in (5, 8) else left if k % 2 else right
+            rows.append((100 * g + k, " ".join(say(40) + middle + say(40))))
+        wanted |= {100 * g + 5, 100 * g + 8}
+    got = {p["doc_id"] for p in passages.repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == wanted
+
+
+def test_recall_under_common_phrases(spark):
+    """Fuzzy passages in documents that all hold three common phrases of 20 words."""
+    r = random.Random(4)
+    say = lambda n: [f"v{r.randrange(10**6)}" for _ in range(n)]
+    phrases, rows, wanted = [say(20) for _ in range(3)], [], set()
+    for i in range(40):
+        one = say(30) + phrases[i % 3] + say(30)
+        other = list(one)
+        for k in range(4, 80, 10):
+            other[k] = f"z{r.randrange(10**6)}"
+        for j, x in enumerate((one, other)):
+            rows.append((2 * i + j, " ".join(phrases[(i + 1) % 3] + say(50) + x + say(50) + phrases[(i + 2) % 3])))
+            wanted.add(2 * i + j)
+    rows += [(1000 + i, " ".join(say(60) + phrases[i % 3] + say(60))) for i in range(60)]
+    got = {p["doc_id"] for p in passages.repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert not any(d >= 1000 for d in got) and len(got & wanted) >= 0.9 * len(wanted)
+
+
+def test_only_shared_dense_seeds_become_rows(spark, monkeypatch):
+    monkeypatch.setattr(passages, "CHUNK_WORDS", 700)
+    r = random.Random(8)
+    say = lambda n: [f"v{r.randrange(10**5)}" for _ in range(n)]
+    phrase, notice = say(25), say(5)
+    rows = [(i, " ".join(say(50) + (phrase if i % 2 else notice) + say(50)), 125) for i in range(300)]
+    texts = spark.createDataFrame(rows, "tid long, text string, words long")
+    got = defaultdict(set)
+    for x in passages.kept_seeds(texts).collect():
+        got[x["tid"]].add(x["pos"])
+    assert set(got) == {i for i in range(300) if i % 2}                    # a notice of two seeds is no passage's
+    assert all(50 in p and 71 in p and p <= set(range(47, 76)) for p in got.values())
+    # The phrase is announced once a chunk, however many texts have it.
+    chunks = texts.select((F.col("tid") / 5).cast("long").alias("chunk"), "text").repartition(1).sortWithinPartitions("chunk")
+    out = chunks.mapInPandas(passages._announce(40, 32), "range int, chunk long, block binary, twice binary").toPandas()
+    shared = int(passages.seeds(passages.word_hashes(" ".join(phrase)))[1][:1].view(np.uint64)[0] >> np.uint64(24))
+    assert sum(shared in passages._unpacked(b) for b in out["block"]) == len(set(out["chunk"])) == 60
+
+
+def test_thinned_runs_agree():
+    """Texts that share a run keep the same seeds of it, whatever stands around."""
+    r = np.random.default_rng(5)
+    run = r.integers(-2**62, 2**62, 80)
+    kept = []
+    for before in (0, 3, 40):
+        h = np.concatenate([r.integers(-2**62, 2**62, before), run])
+        times = np.concatenate([np.full(before, 3), np.full(80, 2)])
+        stays = passages.thin(np.arange(len(h)), h, times)[before:]
+        kept.append(set(run[stays]))
+    assert kept[0] == kept[1] == kept[2] and 80 / passages.THIN <= len(kept[0]) <= 40
+    assert passages.thin(np.arange(11), run[:11], np.full(11, 2)).all()
+    assert not passages.dense(np.array([0, 1, 2, 3, 4, 99])).any() and passages.dense(np.arange(0, 112, 16)).sum() == 0
+    assert passages.dense(np.array([0, 10, 20, 30, 40, 50, 95, 300])).tolist() == [True] * 7 + [False]
+
+
 def test_passages_of_odd_rows(odd, nothing):
     out = {r["doc_id"]: r for r in passages.repeated(odd).collect()}
     # 1, 2, 11 and the row without id share a body; the others are short, alone or of one word.
