@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from wardline.llm import langid, mix
 
@@ -58,6 +59,23 @@ def test_blocks_meet_in_rounds(documents, document_rows, monkeypatch):
     check(mix.taken(documents).collect(), document_rows, lambda most, want: max(5.0, 0.02 * want, most))
 
 
+def test_a_third_of_all_rows_is_one_row(spark, monkeypatch):
+    monkeypatch.setattr(mix, "BLOCK", 64)
+    rows = [(7, "a b c", "s")] * 1500 + [(i, "w " * (i % 9 + 1), "s" if i % 3 else "t") for i in range(100, 3100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    order = F.xxhash64("doc_id").alias("_order")
+    stored = docs.repartition(6).select("doc_id", order, F.monotonically_increasing_id().alias("_place")).cache()
+    sizes = mix.apart(stored).groupBy(F.pmod("_order", F.lit(70)).alias("block")).count().toPandas()["count"]
+    assert sizes.sum() == 4500 and sizes.max() < 4 * 64
+    other = docs.repartition(3).select("doc_id", order, F.monotonically_increasing_id().alias("_place")).cache()
+    numbers = [sorted(x["_order"] for x in mix.apart(s).collect()) for s in (stored, other)]
+    assert numbers[0] == numbers[1] and len(set(numbers[0])) == 4500
+    stored.unpersist()
+    other.unpersist()
+    out = mix.taken(docs).groupBy("source_size", "target").agg(F.sum("taken").alias("taken"), F.count("*").alias("n")).collect()
+    assert sum(r["n"] for r in out) == 4500 and all(abs(r["taken"] - r["target"]) <= 0.02 * r["target"] for r in out)
+
+
 def test_nothing(nothing):
     assert mix.taken(nothing).count() == 0
 

@@ -12,7 +12,7 @@ a dozen of documents (the landing) get whatever choice is nearest the target.
 
 Edge cases: a null text has no words; documents without words are taken zero
 words and count as documents only; a null source is a source of its own, last
-in order; repeated rows are units of their own; an empty table gives no rows;
+in order; repeated rows are units of their own and spread over the blocks; an empty table gives no rows;
 extra columns are kept by :func:`mix`.  All coins come from hashes of the seed,
 source, block and round, so reruns agree.
 """
@@ -78,6 +78,26 @@ def targets(sources: DataFrame, share: float = SHARE, cap: float = CAP,
     return rows.withColumn("target", F.least(most, F.lit(level) * F.col("weight")))
 
 
+def apart(rows: DataFrame) -> DataFrame:
+    """Stored ``rows`` without ``_place`` (file and place there); of rows with one ``_order`` the k-th gets its k hashed in.
+
+    Any number of copies spreads over all blocks then.  Copies are counted by file,
+    then over the files, so none meet in one task; which copy has which k is open.
+    """
+    again = stage(rows.groupBy("_order").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"), "repeated")
+    total = again.agg(F.sum("_n")).first()[0]
+    if not total:
+        return rows.drop("_place")
+    file = F.shiftright("_place", 33).alias("_file")
+    copies = stage(hot_join(rows.select("_order", "_place", file), again, "_order", "_n", total).drop("_n").withColumn(
+        "_k", F.row_number().over(Window.partitionBy("_file", "_order").orderBy("_place"))), "copies")
+    before = copies.groupBy("_order", "_file").agg(F.max("_k").alias("_in")).withColumn(
+        "_before", F.sum("_in").over(Window.partitionBy("_order").orderBy("_file")) - F.col("_in"))
+    number = copies.join(before, ["_order", "_file"]).select("_place", (F.col("_before") + F.col("_k")).alias("_k"))
+    return rows.join(number, "_place", "left").withColumn("_order", F.when(F.col("_k").isNull(), F.col("_order")).otherwise(
+        F.xxhash64("_order", "_k"))).drop("_place", "_k")
+
+
 def fly(size: np.ndarray, p: np.ndarray, coins, land: bool) -> np.ndarray:
     """Move ``p`` to 0 or 1, all but two of them, keeping ``sum(p)`` and ``sum(p * size)``.
 
@@ -152,7 +172,7 @@ def mix(docs: DataFrame, share: float = SHARE, cap: float = CAP, weights: tuple
     rows = docs.select(
         *[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(carried)], key.alias("_key"), word_count(F.col(f"`{text}`")).alias("_size"),
         F.xxhash64(F.lit(seed), F.col(f"`{doc_id}`"), F.crc32(F.coalesce(F.col(f"`{text}`"), F.lit("")))).alias("_order"))
-    rows = stage(rows, "mix-rows")
+    rows = apart(stage(rows.withColumn("_place", F.monotonically_increasing_id()), "mix-rows"))
     sources = rows.groupBy("_key").agg(F.sum("_size").alias("source_size"), F.count(F.lit(1)).alias("n"))
     sources = targets(sources.withColumn("source", F.when(
         F.col("_key") != "", F.expr("substring(_key, 2)"))), share, cap, weights)
