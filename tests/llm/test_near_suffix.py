@@ -2,9 +2,11 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from wardline.llm import neardup, suffix
@@ -157,6 +159,27 @@ def test_open_boundaries_are_the_repeated_windows():
             at += len(s) + 1
 
 
+def test_expansion_takes_under_sixty_bytes_a_byte():
+    r = random.Random(3)
+    base = bytes(r.randrange(97, 123) for _ in range(3000))
+    segments = [bytes(r.randrange(97, 123) for _ in range(100)) + base[(at := r.randrange(2000)):at + 600] for _ in range(400)]
+    tracemalloc.start()
+    try:
+        hit = suffix.open_boundaries(segments, 400)
+        assert tracemalloc.get_traced_memory()[1] < 60 * len(hit)
+    finally:
+        tracemalloc.stop()
+    assert hit.any() and not hit.all()
+
+
+def test_fetched_bytes_leave_in_pieces(monkeypatch):
+    monkeypatch.setattr(suffix, "_PIECE", 1000)
+    want = [{"anchor": i, "m": 1, "big": False, "lo": i, "hi": i + 100} for i in range(50)]
+    pdf = pd.DataFrame({"tid": [0, 1], "text": ["x" * 600] * 2, "wanted": [want] * 2})
+    out = list(suffix._fetch(400)([pdf]))
+    assert sum(map(len, out)) == 100 and max(b["raw"].str.len().sum() for b in out) < 1500
+
+
 def test_runs_cover_every_window_across_pieces(monkeypatch):
     monkeypatch.setattr(suffix, "_PIECE", 50)
     r = random.Random(1)
