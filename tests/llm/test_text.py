@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 from collections import Counter, defaultdict
 
@@ -8,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wardline.llm import extract, passages, simhash
+from wardline.llm import common, extract, passages, simhash
 
 
 def page(body, head="<title>T</title><script>var t='</p>';</script><style>p{}</style>"):
@@ -321,3 +322,54 @@ def test_passages_of_odd_rows(odd, nothing):
     # 1, 2, 11 and the row without id share a body; the others are short, alone or of one word.
     assert {1, 2, 11} <= set(out) <= {1, 2, 11, None}
     assert passages.repeated(nothing).count() == 0
+
+
+def test_ends_grow_together_as_they_do_one_by_one():
+    r = np.random.default_rng(4)
+    x, y = (r.integers(0, 3, 3000).astype("<u4") for _ in range(2))
+    y[500:900] = x[500:900]
+    y[700:900:7] = 9
+    pa, pb, x_at, x_end, y_at, y_end = [], [], [], [], [], []
+    for _ in range(800):
+        a, n = int(r.integers(0, 2800)), int(r.integers(20, 200))
+        b = a if r.random() < 0.5 else int(r.integers(0, 2800))
+        points = np.sort(r.choice(16, 3, replace=False))
+        for at, stop, ps, low in ((x_at, x_end, pa, a), (y_at, y_end, pb, b)):
+            at.append(low)
+            stop.append(low + n)
+            ps.append(points)
+    near = lambda s, lo, p: s[max(lo, lo + int(p[0]) - passages.MARGIN):lo + int(p[-1]) + passages.SEED + passages.MARGIN]
+    kept = passages.long_enough(x, y, *map(np.array, (x_at, y_at, x_end, y_end)), pa, pb)
+    for i, p in enumerate(pa):
+        a, b = near(x[:x_end[i]], x_at[i], p), near(y[:y_end[i]], y_at[i], p)
+        left, _ = passages._grow(a[:p[0]][::-1], b[:p[0]][::-1])
+        right, _ = passages._grow(a[p[-1] + passages.SEED:], b[p[-1] + passages.SEED:])
+        assert kept[i] == (left + right + passages.SEED + p[-1] - p[0] >= passages.LEAST_WORDS)
+        a0, a1, b0, b1, _, _ = passages.align(a, b, p.tolist(), p.tolist())
+        assert kept[i] or min(a1 - a0, b1 - b0) < passages.LEAST_WORDS
+    assert 0 < kept.sum() < len(kept)
+
+
+def test_passages_leave_only_what_their_result_reads(spark, documents, monkeypatch):
+    made = []
+    monkeypatch.setattr(passages, "stage", lambda df, name: (made.append(name), common.stage(df, name))[1])
+    before = set(common._paths.values())
+    out = passages.repeated(documents)
+    left = {os.path.basename(p).split("-")[0] for p in set(common._paths.values()) - before}
+    assert {"hits", "ends", "contexts", "chains", "wanted", "slices"} <= set(made)
+    assert not left & {"hits", "ends", "contexts", "chains", "wanted", "slices"}
+    assert out.count() > 0
+
+
+def test_a_stage_leaves_no_shuffle_files_and_reads_small_batches(spark):
+    def sizes(batches):
+        for pdf in batches:
+            yield pdf.assign(id=len(pdf))
+
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(disk.getAllFiles())}
+    before, conf = files(), {k: spark.conf.get(k, None) for k in common.STAGE_CONF}
+    out = common.stage(spark.range(0, 8000, 1, 2).repartition(3, "id").mapInPandas(sizes, "id long"), "sizes")
+    assert not {f for f in files() - before if f.startswith("shuffle_")}
+    assert out.count() == 8000 and out.agg(F.max("id")).first()[0] <= 1000
+    assert conf == {k: spark.conf.get(k, None) for k in common.STAGE_CONF}
