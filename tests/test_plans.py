@@ -325,3 +325,24 @@ def test_plan_shape_does_not_regress(spark, monkeypatch, key):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert s["exchanges"] <= u_max and set(s["shuffle_keys"]) <= u_keys, s
     assert s["broadcast_hash_joins"] == 0
+
+
+def test_rollups_beyond_the_bound_count_no_event_keys(spark, monkeypatch):
+    """Children that are rolled up by stay meet a large base once, as roll-ups; rows as with a bounded one."""
+    from wardline.operators import joins
+    from wardline.plans import offset as off, timestamped as tsp
+    src = sources(spark, SF0001)
+    b, ob = tsp.base_cohort(src), off.base_cohort(src)
+
+    def built():
+        return [off.cohort(src, base=ob), off.sepsis_stage(src, ob), off.eligibility_stage(src, ob), off.exposure_stage(src, ob),
+                tsp.eligibility_stage(src, b), tsp.eligibility_hit_stays(src, b).distinct()]
+
+    want = built()
+    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 0)
+    counted, real = [], joins._hot_keys
+    monkeypatch.setattr(joins, "_hot_keys", lambda events, keys, on, n: (counted.append(on), real(events, keys, on, n))[1])
+    got = built()
+    assert [on for on in counted if on[0] != "icd_code"] == []          # the code dictionary is still a key table
+    for x, y in zip(got, want):
+        assert x.count() == y.count() > 0 and x.exceptAll(y).count() == 0
