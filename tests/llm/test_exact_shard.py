@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import zlib
 from collections import Counter, defaultdict
 
@@ -47,6 +48,19 @@ def test_index_remembers_earlier_batches(spark):
     assert [(r["keep_id"], r["kept"]) for r in third] == [(2, False)]
 
 
+def test_an_append_adds_one_file_a_bucket_whatever_the_partitions(spark, monkeypatch):
+    frame = type(spark.range(0))
+    for name in ("repartition", "repartitionByRange"):          # a session that deals every key to more partitions
+        monkeypatch.setattr(frame, name, lambda self, n, *cols, f=getattr(frame, name): f(self, max(n, 37), *cols))
+    rows = [(i, f"text {i % 300}") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    index = exact.DigestIndex(spark, buckets=8)
+    assert Counter(map(tuple, exact.dedup(df, index).collect())) == expected(rows)
+    assert index.read().count() == 300
+    files = [f for f in os.listdir(index.path.removeprefix("file:")) if f.startswith("part-")]
+    assert len(files) == len({f.split("_")[-1] for f in files}) == 8, files
+
+
 def test_anti_join_does_not_move_the_index(spark):
     index = exact.DigestIndex(spark)
     plan = index.read().select("digest").hint("merge").join(

@@ -42,8 +42,11 @@ class DigestIndex:
         """Add the digests that the index does not hold yet."""
         fresh_rows = groups.select("digest", "keep_id").join(
             self.read().select("digest").hint("merge"), "digest", "left_anti")
-        # Staged first: an append must not read the table it writes.
-        (stage(fresh_rows, "new-digests").repartition(self.buckets, "digest")
+        # Staged first: an append must not read the table it writes.  A bucket is never
+        # split over tasks, whatever their number, so an append adds one file a bucket;
+        # by two ranges a bucket, the cut points of the sample give each a task of its own.
+        bucket = F.pmod(F.hash("digest"), F.lit(self.buckets))
+        (stage(fresh_rows, "new-digests").repartitionByRange(2 * self.buckets, bucket)
          .write.insertInto(self.table))
 
 
