@@ -6,6 +6,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow
 import pytest
 from pyspark.sql import functions as F
 
@@ -350,6 +351,28 @@ def test_ends_grow_together_as_they_do_one_by_one():
     assert 0 < kept.sum() < len(kept)
 
 
+def test_fetched_words_leave_in_pieces(monkeypatch):
+    """A task holds some ``_PIECE`` bytes of fetched words, however many and long the stretches that a text is asked for."""
+    monkeypatch.setattr(passages, "_PIECE", 1 << 16)
+    r = random.Random(3)
+    texts = [" ".join(f"v{r.randrange(10**5)}" for _ in range(n)) for n in (3000, 80, 900)]
+    wanted = [[{"tid": 100 * t + i, "pa": sorted(r.sample(range(n), 3)), "pb": [i, i + 9]} for i in range(k)]
+              for t, (n, k) in enumerate([(2990, 400), (70, 1), (890, 0)])]
+    chain = pyarrow.struct([("tid", pyarrow.int64()), ("pa", pyarrow.list_(pyarrow.int32())), ("pb", pyarrow.list_(pyarrow.int32()))])
+    rows = pyarrow.RecordBatch.from_arrays([pyarrow.array([7, 8, 9]), pyarrow.array(texts), pyarrow.array(wanted, pyarrow.list_(chain))],
+                                           ["tid", "text", "wanted"])
+    for part, asked in ((rows, [0, 1, 2]), (rows.slice(1), [1, 2]), (rows.slice(2), [2])):
+        pieces = [piece.to_pylist() for piece in passages._slices(iter([part]))]
+        assert all(sum(len(row["a_words"]) for row in piece[:-1]) < 1 << 16 for piece in pieces)
+        expected = []
+        for t in asked:
+            words = passages.word_hashes(texts[t]).astype("<u4")
+            for w in wanted[t]:
+                lo = max(0, w["pa"][0] - passages.MARGIN)
+                expected.append(w | {"centre": 7 + t, "a_lo": lo, "a_words": words[lo:w["pa"][-1] + passages.SEED + passages.MARGIN].tobytes()})
+        assert [row for piece in pieces for row in piece] == expected
+
+
 def test_passages_leave_only_what_their_result_reads(spark, documents, monkeypatch):
     made = []
     monkeypatch.setattr(passages, "stage", lambda df, name: (made.append(name), common.stage(df, name))[1])
