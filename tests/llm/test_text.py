@@ -396,3 +396,87 @@ def test_a_stage_leaves_no_shuffle_files_and_reads_small_batches(spark):
     assert not {f for f in files() - before if f.startswith("shuffle_")}
     assert out.count() == 8000 and out.agg(F.max("id")).first()[0] <= 1000
     assert conf == {k: spark.conf.get(k, None) for k in common.STAGE_CONF}
+
+
+def _pair(rng, words, changed):
+    """Two texts of hashed words that share a stretch with some words changed, and a seed of it at its place in both."""
+    at = [int(rng.integers(0, 90)), int(rng.integers(0, 90))]
+    n = int(rng.integers(10, 90))
+    shared = rng.integers(0, words, n)
+    sides = []
+    for lo in at:
+        text = rng.integers(0, words, lo + n + int(rng.integers(0, 90)))
+        text[lo:lo + n] = np.where(rng.random(n) < changed, rng.integers(0, words, n), shared)
+        sides.append(text)
+    i = int(rng.integers(0, n - passages.SEED + 1))
+    for text, lo in zip(sides, at):
+        text[lo + i:lo + i + passages.SEED] = shared[i:i + passages.SEED]
+    return sides[0].astype("<u4"), sides[1].astype("<u4"), at[0] + i, at[1] + i
+
+
+def test_bits_drop_no_match_that_holds_a_passage():
+    rng, held = np.random.default_rng(5), 0
+    for k in range(3000):
+        a, b, i, j = _pair(rng, (4, 1 << 30)[k % 2], (0.0, 0.05, 0.1)[k % 3])
+        bits = [(w & 1).astype(bool) for w in (a, b)]
+        left = [passages.ahead(w[::-1])[len(w) - p] for w, p in zip(bits, (i, j))]
+        right = [passages.ahead(w)[p + passages.SEED] for w, p in zip(bits, (i, j))]
+        may = passages.may_hold(*(np.array([s[0] ^ s[1]]).view(np.int64) for s in (left, right)), np.array([min(i, j)]))[0]
+        near = [w[max(0, p - passages.MARGIN):p + passages.SEED + passages.MARGIN] for w, p in ((a, i), (b, j))]
+        a0, a1, b0, b1, same, columns = passages.align(*near, [min(i, passages.MARGIN)], [min(j, passages.MARGIN)])
+        holds = min(a1 - a0, b1 - b0) >= passages.LEAST_WORDS and same >= passages.IDENTITY * columns
+        assert may or not holds
+        held += holds
+    assert held > 300
+    random = rng.integers(-2**63, 2**63 - 1, (2, 20_000))
+    assert passages.may_hold(*random, np.full(20_000, passages.MARGIN)).mean() < 0.005
+
+
+def test_chains_along_a_diagonal_equal_alignment():
+    rng, fast = np.random.default_rng(6), 0
+    x, y, x_first, y_first, left, right, pa, pb, expected = ([] for _ in range(9))
+    for k in range(600):
+        a, b, i, j = _pair(rng, (4, 1 << 30)[k % 2], (0.0, 0.03, 0.1)[k % 3])
+        n = min(len(a) - i, len(b) - j) - passages.SEED + 1
+        equal = [d for d in range(n) if (a[i + d:i + d + passages.SEED] == b[j + d:j + d + passages.SEED]).all()]
+        points = sorted({0, *(d for d in equal if rng.random() < 0.5)})
+        pa.append(np.array([i + d for d in points]))
+        pb.append(np.array([j + d for d in points]) + (k % 50 == 49) * np.arange(len(points)))
+        x_first.append(sum(map(len, x)) + i)
+        y_first.append(sum(map(len, y)) + j)
+        x.append(a)
+        y.append(b)
+        left.append(passages._grow(a[:i][::-1], b[:j][::-1])[0])
+        right.append(passages._grow(a[i + points[-1] + passages.SEED:], b[j + points[-1] + passages.SEED:])[0])
+        expected.append(passages.align(a, b, pa[-1].tolist(), pb[-1].tolist()) if k % 50 != 49 else None)
+    same, columns, sure = passages.on_diagonal(np.concatenate(x), np.concatenate(y), *map(np.array, (x_first, y_first, left, right)), pa, pb)
+    for k, e in enumerate(expected):
+        if e is None:
+            assert not sure[k] or len(pa[k]) == 1
+        elif sure[k]:
+            fast += 1
+            a0, b0 = pa[k][0] - left[k], pb[k][0] - left[k]
+            assert e == (a0, a0 + columns[k], b0, b0 + columns[k], same[k], columns[k])
+    assert fast > 300
+
+
+def test_straight_chains_equal_those_of_the_tree(monkeypatch):
+    rng = np.random.default_rng(7)
+    for _ in range(300):
+        a = np.unique(rng.integers(0, (60, 600)[int(rng.integers(2))], int(rng.integers(1, 25)))).tolist()
+        rng.shuffle(a)
+        b = [v + 9 for v in a]
+        straight = passages.chain(a, b)
+        with monkeypatch.context() as m:
+            m.setattr(passages, "all", lambda _: False, raising=False)
+            assert passages.chain(a, b) == straight
+
+
+def test_short_shared_phrases_fetch_no_words(spark):
+    """A phrase of 30 words in every text makes seeds, but no chain that could reach 50 words."""
+    rng = random.Random(8)
+    phrase = [f"p{i}" for i in range(30)]
+    rows = [(i, " ".join([f"x{rng.random()}" for _ in range(80)] + phrase + [f"y{rng.random()}" for _ in range(80)]), 190) for i in range(60)]
+    hits = common.stage(passages.kept_seeds(spark.createDataFrame(rows, "tid long, text string, words long")), "hits")
+    assert hits.select("tid").distinct().count() == 60
+    assert passages.chained(hits, both=False).count() < 10
