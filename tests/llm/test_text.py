@@ -480,3 +480,11 @@ def test_short_shared_phrases_fetch_no_words(spark):
     hits = common.stage(passages.kept_seeds(spark.createDataFrame(rows, "tid long, text string, words long")), "hits")
     assert hits.select("tid").distinct().count() == 60
     assert passages.chained(hits, both=False).count() < 10
+
+
+def test_texts_that_no_chain_names_are_not_moved(spark, monkeypatch):
+    texts = spark.createDataFrame([(i, f"t{i}") for i in range(6)], "tid long, text string")
+    asked = common.stage(spark.createDataFrame([(1, "a"), (4, "b"), (4, "c"), (9, "d")], "tid long, wanted string"), "asked")
+    assert sorted(r["tid"] for r in passages._only(texts, asked).collect()) == [1, 4]
+    monkeypatch.setattr(passages, "BROADCAST_TEXTS", 2)
+    assert passages._only(texts, asked).count() == 6
