@@ -488,3 +488,101 @@ def test_texts_that_no_chain_names_are_not_moved(spark, monkeypatch):
     assert sorted(r["tid"] for r in passages._only(texts, asked).collect()) == [1, 4]
     monkeypatch.setattr(passages, "BROADCAST_TEXTS", 2)
     assert passages._only(texts, asked).count() == 6
+
+
+def test_words_of_many_texts_hash_as_one_by_one(monkeypatch):
+    r = random.Random(9)
+    texts = ["".join(r.choice("abcXYZ é\U0001f600ß\t\n\v\f\r  \x00\x1c\x85\xa0") for _ in range(r.randrange(200))) for _ in range(300)]
+    texts += [" ".join("q" * r.randrange(40) + chr(r.randrange(33, 3000)) for _ in range(40)) for _ in range(60)] + ["", " ", "\ud800 x"]
+    for piece in (1 << 20, 300):
+        monkeypatch.setattr(passages, "_PIECE", piece)
+        got = [words[a:b].tolist() for words, cuts in passages.hashed(texts) for a, b in zip(cuts, cuts[1:])]
+        assert got == [passages.word_hashes(t).tolist() for t in texts]
+        for (words, pos, h), t in zip(passages.seeded(texts), texts, strict=True):
+            assert [x.tolist() for x in passages.seeds(words)] == [pos.tolist(), h.tolist()] and words.tolist() == passages.word_hashes(t).tolist()
+    assert list(passages.hashed([])) == []
+
+
+def test_chains_of_many_groups_equal_those_one_by_one():
+    """Matches of many texts chained at once, equal ones (several contexts of a seed) included."""
+    rng = np.random.default_rng(10)
+    rows, expected = [], Counter()
+    for k in range(400):
+        n = int(rng.integers(1, 40))
+        a = np.sort(rng.integers(0, (40, 300, 3000)[k % 3], n))
+        b = a + 7 if k % 2 else rng.integers(0, 60, n)
+        points = sorted(set(zip(a.tolist(), b.tolist())))
+        times = rng.integers(1, 4, len(points)).tolist()
+        rows += [(k // 3, k, x, y, t) for (x, y), t in zip(points, times)]
+        x, y = ([p[side] for p, t in zip(points, times) for _ in range(t)] for side in (0, 1))
+        expected.update({(k, tuple((x[i], y[i]) for i in c)) for c in passages.chain(x, y)})
+    tid, centre, a, b, times = map(np.array, zip(*rows))
+    points, sizes = passages._chained_points(tid, centre, a, b, times)
+    got = [c for c in np.split(points, np.cumsum(sizes)[:-1])]
+    assert Counter((int(centre[c[0]]), tuple(zip(a[c].tolist(), b[c].tolist()))) for c in got) == expected
+
+
+def align_point_by_point(x, y, pa, pb):
+    """``passages.align`` with a part for each seed and each gap."""
+    left, _ = passages._grow(x[:pa[0]][::-1], y[:pb[0]][::-1])
+    at, bt = pa[0], pb[0]
+    parts = [(left, left, x[at - left:at] == y[bt - left:bt])]
+    for i, j in zip(pa, pb):
+        skip = max(0, at - i, bt - j)
+        i, j = i + skip, j + skip
+        if skip < passages.SEED:
+            got, width = passages._gap(x[at:i], y[bt:j])
+            same = x[at:i] == y[bt:j] if i - at == j - bt and (x[at:i] == y[bt:j]).sum() == got else np.arange(width) < got
+            parts += [(i - at, j - bt, same), (passages.SEED - skip,) * 2 + (np.ones(passages.SEED - skip, bool),)]
+            at, bt = i + passages.SEED - skip, j + passages.SEED - skip
+    right, _ = passages._grow(x[at:], y[bt:])
+    parts.append((right, right, x[at:at + right] == y[bt:bt + right]))
+    same = np.concatenate([p[2] for p in parts])
+    if same.sum() < passages.IDENTITY * len(same):
+        return None
+    return pa[0] - left, pa[0] - left + sum(p[0] for p in parts), pb[0] - left, pb[0] - left + sum(p[1] for p in parts), same.sum(), len(same)
+
+
+def test_runs_of_seeds_align_as_seed_by_seed(monkeypatch):
+    rng, whole, gaps = np.random.default_rng(11), 0, []
+    real = passages._gap
+    for k in range(600):
+        words = (4, 60, 1 << 30)[k % 3]
+        y = rng.integers(0, words, 200).astype("<u4")
+        x = y.copy()
+        for i in rng.integers(10, 150, int(rng.integers(0, 8))):
+            x = np.delete(x, slice(i, i + 2)) if k % 4 == 0 else np.insert(x, i, x[i:i + int(rng.integers(1, 5))])
+            x[i + 9] = rng.integers(0, words)
+        a, b = zip(*[(i, j) for i in range(len(x) - 3) for j in range(max(0, i - 20), min(197, i + 20)) if (x[i:i + 4] == y[j:j + 4]).all()])
+        for c in passages.chain(list(a), list(b))[:3]:
+            pa, pb = [a[i] for i in c], [b[i] for i in c]
+            expected = align_point_by_point(x, y, pa, pb)
+            monkeypatch.setattr(passages, "_gap", lambda u, v: (gaps.append(1), real(u, v))[1])
+            gaps.clear()
+            got = passages.align(x, y, pa, pb)
+            monkeypatch.setattr(passages, "_gap", real)
+            assert len(gaps) <= 1 + sum(q - p != pb[i] - pa[i] for i, (p, q) in enumerate(zip(pa[1:], pb[1:]))) + 30
+            if expected:
+                whole += 1
+                assert got == expected
+    assert whole > 400
+
+
+def test_a_chunk_announces_each_seed_once(spark, monkeypatch):
+    """A phrase of every text is announced once a chunk, and chains do not depend on the chunks."""
+    rng = random.Random(12)
+    say = lambda n: [f"v{rng.randrange(10**6)}" for _ in range(n)]
+    phrase, shared = say(70), [say(60) for _ in range(5)]
+    rows = [(i, " ".join(say(30) + phrase + say(30) + shared[i % 5] + say(9)), 199) for i in range(60)]
+    texts = common.stage(spark.createDataFrame(rows, "tid long, text string, words long"), "texts")
+    found = []
+    for words in (199 * 10, 1 << 20):
+        monkeypatch.setattr(passages, "CHUNK_WORDS", words)
+        hits = common.stage(passages.kept_blocks(texts), "hits")
+        chunks = 6 if words < 2000 else 1
+        assert hits.count() == chunks
+        announced = Counter(h for pdf in passages._announce_ends(32, False)(iter([hits.toPandas()])) for b in pdf["block"]
+                            for h in passages._unfolded(b)[0].tolist())
+        assert max(announced.values()) == chunks
+        found.append([{(r["tid"], r["centre"], *r["pa"], *r["pb"]) for r in passages.linked(hits, both).collect()} for both in (False, True)])
+    assert found[0] == found[1] and len(found[0][0]) >= 59 and len(found[0][1]) > len(found[0][0])
