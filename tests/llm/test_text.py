@@ -503,8 +503,10 @@ def test_words_of_many_texts_hash_as_one_by_one(monkeypatch):
     assert list(passages.hashed([])) == []
 
 
-def test_chains_of_many_groups_equal_those_one_by_one():
+@pytest.mark.parametrize("dense", [512, 9])
+def test_chains_of_many_groups_equal_those_one_by_one(monkeypatch, dense):
     """Matches of many texts chained at once, equal ones (several contexts of a seed) included."""
+    monkeypatch.setattr(passages, "DENSE", dense)
     rng = np.random.default_rng(10)
     rows, expected = [], Counter()
     for k in range(400):
@@ -517,8 +519,8 @@ def test_chains_of_many_groups_equal_those_one_by_one():
         x, y = ([p[side] for p, t in zip(points, times) for _ in range(t)] for side in (0, 1))
         expected.update({(k, tuple((x[i], y[i]) for i in c)) for c in passages.chain(x, y)})
     tid, centre, a, b, times = map(np.array, zip(*rows))
-    points, sizes = passages._chained_points(tid, centre, a, b, times)
-    got = [c for c in np.split(points, np.cumsum(sizes)[:-1])]
+    points, sizes, again = passages._chained_points(tid, centre, a, b, times)
+    got = [*np.split(points, np.cumsum(sizes)[:-1]), *again[:, None]]
     assert Counter((int(centre[c[0]]), tuple(zip(a[c].tolist(), b[c].tolist()))) for c in got) == expected
 
 
